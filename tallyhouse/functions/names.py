@@ -51,9 +51,12 @@ def canonicalize_from_table(
     spelling that very many rows carry. A spelling listed with two names fails
     the query instead of doubling rows.
     """
+    # AQE splits a partition only if both sides of the join come straight from a
+    # shuffle. Grouping by a second column, which follows from the first, makes
+    # Spark shuffle the finished lookup by the spelling alone for the join.
     lookup = (
         names.where(F.col(spelling).isNotNull())
-        .groupBy(F.col(spelling).alias("__spelling"))
+        .groupBy(F.col(spelling).alias("__spelling"), F.hash(spelling).alias("__hash"))
         .agg(F.min(name).alias("__name"), F.max(name).alias("__other"))
         .select(
             "__spelling",

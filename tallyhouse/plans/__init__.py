@@ -1,4 +1,4 @@
-from tallyhouse.plans.ingest import ingest_accounts, ingest_auths
+from tallyhouse.plans.ingest import ingest_accounts, ingest_auths, tidy_auths
 from tallyhouse.plans.pipeline import PipelineResult, run
 from tallyhouse.plans.reports import daily_activity, top_k_by_sum
 
@@ -8,5 +8,6 @@ __all__ = [
     "ingest_accounts",
     "ingest_auths",
     "run",
+    "tidy_auths",
     "top_k_by_sum",
 ]

@@ -12,7 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.functions.dates import add_date_parts
 from tallyhouse.functions.names import canonicalize
 from tallyhouse.operators.checks import split_invalid_keys
-from tallyhouse.operators.merge import rows_to_append, touched_days, upsert_latest
+from tallyhouse.operators.merge import (
+    distinct_rows,
+    rows_to_append,
+    touched_days,
+    upsert_latest,
+)
 from tallyhouse.operators.project import conform_names, keep
 from tallyhouse.schemas import ACCOUNTS, AUTHS, MERCHANT_NAMES, Feed
 from tallyhouse.session import scratch_path, session_zone
@@ -87,11 +92,13 @@ def ingest_auths(
     """Add a delivery of authorizations to the table; exact copies are stored once.
 
     Only the day partitions the batch touches are read, and only new rows are
-    written, so the cost follows the batch and not the table.
+    written, so the cost follows the batch and not the table. One delivery at a
+    time: two at once could both store a row they share.
     """
     with session_zone(spark, zone):
         rows = conform_auths(read_feed(spark, AUTHS, source), merchants)
         with _landed(rows, AUTHS, table, quarantine, batch_id) as (batch, summary):
+            restore_interrupted(spark, table)
             days = touched_days(batch)
             if days is not None:
                 stored = read_table(spark, table, AUTHS.table_schema).where(days)
@@ -99,6 +106,18 @@ def ingest_auths(
     return summary
 
 
+def tidy_auths(spark: SparkSession, table: str) -> int:
+    """Rewrite the table without copies and with a few large files per day.
+
+    `ingest_auths` stores no copies and never rewrites. This is for a table that
+    something else filled, or that many small deliveries have left in many small
+    files. Returns the number of rows.
+    """
+    restore_interrupted(spark, table)
+    rows = distinct_rows(read_table(spark, table, AUTHS.table_schema))
+    return publish_partitioned(rows, table, AUTHS.table_schema)
+
+
 def ingest_accounts(
     spark: SparkSession,
     source: str,

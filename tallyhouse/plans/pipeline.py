@@ -13,7 +13,8 @@ from tallyhouse.functions.dates import between_days
 from tallyhouse.plans.ingest import Ingested, ingest_accounts, ingest_auths
 from tallyhouse.plans.reports import daily_activity, top_k_by_sum
 from tallyhouse.schemas import ACCOUNTS, AUTHS
-from tallyhouse.session import session_zone
+from tallyhouse.session import session_zone, sized_for
+from tallyhouse.sinks.publish import Folder
 from tallyhouse.sinks.report import write_report
 from tallyhouse.sources.warehouse import read_table
 
@@ -51,7 +52,9 @@ def run(
     tables = {feed.name: f"{warehouse}/{feed.name}" for feed in (AUTHS, ACCOUNTS)}
     quarantine = f"{warehouse}/quarantine"
     daily, merchants = f"{reports}/{DAILY_REPORT}", f"{reports}/{MERCHANT_REPORT}"
-    with session_zone(spark, zone), ThreadPoolExecutor(2) as pool:
+    read = [auths, accounts, *tables.values()]
+    size = sum(Folder(spark, path).size() for path in read)
+    with session_zone(spark, zone), sized_for(spark, size), ThreadPoolExecutor(2) as pool:
 
         def start(work, *args, **kwargs):
             return pool.submit(inheritable_thread_target(spark)(work), *args, **kwargs)
@@ -69,8 +72,9 @@ def run(
         facts = read_table(spark, tables["auths"], AUTHS.table_schema)
         facts = facts.where(between_days(first_day, last_day))
         entities = read_table(spark, tables["accounts"], ACCOUNTS.table_schema)
+        activity = daily_activity(facts, entities, by_partition=True)
         for job in [
-            start(write_report, daily_activity(facts, entities), daily, report_format),
+            start(write_report, activity, daily, report_format),
             start(write_report, top_k_by_sum(facts, k=k), merchants, report_format, True),
         ]:
             job.result()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.dates import day_text
 from tallyhouse.operators.aggregate import count_per, sum_per, top_k
 from tallyhouse.operators.join import matching
-from tallyhouse.schemas import MONEY
+from tallyhouse.schemas import DAY_PARTS, MONEY
 
 
 def daily_activity(
@@ -20,23 +20,22 @@ def daily_activity(
     moment: str = "transmit_time",
     labels: Sequence[str] = ("first_name", "last_name"),
     count: str = "num_transactions",
+    by_partition: bool = False,
 ) -> DataFrame:
     """Facts per entity and day, under the entity's labels, sorted by day.
 
     The grain is the key: two entities with the same labels get a row each.
     Facts without an entity are left out (`unmatched` lists them). Facts are
-    counted before the join, which is right because entities are unique by key,
-    and grouped by date rather than by text, which is made once per group.
+    counted before the join, which is right because entities are unique by key.
+    With `by_partition` the day comes from a table's partition columns instead
+    of from `moment`, which is then not read from the files at all.
     """
-    per_day = count_per(
-        facts.select(key, F.to_date(moment).alias(moment)), [key, moment], count
-    )
+    day = F.make_date(*DAY_PARTS) if by_partition else F.to_date(moment)
+    per_day = count_per(facts.select(key, day.alias(moment)), [key, moment], count)
     named = matching(per_day, entities.select(key, *labels), key)
-    return (
-        named.withColumn(moment, day_text(moment))
-        .orderBy(moment, *labels, key)
-        .select(*labels, moment, count)
-    )
+    # Grouped, sent and sorted as a date; only the finished rows carry text.
+    ordered = named.orderBy(moment, *labels, key)
+    return ordered.select(*labels, day_text(moment).alias(moment), count)
 
 
 def top_k_by_sum(

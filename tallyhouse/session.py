@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -48,6 +49,41 @@ def session_zone(spark: SparkSession, zone: str = "UTC") -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+# A stage with more tasks than this costs the driver more than it saves the
+# executors; beyond it tasks get larger instead.
+MOST_TASKS = 50_000
+TASK_BYTES = 128 * 1024 * 1024
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Scans and shuffles cut for `input_bytes` of input, then as they were.
+
+    AQE joins small shuffle partitions and splits skewed ones, but cannot split
+    those of an aggregate that are all too large, so there must be enough of
+    them to begin with. Settings are only ever raised.
+    """
+    wanted = {
+        "spark.sql.shuffle.partitions": min(input_bytes // TASK_BYTES, MOST_TASKS),
+        "spark.sql.files.maxPartitionBytes": input_bytes // MOST_TASKS,
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        if value > _bytes(before[key]):
+            spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _bytes(setting: str) -> int:
+    """A setting such as 200, 134217728b or 128m as a plain number."""
+    number, unit = re.fullmatch(r"(\d+)([a-z]?)b?", setting.lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit if unit and unit != "b" else " ")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as `spark.checkpoint.dir` names it.
 

@@ -34,6 +34,11 @@ class Folder:
         if not self._fs.rename(self._at, to):
             raise OSError(f"could not move {self.path} to {path}")
 
+    def size(self) -> int:
+        """Bytes in all files below, 0 if there is nothing; globs are followed."""
+        found = self._fs.globStatus(self._at) or []
+        return sum(self._fs.getContentSummary(f.getPath()).getLength() for f in found)
+
     def names(self) -> list[str]:
         return [s.getPath().getName() for s in self._fs.listStatus(self._at)]
 

@@ -278,3 +278,51 @@ def test_other_report_formats(spark, tmp_path):
         path = str(tmp_path / fmt)
         sinks.write_report(df, path, fmt)
         assert rows(spark.read.format(fmt).load(path)) == rows(df)
+
+
+# ---- sizes and older tables -----------------------------------------------------------
+
+
+def test_sizes_follow_the_input_and_are_put_back(spark):
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"]
+    before = [spark.conf.get(k) for k in keys]
+
+    def during(size):
+        with session.sized_for(spark, size):
+            return [spark.conf.get(k) for k in keys]
+
+    assert during(0) == during(10**6) == before
+    gigabytes = during(100 * 2**30)
+    assert gigabytes == ["800", before[1]]
+    hundred_terabytes = during(100 * 2**40)
+    assert hundred_terabytes == ["50000", str(100 * 2**40 // 50000)]
+    assert [spark.conf.get(k) for k in keys] == before
+
+
+@pytest.mark.parametrize("text, number", [
+    ("200", 200), ("134217728b", 2**27), ("128m", 2**27), ("128MB", 2**27), ("1g", 2**30),
+])
+def test_settings_as_numbers(text, number):
+    assert session._bytes(text) == number
+
+
+def test_folder_size(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    put(tmp_path / "a", "x.csv", "12345")
+    put(tmp_path / "a", "y.csv", "123")
+    size = lambda name: sinks.publish.Folder(spark, str(tmp_path / name)).size()
+    assert (size("a"), size("a/x.csv"), size("a/*.csv"), size("none")) == (8, 5, 8, 0)
+
+
+def test_an_older_table_with_integer_postal_codes_can_be_taken_over(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    row = ("a", "A", "B", day(1), day(2), 2134, "USA", "active", 2022, 2, 2)
+    types = [(f.name, "int" if f.name == "postal_code" else f.dataType.simpleString())
+             for f in ACCOUNTS.table_schema]
+    was = spark.createDataFrame([row], ", ".join(f"{n} {t}" for n, t in types))
+    was.write.partitionBy("year", "month", "day").parquet(old)
+    taken = sources.discover_table(spark, old).withColumn(
+        "postal_code", F.col("postal_code").cast("string")
+    )
+    sinks.publish_partitioned(taken, new, ACCOUNTS.table_schema)
+    assert sources.read_table(spark, new, ACCOUNTS.table_schema).first().postal_code == "2134"

@@ -1,0 +1,184 @@
+"""The plans Spark makes of the operators, and what it does with hot keys and days."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse import operators as op
+from tallyhouse import plans, sinks, sources
+from tallyhouse.functions import add_date_parts, between_days, canonicalize_from_table
+from tallyhouse.operators import touched_days
+
+
+def plan(df, run=False):
+    if run:
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    text = out.getvalue()
+    return text.split("+- == Initial Plan ==")[0] if run else text
+
+
+@contextlib.contextmanager
+def settings(spark, **values):
+    values = {"spark.sql." + k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    """60,000 facts by day: a third on one account, a third on one day, 30 days."""
+    path = str(tmp_path_factory.mktemp("facts") / "t")
+    n = F.col("id")
+    day = F.when(n % 3 == 1, 9).otherwise(F.pmod(F.xxhash64(n), F.lit(30)))
+    facts = spark.range(0, 60000, 1, 8).select(
+        F.concat(F.lit("a"), F.when(n % 3 == 0, 7).otherwise(F.pmod(F.xxhash64(n, n), F.lit(500))))
+        .alias("account_id"),
+        (F.lit(1640995200) + day * 86400 + n).cast("timestamp").alias("transmit_time"),
+        F.when(n % 3 == 2, "amazon").otherwise(F.concat(F.lit("m"), n % 100)).alias("merchant_name"),
+        (n % 1000 / 100).alias("amount"),
+        F.sha2(n.cast("string"), 256).alias("note"),
+    )
+    facts = add_date_parts(facts, "transmit_time")
+    with settings(
+        spark, adaptive__advisoryPartitionSizeInBytes="300k", shuffle__partitions="64"
+    ):
+        sinks.publish_partitioned(facts, path, facts.schema)
+    return path, facts
+
+
+@pytest.fixture(scope="module")
+def accounts(spark):
+    n = F.col("id")
+    return spark.range(0, 500).select(
+        F.concat(F.lit("a"), n).alias("account_id"),
+        F.concat(F.lit("f"), n % 7).alias("first_name"),
+        F.concat(F.lit("l"), n).alias("last_name"),
+    )
+
+
+def test_a_hot_day_is_written_by_several_tasks_and_a_small_one_is_not(spark, table):
+    from pathlib import Path
+
+    path, facts = table
+    files = {d: len(list(d.glob("*.parquet"))) for d in Path(path).glob("year=*/month=*/day=*")}
+    counts = {d.name: n for d, n in files.items()}
+    hot = counts.pop("day=10")
+    assert hot >= 4 and len(counts) == 29
+    assert sum(counts.values()) <= 2 * len(counts)
+    assert op.table_diff(sources.read_table(spark, path, facts.schema), facts).isEmpty()
+
+
+def test_filters_on_days_skip_directories(spark, table):
+    import datetime as dt
+
+    path, facts = table
+    stored = sources.read_table(spark, path, facts.schema)
+    some = stored.where(between_days(dt.date(2022, 1, 3), dt.date(2022, 1, 4)))
+    batch = facts.where("day IN (3, 4)")
+    for df in (some, stored.where(touched_days(batch)), stored.where(touched_days(batch, 1))):
+        assert re.search(r"PartitionFilters: \[[^\]]*year", plan(df))
+        assert "DataFilters: []" in plan(df)
+        files = df.select(F.input_file_name().alias("f")).distinct().collect()
+        assert {re.search(r"day=(\d+)", r.f)[1] for r in files} == {"3", "4"}
+
+
+def test_daily_activity_reads_only_what_it_needs(spark, table, accounts):
+    path, facts = table
+    stored = sources.read_table(spark, path, facts.schema)
+    by_time = plans.daily_activity(stored, accounts)
+    by_partition = plans.daily_activity(stored, accounts, by_partition=True)
+    assert "ReadSchema: struct<account_id:string,transmit_time:timestamp>" in plan(by_time)
+    assert "ReadSchema: struct<account_id:string>" in plan(by_partition)
+    assert by_time.collect() == by_partition.collect()
+
+
+def test_facts_are_counted_within_tasks_before_they_are_sent_and_joined(spark, table, accounts):
+    path, facts = table
+    stored = sources.read_table(spark, path, facts.schema)
+    text = plan(plans.daily_activity(stored, accounts, by_partition=True))
+    lines = [line.strip(" :+-") for line in text.splitlines()]
+    kinds = [k for line in lines for k in ("Join", "HashAggregate", "Exchange hash", "FileScan")
+             if line.split("[")[0].split("(")[0].find(k.split()[0]) >= 0 and k in line]
+    at = {k: kinds.index(k) for k in ("Join", "HashAggregate", "FileScan")}
+    assert at["Join"] < at["HashAggregate"] < at["FileScan"]
+    assert "partial_count(1)" in text
+
+
+def test_top_k_is_no_full_sort(table):
+    text = plan(plans.top_k_by_sum(table[1]))
+    assert "TakeOrderedAndProject(limit=3" in text and "rangepartitioning" not in text
+    assert "partial_sum" in text
+
+
+@pytest.mark.parametrize("make", [
+    lambda f: op.latest_per_key(f, ["account_id"], "transmit_time"),
+    lambda f: op.upsert_latest(f, f, ["account_id"], "transmit_time"),
+    lambda f: op.append_distinct(f, f, ["account_id", "transmit_time"]),
+], ids=["latest", "upsert", "append by key"])
+def test_one_row_per_key_leaves_each_task(table, make):
+    text = plan(make(table[1]))
+    partial, exchange = text.index("Partial"), text.index("Exchange hashpartitioning")
+    assert text.index("Final") < exchange < partial  # printed from the top down
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("make", [
+    lambda f: op.distinct_rows(f),
+    lambda f: op.append_distinct(f, f),
+    lambda f: op.rows_to_append(f, f),
+    lambda f: op.table_diff(f, f),
+    lambda f: op.duplicate_keys(f, ["account_id"]),
+], ids=["distinct", "append", "new rows", "diff", "duplicates"])
+def test_copies_are_joined_within_tasks_and_sent_once(table, make):
+    text = plan(make(table[1]))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("HashAggregate") == 2 and "Join" not in text
+
+
+def test_nothing_is_sent_to_all_tasks_unless_its_size_allows_it(spark, table, accounts):
+    names = spark.createDataFrame([("amazon", "a")], "s string, n string")
+    with settings(spark, autoBroadcastJoinThreshold="-1",
+                  adaptive__autoBroadcastJoinThreshold="-1"):
+        for df in (
+            plans.daily_activity(table[1], accounts),
+            op.matching(table[1], accounts, "account_id"),
+            op.unmatched(table[1], accounts, "account_id"),
+            canonicalize_from_table(table[1], "merchant_name", names, "s", "n"),
+        ):
+            assert "Broadcast" not in plan(df)
+
+
+def test_a_hot_key_is_split_when_raw_facts_are_joined(spark, table, accounts):
+    path, facts = table
+    stored = sources.read_table(spark, path, facts.schema)
+    names = spark.range(0, 100).select(
+        F.concat(F.lit("m"), "id").alias("s"), F.concat(F.lit("x"), "id").alias("n")
+    ).unionByName(spark.createDataFrame([("amazon", "a")], "s string, n string"))
+    with settings(
+        spark, autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1",
+        shuffle__partitions="16", files__maxPartitionBytes="400k",
+        adaptive__advisoryPartitionSizeInBytes="100k",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="300k",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+    ):
+        joined = op.matching(stored, accounts, "account_id")
+        looked_up = canonicalize_from_table(stored, "merchant_name", names, "s", "n")
+        for df in (joined, looked_up):
+            assert df.count() == 60000
+            text = plan(df, run=True)
+            assert "skew=true" in text and "skewed" in text

@@ -196,3 +196,15 @@ def test_landing_folders_are_removed(place, spark):
 
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
     assert not list(shared.glob("tallyhouse-*/auths")) + list(shared.glob("tallyhouse-*/accounts"))
+
+
+def test_tidying_drops_copies_and_small_files(place, spark):
+    place.run()
+    path = f"{place.warehouse}/auths"
+    stored = place.table(AUTHS)
+    stored.unionByName(stored).write.partitionBy("year", "month", "day").mode("append").parquet(path)
+    assert place.table(AUTHS).count() == 81
+    assert plans.tidy_auths(spark, path) == 27
+    assert place.table(AUTHS).count() == 27
+    days = list((place.folder / "warehouse" / "auths").glob("year=*/month=*/day=*"))
+    assert all(len(list(d.glob("*.parquet"))) == 1 for d in days)
