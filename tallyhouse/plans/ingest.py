@@ -20,7 +20,7 @@ from tallyhouse.operators.merge import (
 )
 from tallyhouse.operators.project import conform_names, keep
 from tallyhouse.schemas import ACCOUNTS, AUTHS, MERCHANT_NAMES, Feed
-from tallyhouse.session import scratch_path, session_zone
+from tallyhouse.session import for_tables, scratch_path, sized_for
 from tallyhouse.sinks.publish import (
     Folder,
     append_partitioned,
@@ -95,7 +95,7 @@ def ingest_auths(
     written, so the cost follows the batch and not the table. One delivery at a
     time: two at once could both store a row they share.
     """
-    with session_zone(spark, zone):
+    with for_tables(spark, zone):
         rows = conform_auths(read_feed(spark, AUTHS, source), merchants)
         with _landed(rows, AUTHS, table, quarantine, batch_id) as (batch, summary):
             restore_interrupted(spark, table)
@@ -113,9 +113,10 @@ def tidy_auths(spark: SparkSession, table: str) -> int:
     something else filled, or that many small deliveries have left in many small
     files. Returns the number of rows.
     """
-    restore_interrupted(spark, table)
-    rows = distinct_rows(read_table(spark, table, AUTHS.table_schema))
-    return publish_partitioned(rows, table, AUTHS.table_schema)
+    with for_tables(spark), sized_for(spark, Folder(spark, table).size()):
+        restore_interrupted(spark, table)
+        rows = distinct_rows(read_table(spark, table, AUTHS.table_schema))
+        return publish_partitioned(rows, table, AUTHS.table_schema)
 
 
 def ingest_accounts(
@@ -131,7 +132,7 @@ def ingest_accounts(
     An account moves to another day with every update, and a day it leaves must
     lose it, so the table is written anew beside itself and then put in place.
     """
-    with session_zone(spark, zone):
+    with for_tables(spark, zone):
         rows = conform_accounts(read_feed(spark, ACCOUNTS, source))
         with _landed(rows, ACCOUNTS, table, quarantine, batch_id) as (batch, summary):
             restore_interrupted(spark, table)

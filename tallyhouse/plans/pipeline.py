@@ -13,7 +13,7 @@ from tallyhouse.functions.dates import between_days
 from tallyhouse.plans.ingest import Ingested, ingest_accounts, ingest_auths
 from tallyhouse.plans.reports import daily_activity, top_k_by_sum
 from tallyhouse.schemas import ACCOUNTS, AUTHS
-from tallyhouse.session import session_zone, sized_for
+from tallyhouse.session import for_tables, sized_for
 from tallyhouse.sinks.publish import Folder
 from tallyhouse.sinks.report import write_report
 from tallyhouse.sources.warehouse import read_table
@@ -54,7 +54,7 @@ def run(
     daily, merchants = f"{reports}/{DAILY_REPORT}", f"{reports}/{MERCHANT_REPORT}"
     read = [auths, accounts, *tables.values()]
     size = sum(Folder(spark, path).size() for path in read)
-    with session_zone(spark, zone), sized_for(spark, size), ThreadPoolExecutor(2) as pool:
+    with for_tables(spark, zone), sized_for(spark, size), ThreadPoolExecutor(2) as pool:
 
         def start(work, *args, **kwargs):
             return pool.submit(inheritable_thread_target(spark)(work), *args, **kwargs)

@@ -229,12 +229,13 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert one.startswith(shared + "/") and one != two
 
 
-def test_session_zone_is_put_back_after_an_error(spark):
-    before = spark.conf.get("spark.sql.session.timeZone")
-    with pytest.raises(KeyError), session.session_zone(spark, "Asia/Tokyo"):
-        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+def test_settings_are_put_back_after_an_error(spark):
+    keys = ["spark.sql.session.timeZone", *session.TABLE_SETTINGS]
+    before = [spark.conf.get(k) for k in keys]
+    with pytest.raises(KeyError), session.for_tables(spark, "Asia/Tokyo"):
+        assert [spark.conf.get(k) for k in keys] == ["Asia/Tokyo", "TIMESTAMP_MICROS", "zstd"]
         raise KeyError
-    assert spark.conf.get("spark.sql.session.timeZone") == before
+    assert [spark.conf.get(k) for k in keys] == before
 
 
 # ---- reports ------------------------------------------------------------------------
