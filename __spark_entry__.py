@@ -385,13 +385,15 @@ def published_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT * FROM events")
 def published_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Only the day partitions the batch touches are read, only new rows written.
+    # Only the day partitions the batch touches are read, only new rows written,
+    # and for a short batch only stored rows that may be copies are shuffled.
     path = session.scratch_path(spark, "events")
     events = _events_by_day(spark, sf_dir)
     sinks.publish_partitioned(_with_types(events, *_STORED_TYPES), path, events.schema)
     batch = _with_types(events, *_BATCH_TYPES)
     stored = sources.read_table(spark, path, events.schema).where(operators.touched_days(batch))
-    sinks.append_partitioned(operators.rows_to_append(stored, batch), path, events.schema)
+    near = ["user_id", "ts"] if batch.count() <= operators.MOST_SENT else None
+    sinks.append_partitioned(operators.rows_to_append(stored, batch, near), path, events.schema)
     return sources.read_table(spark, path, events.schema).drop("year", "month", "day")
 
 

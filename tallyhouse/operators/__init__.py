@@ -8,6 +8,7 @@ from tallyhouse.operators.checks import (
 )
 from tallyhouse.operators.join import matching
 from tallyhouse.operators.merge import (
+    MOST_SENT,
     append_distinct,
     distinct_rows,
     latest_per_key,
@@ -19,6 +20,7 @@ from tallyhouse.operators.merge import (
 from tallyhouse.operators.project import conform_names, keep
 
 __all__ = [
+    "MOST_SENT",
     "append_distinct",
     "conform_names",
     "count_per",

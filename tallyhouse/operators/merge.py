@@ -10,6 +10,9 @@ from pyspark.sql.window import Window
 
 from tallyhouse.functions.dates import day_code
 
+# Hashes of this many rows make a lookup of some 50 MB in each executor.
+MOST_SENT = 2_000_000
+
 _BATCH = "__from_batch"
 _RANK = "__rank"
 
@@ -80,14 +83,25 @@ def append_distinct(
     return kept.drop(_RANK, _BATCH)
 
 
-def rows_to_append(table: DataFrame, batch: DataFrame) -> DataFrame:
+def rows_to_append(
+    table: DataFrame, batch: DataFrame, near: Sequence[str] | None = None
+) -> DataFrame:
     """The distinct rows of `batch` that `table` does not hold yet.
 
     For a table that is free of copies, as `append_distinct` leaves it, adding
     these rows gives the same as merging everything, and no stored row is
     written again. One shuffle: copies meet as groups, not as join pairs.
+
+    For a batch of at most `MOST_SENT` rows the caller may name columns in
+    `near`. Their hash, 8 bytes a row, then goes to the tasks that read the
+    table, and only stored rows with the hash of a batch row are shuffled. A row
+    let through by chance does no harm, since whole rows are compared after.
     """
     columns = table.columns
+    if near is not None:
+        mark = F.xxhash64(*near)
+        wanted = batch.select(mark.alias("__near")).distinct()
+        table = table.join(F.broadcast(wanted), mark == F.col("__near"), "left_semi")
     seen = _marked(table, batch).groupBy(*columns).agg(F.min(_BATCH).alias(_BATCH))
     return seen.where(F.col(_BATCH)).select(*columns)
 

@@ -13,6 +13,7 @@ from tallyhouse.functions.dates import add_date_parts
 from tallyhouse.functions.names import canonicalize
 from tallyhouse.operators.checks import split_invalid_keys
 from tallyhouse.operators.merge import (
+    MOST_SENT,
     distinct_rows,
     rows_to_append,
     touched_days,
@@ -102,7 +103,8 @@ def ingest_auths(
             days = touched_days(batch)
             if days is not None:
                 stored = read_table(spark, table, AUTHS.table_schema).where(days)
-                append_partitioned(rows_to_append(stored, batch), table, AUTHS.table_schema)
+                near = [AUTHS.key, AUTHS.moment] if summary.rows_read <= MOST_SENT else None
+                append_partitioned(rows_to_append(stored, batch, near), table, AUTHS.table_schema)
     return summary
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # What the plans in this package count on. AQE sizes shuffles from what the map
 # side really wrote, splits a skewed join partition or a day that holds a large
-# share of the rows, and turns a join into a broadcast once a side proves small.
+# share of the rows, and turns a sorted join into a broadcast once a side proves
+# small, or into a hashed one once every partition of a side does.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,6 +21,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
 }
 
 

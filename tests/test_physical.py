@@ -182,3 +182,15 @@ def test_a_hot_key_is_split_when_raw_facts_are_joined(spark, table, accounts):
             assert df.count() == 60000
             text = plan(df, run=True)
             assert "skew=true" in text and "skewed" in text
+
+
+def test_a_short_batch_is_met_by_few_stored_rows(spark, table):
+    path, facts = table
+    stored = sources.read_table(spark, path, facts.schema)
+    batch = facts.where("transmit_time < timestamp'2022-01-02'")
+    near = op.rows_to_append(stored, batch, ["account_id", "transmit_time"])
+    assert near.isEmpty()
+    text = plan(near)
+    # The stored rows are thinned out before the one shuffle by whole rows.
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+    assert text.index("Exchange hashpartitioning(account_id") < text.index("LeftSemi")

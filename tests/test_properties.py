@@ -39,7 +39,8 @@ def test_append_distinct_is_a_set_union_and_idempotent(spark, table, batch):
     merged = op.append_distinct(t, b)
     assert rows(merged) == Counter(set(table) | set(batch))
     assert rows(op.append_distinct(merged, b)) == rows(merged)
-    assert rows(op.rows_to_append(t, b)) == Counter(set(batch) - set(table))
+    for near in (None, ["account_id", "transmit_time"], ["amount"], t.columns):
+        assert rows(op.rows_to_append(t, b, near)) == Counter(set(batch) - set(table))
 
 
 @few

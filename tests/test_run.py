@@ -208,3 +208,12 @@ def test_tidying_drops_copies_and_small_files(place, spark):
     assert place.table(AUTHS).count() == 27
     days = list((place.folder / "warehouse" / "auths").glob("year=*/month=*/day=*"))
     assert all(len(list(d.glob("*.parquet"))) == 1 for d in days)
+
+
+def test_a_long_batch_is_merged_without_being_sent_around(place, monkeypatch):
+    from tallyhouse.plans import ingest
+
+    monkeypatch.setattr(ingest, "MOST_SENT", 10)
+    place.run()
+    place.run(with_auths(",x,,2/7/2022 2:20:30,debit,USA,1.00,amazon"))
+    assert place.table(AUTHS).count() == 28
