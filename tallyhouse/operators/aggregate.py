@@ -10,7 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallyhouse.functions.money import exact_sum
 from tallyhouse.schemas import MONEY
 
 
@@ -23,7 +25,10 @@ def sum_per(
     df: DataFrame, keys: Sequence[str | Column], amount: str, name: str, money=MONEY
 ) -> DataFrame:
     """Exact sum of `amount` per combination of `keys`; NULL amounts count as nothing."""
-    return df.groupBy(*keys).agg(F.sum(F.col(amount).cast(money)).alias(name))
+    column = F.col(amount)
+    as_double = isinstance(df.schema[amount].dataType, T.DoubleType)
+    total = exact_sum(column, money) if as_double else F.sum(column.cast(money))
+    return df.groupBy(*keys).agg(total.alias(name))
 
 
 def top_k(df: DataFrame, by: str, k: int, ties: Sequence[str] = ()) -> DataFrame:

@@ -91,7 +91,9 @@ def publish_partitioned(
     spark = df.sparkSession
     _require_schema(df, schema)
     restore_interrupted(spark, path)
-    staged = Folder(spark, _beside(path, f"staged-{uuid.uuid4().hex}"))
+    # The folder is hidden, the table in it is not: Spark warns on reading that.
+    staging = Folder(spark, _beside(path, f"staged-{uuid.uuid4().hex}"))
+    staged = Folder(spark, f"{staging.path}/table")
     try:
         _write(df, staged.path, parts, "errorifexists")
         # Counting reads the file footers only.
@@ -103,7 +105,7 @@ def publish_partitioned(
             table.move_to(_beside(path, "previous"))
         staged.move_to(path)
     finally:
-        staged.delete()
+        staging.delete()
     restore_interrupted(spark, path)
     spark.catalog.refreshByPath(path)
     return rows

@@ -327,3 +327,28 @@ def test_an_older_table_with_integer_postal_codes_can_be_taken_over(spark, tmp_p
     )
     sinks.publish_partitioned(taken, new, ACCOUNTS.table_schema)
     assert sources.read_table(spark, new, ACCOUNTS.table_schema).first().postal_code == "2134"
+
+
+def test_an_append_that_stops_half_way_is_run_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    stored = by_day(spark, [(1, day(1), "a")])
+    sinks.append_partitioned(stored, path, stored.schema)
+    batch = by_day(spark, [(n, day(n % 9 + 1), f"n{n}") for n in range(60)] + [(1, day(1), "a")])
+    stops = F.when(F.col("id") == 42, F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.append_partitioned(
+            batch.withColumn("note", stops.otherwise(F.col("note"))), path, stored.schema
+        )
+    # As if some files of the failed write had been left in the table all the same.
+    sinks.append_partitioned(batch.where("id < 20 AND id <> 1"), path, stored.schema)
+    table = sources.read_table(spark, path, stored.schema)
+    sinks.append_partitioned(op.rows_to_append(table, batch), path, stored.schema)
+    table = sources.read_table(spark, path, stored.schema)
+    assert rows(table) == Counter({tuple(r) for r in batch.unionByName(stored).collect()})
+
+
+def test_empty_and_header_only_files_among_the_delivered(spark, tmp_path):
+    put(tmp_path, "a.csv", AUTHS_CSV)
+    put(tmp_path, "b.csv", "")
+    put(tmp_path, "c.csv", AUTHS_CSV.splitlines()[0] + "\n")
+    assert sources.read_feed(spark, AUTHS, str(tmp_path)).count() == 27

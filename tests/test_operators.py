@@ -163,6 +163,13 @@ def test_count_and_sum_per_key(spark):
     assert {k: str(v) for k, v in summed.items()} == {"a": "0.30", None: "5.00", "b": "None"}
 
 
+def test_sums_of_other_types_than_double(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    for amount in ("int", "decimal(10,3)", "float", "bigint"):
+        cast = df.withColumn("v", df.v.cast(amount))
+        assert str(op.sum_per(cast, ["k"], "v", "total").first().total) == "3.00"
+
+
 def test_top_k_by_sum_in_order_with_ties_by_name(spark):
     df = spark.createDataFrame(
         [("b", 2.0), ("a", 1.5), ("a", 0.5), ("c", 9.0), ("d", 1.0), ("e", None)],

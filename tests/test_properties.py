@@ -8,13 +8,14 @@ from collections import Counter
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse import operators as op
-from tallyhouse.functions import add_date_parts
+from tallyhouse.functions import add_date_parts, exact_sum
 from tallyhouse.plans import daily_activity, top_k_by_sum
 
 few = settings(
-    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 keys = st.sampled_from(["a", "b", "c", None])
@@ -113,6 +114,26 @@ def test_top_k_is_the_start_of_the_whole_ranking(spark, data, k):
             for r in ranking} == {m: sum(c) if c else None for m, c in exact.items()}
 
 
+odd = st.one_of(
+    st.none(),
+    st.integers(-(10**13), 10**13).map(lambda c: c / 100),
+    st.integers(-(10**7), 10**7).map(lambda c: c / 1000),  # halves of a cent among them
+    st.floats(-1e12, 1e12, allow_nan=False),
+    st.sampled_from([1.005, -1.005, 2.675, 0.0, -0.0, 1e-9, 9999999999999.99, 0.1 + 0.2]),
+)
+
+
+@few
+@given(st.lists(st.tuples(st.sampled_from("ab"), odd), max_size=30), st.sampled_from([0, 2, 4]))
+def test_exact_sum_is_the_sum_of_decimals(spark, data, scale):
+    money = T.DecimalType(18, scale)
+    df = spark.createDataFrame(data, "k string, v double")
+    exact = df.groupBy("k").agg(exact_sum(F.col("v"), money).alias("total"))
+    plain = df.groupBy("k").agg(F.sum(F.col("v").cast(money)).alias("total"))
+    assert exact.schema == plain.schema
+    assert rows(exact) == rows(plain)
+
+
 @few
 @given(facts, facts)
 def test_table_diff_is_empty_only_for_equal_multisets(spark, left, right):
