@@ -20,6 +20,10 @@ def main(argv: list[str] | None = None) -> None:
     ask.add_argument("--last-day", type=dt.date.fromisoformat)
     ask.add_argument("--batch-id", help="names the quarantine folder of this delivery")
     ask.add_argument("--zone", default="UTC", help="time zone the feeds are written in")
+    ask.add_argument("--report-format", default="csv")
+    ask.add_argument(
+        "--versioned", action="store_true", help="accounts as new folders, for object stores"
+    )
     given = vars(ask.parse_args(argv))
     print(run(get_session(), **given))
 

@@ -1,4 +1,4 @@
-from tallyhouse.plans.ingest import ingest_accounts, ingest_auths, tidy_auths
+from tallyhouse.plans.ingest import ingest_accounts, ingest_auths, read_accounts, tidy_auths
 from tallyhouse.plans.pipeline import PipelineResult, run
 from tallyhouse.plans.reports import daily_activity, top_k_by_sum
 
@@ -7,6 +7,7 @@ __all__ = [
     "daily_activity",
     "ingest_accounts",
     "ingest_auths",
+    "read_accounts",
     "run",
     "tidy_auths",
     "top_k_by_sum",

@@ -25,7 +25,9 @@ from tallyhouse.session import for_tables, scratch_path, sized_for
 from tallyhouse.sinks.publish import (
     Folder,
     append_partitioned,
+    latest_version,
     publish_partitioned,
+    publish_version,
     restore_interrupted,
 )
 from tallyhouse.sources.delimited import RAW_LINE, read_feed
@@ -121,6 +123,14 @@ def tidy_auths(spark: SparkSession, table: str) -> int:
         return publish_partitioned(rows, table, AUTHS.table_schema)
 
 
+def read_accounts(spark: SparkSession, table: str, versioned: bool = False) -> DataFrame:
+    """The accounts as last put in place; empty before the first delivery."""
+    path = latest_version(spark, table) if versioned else table
+    if path is None:
+        return spark.createDataFrame([], ACCOUNTS.table_schema)
+    return read_table(spark, path, ACCOUNTS.table_schema)
+
+
 def ingest_accounts(
     spark: SparkSession,
     source: str,
@@ -128,20 +138,27 @@ def ingest_accounts(
     quarantine: str,
     batch_id: str | None = None,
     zone: str = "UTC",
+    versioned: bool = False,
 ) -> Ingested:
     """Bring a delivery of accounts into the table; the latest version of each stays.
 
     An account moves to another day with every update, and a day it leaves must
-    lose it, so the table is written anew beside itself and then put in place.
+    lose it, so the table is written anew beside itself and then put in place:
+    by renaming, or, `versioned`, as a new folder below `table`, which is for
+    object stores. Read it with `read_accounts`.
     """
     with for_tables(spark, zone):
         rows = conform_accounts(read_feed(spark, ACCOUNTS, source))
         with _landed(rows, ACCOUNTS, table, quarantine, batch_id) as (batch, summary):
-            restore_interrupted(spark, table)
-            stored = read_table(spark, table, ACCOUNTS.table_schema)
+            if not versioned:
+                restore_interrupted(spark, table)
+            stored = read_accounts(spark, table, versioned)
             merged = upsert_latest(stored, batch, [ACCOUNTS.key], ACCOUNTS.moment)
-            # An account never goes away, so a table never becomes empty.
-            publish_partitioned(
-                merged, table, ACCOUNTS.table_schema, at_least=0 if stored.isEmpty() else 1
-            )
+            if versioned:
+                publish_version(merged, table, ACCOUNTS.table_schema)
+            else:
+                # An account never goes away, so a table never becomes empty.
+                publish_partitioned(
+                    merged, table, ACCOUNTS.table_schema, at_least=0 if stored.isEmpty() else 1
+                )
     return summary

@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from tallyhouse.functions.dates import between_days
-from tallyhouse.plans.ingest import Ingested, ingest_accounts, ingest_auths
+from tallyhouse.plans.ingest import Ingested, ingest_accounts, ingest_auths, read_accounts
 from tallyhouse.plans.reports import daily_activity, top_k_by_sum
 from tallyhouse.schemas import ACCOUNTS, AUTHS
 from tallyhouse.session import for_tables, sized_for
@@ -42,11 +42,13 @@ def run(
     batch_id: str | None = None,
     zone: str = "UTC",
     report_format: str = "csv",
+    versioned: bool = False,
 ) -> PipelineResult:
     """Merge one delivery of each feed into the warehouse and write the reports.
 
     All paths may be on any file system Spark can reach. The reports cover the
-    whole table, or the days given; then other days' files are not read.
+    whole table, or the days given; then other days' files are not read. On an
+    object store ask for `versioned` accounts, since it cannot rename a folder.
     """
     warehouse, reports = warehouse.rstrip("/"), reports.rstrip("/")
     tables = {feed.name: f"{warehouse}/{feed.name}" for feed in (AUTHS, ACCOUNTS)}
@@ -64,14 +66,14 @@ def run(
             start(ingest_auths, spark, auths, tables["auths"], quarantine, batch_id, zone=zone),
             start(
                 ingest_accounts, spark, accounts, tables["accounts"], quarantine, batch_id,
-                zone=zone,
+                zone=zone, versioned=versioned,
             ),
         ]
         done = [job.result() for job in jobs]
 
         facts = read_table(spark, tables["auths"], AUTHS.table_schema)
         facts = facts.where(between_days(first_day, last_day))
-        entities = read_table(spark, tables["accounts"], ACCOUNTS.table_schema)
+        entities = read_accounts(spark, tables["accounts"], versioned)
         activity = daily_activity(facts, entities, by_partition=True)
         for job in [
             start(write_report, activity, daily, report_format),

@@ -126,12 +126,18 @@ def append_partitioned(
     _write(df, path, parts, "append")
 
 
-def publish_version(df: DataFrame, root: str, parts: Sequence[str] = DAY_PARTS) -> str:
+def publish_version(
+    df: DataFrame,
+    root: str,
+    schema: T.StructType | None = None,
+    parts: Sequence[str] = DAY_PARTS,
+) -> str:
     """Write `df` as a new version folder below `root` and return its path.
 
     For object stores, where a folder cannot be renamed in one step: Spark's
     success marker, written last, is what makes a version count.
     """
+    _require_schema(df, schema)
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     path = f"{root.rstrip('/')}/version-{stamp}-{uuid.uuid4().hex[:8]}"
     _write(df, path, parts, "errorifexists")

@@ -217,3 +217,18 @@ def test_a_long_batch_is_merged_without_being_sent_around(place, monkeypatch):
     place.run()
     place.run(with_auths(",x,,2/7/2022 2:20:30,debit,USA,1.00,amazon"))
     assert place.table(AUTHS).count() == 28
+
+
+def test_versioned_accounts_give_the_same(place, spark):
+    table = f"{place.warehouse}/accounts"
+    assert plans.read_accounts(spark, table, versioned=True).isEmpty()
+    for n in (1, 2):
+        place.run(versioned=True)
+        versions = sorted((place.folder / "warehouse" / "accounts").glob("version-*"))
+        assert len(versions) == n
+        assert plans.read_accounts(spark, table, versioned=True).count() == 7
+    # A version whose writing stopped does not count.
+    (versions[-1] / "_SUCCESS").unlink()
+    place.run(versioned=True, accounts=ACCOUNTS_TSV.splitlines()[0] + "\n")
+    assert plans.read_accounts(spark, table, versioned=True).count() == 7
+    assert place.report(TOP)[1] == "amazon,1046.66" and len(place.report(DAILY)) == 24
