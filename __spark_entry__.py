@@ -566,6 +566,20 @@ def full_run_merchant_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_delimited(spark, written, schema)
 
 
+# The operators for training text, where their subpackage is installed.
+try:
+    import corpus_pipeline
+    from tallyhouse.llm import queries as llm_queries
+except ImportError:
+    pass
+else:
+    _QUERIES.update(llm_queries.QUERIES)
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    _ORACLES.update(llm_queries.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: events per customer and day."""
     return daily_activity(spark, "/root/testdata/sf0.001")
