@@ -7,12 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontamination, line_dedup, packing, quality_classifier, simhash_dedup
+from tallyhouse.llm import (
+    decontamination,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash_dedup,
+    suffix_dedup,
+    url_filter,
+)
 from tallyhouse.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(load(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(load(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
@@ -21,6 +38,10 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(load(spark, sf_dir, "pages"), url_filter.labelled(spark))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     cleaned = line_dedup.dedup_lines(docs, counts=("n_lines", "n_removed"))
@@ -49,8 +70,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op3_suffix_dedup,
+        op4_quality_rules,
         op5_packing,
         op6_simhash_dedup,
+        op7_url_filter,
         op8_line_dedup,
         op9_quality_classifier,
         op10_decontamination,
@@ -58,4 +82,4 @@ QUERIES: dict[str, Query] = {
 }
 
 # Those that SQL can express; the others are tested against plain versions in tests/llm.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_quality_rules": quality_rules.sql()}
