@@ -16,12 +16,17 @@ from tallyhouse.llm import (
     simhash_dedup,
     suffix_dedup,
     url_filter,
+    warc,
 )
 from tallyhouse.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(load(spark, sf_dir, "pages"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(load(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_warc_index_merge,
         op3_suffix_dedup,
         op4_quality_rules,
         op5_packing,
