@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
     decontamination,
+    html_extraction,
     line_dedup,
     packing,
     quality_classifier,
@@ -27,6 +28,10 @@ def op1_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(load(spark, sf_dir, "pages"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(load(spark, sf_dir, "pages"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(load(spark, sf_dir, "documents"))
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_warc_index_merge,
+        op2_html_extraction,
         op3_suffix_dedup,
         op4_quality_rules,
         op5_packing,
