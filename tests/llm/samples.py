@@ -1,0 +1,38 @@
+"""Small tables that every operator must survive, and plain versions of what several share."""
+
+from __future__ import annotations
+
+import random
+
+# Names that the operators use inside, as further columns of their input.
+CLASHING = ("id", "row", "hash", "digest", "chunk", "lines", "bytes", "print", "score", "leaked",
+            "removed", "bin", "component_id", "good", "refers_to")
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def docs(spark, texts, extra=False):
+    """A table like `documents` of (id, text) pairs, with clashing columns if `extra`."""
+    rows = [(i, t, None, "s", None if t is None else len(t)) for i, t in texts]
+    schema = DOCS
+    if extra:
+        rows = [(*row, *[f"x{n}" for n in range(len(CLASHING))]) for row in rows]
+        schema += "".join(f", {name} string" for name in CLASHING)
+    return spark.createDataFrame(rows, schema)
+
+
+def words(draw: random.Random, n: int) -> str:
+    sounds = ["th", "er", "on", "an", "re", "he", "in", "ed", "é", "ß"]
+    return " ".join("".join(draw.choices(sounds, k=draw.randint(1, 4))) for _ in range(n))
+
+
+def odd_texts(seed: int = 1):
+    """Nulls, empties, blanks, a very long text, ties, repeated rows and null ids."""
+    draw = random.Random(seed)
+    long = words(draw, 30_000)
+    some = words(draw, 80)
+    return [
+        (1, None), (2, ""), (3, " \n\t "), (4, long), (5, some), (6, some), (6, some), (7, "a"),
+        (None, some), (None, None), (8, some + "\n" + words(draw, 20)), (9, "\n\n\n"),
+        (-5, words(draw, 60)), (10, "x" * 5000),
+    ]

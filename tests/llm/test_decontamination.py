@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from samples import docs, odd_texts, words
+from tallyhouse.llm import decontamination as dc
+
+
+def plain_distance(item: bytes, text: bytes) -> int:
+    """Least edits from the item to any region of the text."""
+    row = [0] * (len(text) + 1)
+    for i, byte in enumerate(item):
+        last, row = row, [i + 1]
+        for j, other in enumerate(text):
+            row.append(min(last[j] + (byte != other), last[j + 1] + 1, row[j] + 1))
+    return min(row)
+
+
+def benchmark(spark, items):
+    return spark.createDataFrame(items, "item_id bigint, text string")
+
+
+def corpus(seed):
+    draw = random.Random(seed)
+    items = [(n, words(draw, draw.choice([8, 20, 40]))) for n in range(12)]
+    texts = []
+    for i in range(60):
+        parts = [words(draw, draw.randint(0, 40)) for _ in range(2)]
+        if draw.random() < 0.6:
+            item = list(draw.choice(items)[1])
+            for _ in range(draw.choice([0, 0, 1, 3, 6, 15])):
+                at = draw.randrange(len(item))
+                item[at:at + draw.randint(0, 1)] = draw.choice(["", "q", "xy"])
+            part = "".join(item)
+            parts.insert(draw.randint(0, 2), part.upper() if draw.random() < 0.3 else part.replace(" ", "\n  ", 2))
+        texts.append((i, " ".join(parts)))
+    return items, texts
+
+
+def brute(items, texts):
+    block = dc.Block([i for i, _ in items], [dc.normalized(t) for _, t in items])
+    out = set()
+    for i, text in texts:
+        for n, item in enumerate(block.items):
+            edits = plain_distance(item, dc.normalized(text))
+            if edits <= block.budgets[n]:
+                out.add((i, block.ids[n], edits))
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [200, dc.BLOCK_BYTES])
+def test_agrees_with_alignment_of_everything(spark, block_bytes):
+    items, texts = corpus(1)
+    items = [x for x in items if len(dc.normalized(x[1])) >= dc.LEAST_BYTES]
+    got = dc.leaks(docs(spark, texts), benchmark(spark, items), block_bytes=block_bytes)
+    found = {(r["doc_id"], r["item_id"], r["edits"]) for r in got.collect()}
+    want = brute(items, texts)
+    assert {(a, b) for a, b, _ in found} == {(a, b) for a, b, _ in want}
+    assert found == want and len(want) > 10
+
+
+def test_the_aligned_band_is_exact():
+    draw = random.Random(4)
+    for _ in range(50):
+        item = words(draw, 6).encode()
+        text = words(draw, 3).encode() + item[:9] + b"q" + item[11:] + words(draw, 3).encode()
+        width = len(text) + 1
+        padded = np.concatenate([np.frombuffer(text, np.uint8), np.full(len(item) + 1, 10, np.uint8)])
+        assert dc.distance(item, padded, width)[0] == plain_distance(item, text)
+
+
+def test_odd_rows(spark):
+    draw = random.Random(2)
+    long = words(draw, 40)
+    items = [(1, long), (2, None), (3, ""), (4, "short"), (None, words(draw, 30)), (1, long)]
+    texts = odd_texts() + [(50, "before " + long), (50, "before " + long), (None, long), (51, long[:60])]
+    rows = docs(spark, texts, extra=True)
+    found = sorted((str(r["doc_id"]), r["item_id"]) for r in dc.leaks(rows, benchmark(spark, items)).collect())
+    assert found == [("50", 1)] * 4 + [("None", 1)] * 2
+    clean = dc.without_leaks(rows, benchmark(spark, items))
+    assert clean.columns == rows.columns
+    assert clean.count() == rows.count() - 3
+
+
+def test_no_rows(spark):
+    some, none = docs(spark, [(1, "a text")]), benchmark(spark, [])
+    assert dc.leaks(docs(spark, []), benchmark(spark, [(1, "x" * 50)])).collect() == []
+    assert dc.leaks(some, none).collect() == []
+    assert dc.without_leaks(some, none).count() == 1

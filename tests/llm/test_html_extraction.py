@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from samples import words
+from tallyhouse.llm import block_labeller, html_examples, html_extraction
+from tallyhouse.llm.html_blocks import blocks
+
+
+@pytest.fixture(scope="module")
+def labeller():
+    return block_labeller.trained()
+
+
+def page(spark, rows):
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string, text string, id string")
+
+
+def test_blocks_decode_and_split():
+    html = (
+        "<title>A &amp; B</title><script>var x='</p><p>no';</script><style>p{}</style>"
+        "<p>one<b>two</b> three&nbsp;&#8212; four<br>five<p>six<!-- <p>no</p> --> seven"
+        "<div class='Side-bar' id=x9><li>a<li>b</div>&lt;tag&gt; 1 < 2"
+    )
+    found = blocks(html)
+    assert [b.text for b in found] == [
+        "A & B", "onetwo three — four", "five", "six seven", "a", "b", "<tag> 1 < 2",
+    ]
+    assert found[4].path == ("div", ".side", ".bar", ".x", ".9", "li")
+    assert found[-1].path == ()
+
+
+def test_links_are_measured():
+    found = blocks("<p><a href='x>y'>abcd</a>efgh</p><p>plain</p>")
+    assert [b.link_share for b in found] == [0.5, 0.0]
+
+
+def test_hostile_markup_is_read_in_good_time():
+    for html in ("<" * 200_000, "<p " * 50_000, "<a href=\"" * 30_000, "<!--" * 50_000, "</p>" * 50_000):
+        blocks(html)
+
+
+def test_held_out_pages_are_labelled(labeller):
+    rows = [block_labeller.example(html) for html in html_examples.pages(150, seed=77)]
+    scores = labeller.scores([x for x, _ in rows])
+    right = np.concatenate([(s >= 0.5) == (y > 0.5) for s, (_, y) in zip(scores, rows)])
+    assert right.mean() > 0.985
+
+
+def test_gradient_is_that_of_the_loss():
+    draw = np.random.default_rng(1)
+    model = block_labeller.Labeller()
+    pages = [draw.normal(size=(n, block_labeller.INPUTS)).astype(np.float32) for n in (3, 5)]
+    labels = [draw.integers(0, 2, n).astype(np.float32) for n in (3, 5)]
+
+    def loss():
+        total = 0.0
+        for s, y in zip(model.scores(pages), labels):
+            total -= float((y * np.log(s) + (1 - y) * np.log(1 - s)).sum())
+        return total / 8
+
+    found = model._gradients(pages, labels)
+    for weight, gradient in zip(model._weights(), found):
+        at = np.unravel_index(np.abs(gradient).argmax(), gradient.shape)
+        before = weight[at]
+        weight[at] = before + 1e-2
+        up = loss()
+        weight[at] = before - 1e-2
+        down = loss()
+        weight[at] = before
+        assert abs((up - down) / 2e-2 - gradient[at]) < 0.02 * abs(gradient[at]) + 1e-4
+
+
+def template(draw, n):
+    paragraphs = [words(draw, draw.randint(1, 60)).capitalize() + "." for _ in range(n)]
+    menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in words(draw, 6).split())
+    html = (
+        f"<!DOCTYPE html><html><head><title>{paragraphs[0][:40]}</title></head><body><nav><ul>{menu}</ul></nav>"
+        f"<div class=\"ad\">{words(draw, 7)}</div><article><h1>{paragraphs[0]}</h1>"
+        + "".join(f"<p>{p.replace('é', '&eacute;')}</p>" for p in paragraphs[1:])
+        + f"</article><div class=\"comments\"><p>{words(draw, 9)}</p></div>"
+        f"<footer>&copy; x &middot; {words(draw, 6)}</footer></body></html>"
+    )
+    return html, " ".join(paragraphs)
+
+
+def test_the_article_and_nothing_else(spark):
+    draw = random.Random(6)
+    made = [template(draw, draw.randint(2, 12)) for _ in range(60)]
+    rows = page(spark, [(n, f"u{n}", html, "x", "y") for n, (html, _) in enumerate(made)])
+    got = {r["page_id"]: r for r in html_extraction.extract(rows).collect()}
+    right = [got[n]["text"] == want for n, (_, want) in enumerate(made)]
+    assert np.mean(right) > 0.95
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+
+
+def test_odd_rows(spark, labeller):
+    draw = random.Random(7)
+    long, want = template(draw, 3000)
+    rows = page(spark, [
+        (1, None, None, "x", "y"), (2, "u", "", "x", "y"), (None, None, "<p>", None, None),
+        (3, "u", "<nav><a>x</a></nav>", "x", "y"), (4, "u", long, "x", "y"), (4, "u", long, "x", "y"),
+    ])
+    got = html_extraction.extract(rows, labeller=labeller)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    found = {r["page_id"]: r["text"] for r in got.collect()}
+    assert got.count() == 6
+    assert found[1] == found[2] == found[None] == found[3] == ""
+    assert len(found[4]) > 0.99 * len(want)
+
+
+def test_no_rows(spark, labeller):
+    assert html_extraction.extract(page(spark, []), labeller=labeller).collect() == []

@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import xxhash
+
+from samples import docs, odd_texts, words
+from tallyhouse.llm import line_dedup
+
+
+def _hash(line: str) -> int:
+    value = xxhash.xxh64_intdigest(line.encode(), 42)
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
+def chunks(text):
+    """The chunks of a text, by the same rolling hash written out plainly."""
+    lines, out = text.split("\n"), [[]]
+    hashes = [_hash(x) for x in lines]
+    for n, line in enumerate(lines):
+        out[-1].append(line)
+        rolled = 0
+        for k in reversed(range(line_dedup.SPAN)):
+            value = hashes[n - k] % line_dedup._MODULUS if n >= k else 0
+            rolled = (rolled * line_dedup._BASE + value) % line_dedup._MODULUS
+        if rolled % line_dedup.EVERY == 0 and n < len(lines) - 1:
+            out.append([])
+    return out
+
+
+def brute(texts):
+    first = {}
+    for i, t in texts:
+        for n, chunk in enumerate(chunks(t) if t is not None else []):
+            if len(chunk) >= line_dedup.LEAST_LINES:
+                place = (i is None, i or 0, n)
+                first[tuple(chunk)] = min(place, first.get(tuple(chunk), place))
+    out = []
+    for i, t in texts:
+        if t is None:
+            out.append((i, None, 0, 0))
+            continue
+        kept, gone = [], 0
+        for n, chunk in enumerate(chunks(t)):
+            if len(chunk) >= line_dedup.LEAST_LINES and first[tuple(chunk)] != (i is None, i or 0, n):
+                gone += len(chunk)
+            else:
+                kept += chunk
+        out.append((i, "\n".join(kept), t.count("\n") + 1, gone))
+    return Counter(out)
+
+
+def corpus(seed):
+    draw = random.Random(seed)
+    shared = [words(draw, 4) for _ in range(40)]
+    texts = []
+    for i in range(80):
+        lines = [words(draw, 3) for _ in range(draw.randint(0, 6))]
+        if draw.random() < 0.6:
+            a = draw.randint(0, 25)
+            at = draw.randint(0, len(lines))
+            lines[at:at] = shared[a:a + draw.randint(4, 15)]
+        texts.append((i, "\n".join(lines)))
+    texts += [(200, texts[3][1]), (201, texts[3][1]), (202, "\n".join(["same", "lines"] * 30))]
+    return texts
+
+
+def found(df):
+    return Counter((r["doc_id"], r["text"], r["n"], r["gone"]) for r in df.collect())
+
+
+def test_agrees_with_plain_chunks(spark):
+    texts = corpus(1)
+    got = found(line_dedup.dedup_lines(docs(spark, texts), counts=("n", "gone")))
+    assert got == brute(texts)
+    assert sum(n for _, _, _, n in got) > 0
+
+
+def test_odd_rows(spark):
+    texts = odd_texts() + [(40, "a\nb\nc\nd\ne\nf"), (41, "a\nb\nc\nd\ne\nf"), (None, "a\nb\nc\nd\ne\nf")]
+    rows = docs(spark, texts, extra=True)
+    got = line_dedup.dedup_lines(rows, counts=("n", "gone"))
+    assert got.columns == [*rows.columns, "n", "gone"]
+    assert found(got) == brute(texts)
+    assert {r["hash"] for r in got.collect()} == {"x2"}
+
+
+def test_a_passage_is_found_wherever_it_is_moved(spark):
+    draw = random.Random(7)
+    passage = "\n".join(words(draw, 8) for _ in range(200))
+    texts = [(1, "first\n" + passage), (2, "x\ny\nz\n" + passage + "\nend")]
+    got = {r["doc_id"]: r["gone"] for r in
+           line_dedup.dedup_lines(docs(spark, texts), counts=("n", "gone")).collect()}
+    assert got[1] == 0 and got[2] > 150
+
+
+def test_no_rows(spark):
+    rows = docs(spark, [])
+    got = line_dedup.dedup_lines(rows)
+    assert got.columns == rows.columns and got.collect() == []
+
+
+def test_only_built_in_functions(spark):
+    plan = line_dedup.dedup_lines(docs(spark, corpus(2)))._jdf.queryExecution().executedPlan()
+    assert not re.search("Python|Pandas|Arrow", plan.toString())

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from samples import docs, odd_texts, words
+from tallyhouse.llm import suffix_dedup
+
+LENGTH = suffix_dedup.LENGTH
+
+
+def brute(texts):
+    """Every string of the corpus with the least id that has it."""
+    least: dict[bytes, float] = {}
+    raw = [(float("inf") if i is None else i, i, (t or "").encode()) for i, t in texts]
+    for order, _, text in raw:
+        for at in range(len(text) - LENGTH + 1):
+            part = text[at:at + LENGTH]
+            least[part] = min(order, least.get(part, order))
+    out = []
+    for order, i, text in raw:
+        gone = bytearray(len(text))
+        for at in range(len(text) - LENGTH + 1):
+            if least[text[at:at + LENGTH]] < order:
+                gone[at:at + LENGTH] = b"\1" * LENGTH
+        kept = bytes(b for b, g in zip(text, gone) if not g)
+        runs = sum(1 for n, g in enumerate(gone) if g and (n == 0 or not gone[n - 1]))
+        out.append((i, len(text), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted((tuple(row) for row in df.collect()), key=str)
+
+
+def corpus(seed):
+    draw = random.Random(seed)
+    passages = [words(draw, 25) for _ in range(4)]
+    texts = []
+    for i in range(60):
+        parts = [words(draw, draw.randint(0, 30)) for _ in range(3)]
+        for _ in range(draw.randint(0, 3)):
+            parts.insert(draw.randint(0, 3), draw.choice(passages))
+        texts.append((draw.randint(-20, 200), " ".join(parts)))
+    texts += [(300, texts[0][1]), (301, texts[0][1]), (302, texts[1][1][:-3] + "zzz")]
+    return texts
+
+
+@pytest.mark.parametrize("many", [2, 2048])
+def test_agrees_with_a_search_for_every_string(spark, many):
+    texts = corpus(many)
+    got = suffix_dedup.dedup(
+        docs(spark, texts), slice_bytes=2000, bucket_bytes=4000, share_bytes=4000, many=many
+    )
+    assert found(got) == brute(texts)
+
+
+def test_odd_rows(spark):
+    texts = [(i, t if t is None or len(t) < 20_000 else t[:20_000]) for i, t in odd_texts()]
+    assert found(suffix_dedup.dedup(docs(spark, texts, extra=True))) == brute(texts)
+
+
+def test_no_rows(spark):
+    got = suffix_dedup.dedup(docs(spark, []))
+    assert got.collect() == []
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
+def test_suffix_order_is_that_of_the_strings():
+    draw = random.Random(3)
+    body = np.frombuffer(bytes(draw.choices(b"ab", k=3000)) * 2, np.uint8)
+    places = np.arange(len(body) - LENGTH + 1)
+    order, common = suffix_dedup.suffix_order(body, places)
+    strings = [body[p:p + LENGTH].tobytes() for p in places[order]]
+    assert strings == sorted(strings)
+    assert [a == b for a, b in zip(strings, strings[1:])] == (common[1:] == LENGTH).tolist()
+
+
+def test_minimizers_follow_from_the_string_alone():
+    draw = random.Random(4)
+    text = words(draw, 2000).encode()
+    starts, counts, values = suffix_dedup.minimizers(text)
+    assert starts[0] == 0 and starts[-1] + counts[-1] == len(text) - LENGTH + 1
+    assert (starts[1:] == starts[:-1] + counts[:-1]).all()
+    each = np.repeat(values, counts)
+    for at in range(0, len(text) - LENGTH, 97):
+        assert suffix_dedup.minimizers(text[at:at + LENGTH])[2].tolist() == [each[at]]
