@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import tempfile
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -157,6 +158,19 @@ def group_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summed.withColumn("total", F.col("total").cast("double"))
 
 
+@_query("""
+    SELECT l_returnflag,
+           CAST(sum(CAST(l_orderkey AS HUGEINT) * 10000000000000000) AS VARCHAR) || '.00' AS total
+    FROM lineitem GROUP BY l_returnflag
+""")
+def wide_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Single amounts beyond 18 digits, which are summed to the last one.
+    wide = F.col("l_orderkey").cast("decimal(38,0)") * F.lit(10**16).cast("decimal(17,0)")
+    lineitem = _load(spark, sf_dir, "lineitem").select("l_returnflag", wide.alias("amount"))
+    summed = operators.sum_per(lineitem, ["l_returnflag"], "amount", "total")
+    return summed.withColumn("total", F.col("total").cast("string"))
+
+
 @_query("""
     SELECT n_name, s_name, s_acctbal FROM supplier JOIN nation ON s_nationkey = n_nationkey
     ORDER BY n_name, s_name
@@ -193,7 +207,7 @@ def top_k_by_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
         _load(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_extendedprice", "spent"
     )
     named = operators.matching(spent, supplier, "l_suppkey")
-    top = plans.top_k_by_sum(named, "s_name", "spent", 3, money=T.DecimalType(28, 2))
+    top = plans.top_k_by_sum(named, "s_name", "spent", 3)
     return top.withColumn("dollars_spent", F.col("dollars_spent").cast("double"))
 
 
@@ -370,30 +384,57 @@ def pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """)
 def published_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The second publish replaces the very table its plan reads.
+    # Only the days that lose or gain a row are replaced, in the very table the plan reads.
     path = session.scratch_path(spark, "latest")
     events = _events_by_day(spark, sf_dir)
     stored = operators.latest_per_key(_with_types(events, *_STORED_TYPES), ["user_id"], "ts")
     sinks.publish_partitioned(stored, path, events.schema)
-    merged = operators.upsert_latest(
-        sources.read_table(spark, path, events.schema),
-        _with_types(events, *_BATCH_TYPES), ["user_id"], "ts",
-    )
-    sinks.publish_partitioned(merged, path, events.schema, at_least=1)
+    table = sources.read_table(spark, path, events.schema)
+    plans.upsert_days(table, _with_types(events, *_BATCH_TYPES), path, ["user_id"], "ts")
     return sources.read_table(spark, path, events.schema).drop("year", "month", "day")
 
 
 @_query("SELECT * FROM events")
 def published_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Only the day partitions the batch touches are read, only new rows written,
-    # and for a short batch only stored rows that may be copies are shuffled.
+    # Only the day partitions the batch touches are read, and only new rows written.
     path = session.scratch_path(spark, "events")
     events = _events_by_day(spark, sf_dir)
     sinks.publish_partitioned(_with_types(events, *_STORED_TYPES), path, events.schema)
     batch = _with_types(events, *_BATCH_TYPES)
     stored = sources.read_table(spark, path, events.schema).where(operators.touched_days(batch))
-    near = ["user_id", "ts"] if batch.count() <= operators.MOST_SENT else None
-    sinks.append_partitioned(operators.rows_to_append(stored, batch, near), path, events.schema)
+    sinks.append_partitioned(operators.rows_to_append(stored, batch), path, events.schema)
+    return sources.read_table(spark, path, events.schema).drop("year", "month", "day")
+
+
+@_query("""
+    SELECT event_id, ts, user_id, event_type,
+           CASE WHEN event_type IN ('error', 'signup') THEN value + 1 ELSE value END AS value
+    FROM events
+""")
+def published_append_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The batch changes every value; a row whose key its day already has is not added.
+    path = session.scratch_path(spark, "events")
+    events = _events_by_day(spark, sf_dir)
+    sinks.publish_partitioned(_with_types(events, *_STORED_TYPES), path, events.schema)
+    batch = _with_types(events, *_BATCH_TYPES).withColumn("value", F.col("value") + 1)
+    stored = sources.read_table(spark, path, events.schema).where(operators.touched_days(batch))
+    new = operators.rows_to_append(stored, batch, ["event_id", "ts"])
+    sinks.append_partitioned(new, path, events.schema)
+    columns = ["event_id", "ts", "user_id", "event_type", "value"]
+    return sources.read_table(spark, path, events.schema).select(columns)
+
+
+@_query("""
+    SELECT * FROM events
+    UNION ALL SELECT * FROM events WHERE event_type = 'click' AND ts < TIMESTAMP '2024-01-15'
+""")
+def tidied_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Clicks are stored twice; from the 15th on the copies go, before they stay.
+    path = session.scratch_path(spark, "events")
+    events = _events_by_day(spark, sf_dir)
+    sinks.publish_partitioned(events, path, events.schema)
+    sinks.append_partitioned(_with_types(events, "click"), path, events.schema)
+    plans.tidy_days(spark, path, events.schema, first_day=dt.date(2024, 1, 15))
     return sources.read_table(spark, path, events.schema).drop("year", "month", "day")
 
 
@@ -585,8 +626,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return daily_activity(spark, "/root/testdata/sf0.001")
 
 
+def _ready(query: Query) -> Query:
+    """`query` in a session that has a shared folder; a local one is given its own."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        if local and not spark.conf.get("spark.checkpoint.dir", None):
+            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallyhouse-"))
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {name: _ready(query) for name, query in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -24,8 +24,21 @@ def main(argv: list[str] | None = None) -> None:
     ask.add_argument(
         "--versioned", action="store_true", help="accounts as new folders, for object stores"
     )
+    ask.add_argument("--merchants", help="CSV of merchant spellings: columns spelling, name")
+    ask.add_argument(
+        "--fold", action="store_true", help="ignore case and outer spaces of merchant spellings"
+    )
+    ask.add_argument(
+        "--auth-key", action="append", dest="auth_keys", metavar="COLUMN",
+        help="a column of an authorization's identity, once for each; all columns by default",
+    )
     given = vars(ask.parse_args(argv))
-    print(run(get_session(), **given))
+    spark = get_session()
+    if given["merchants"] is None:
+        del given["merchants"]
+    else:
+        given["merchants"] = spark.read.csv(given["merchants"], header=True)
+    print(run(spark, **given))
 
 
 if __name__ == "__main__":

@@ -1,5 +1,4 @@
 from tallyhouse.functions.dates import add_date_parts, between_days, day_code, day_text
-from tallyhouse.functions.money import exact_sum
 from tallyhouse.functions.names import canonical_value, canonicalize, canonicalize_from_table
 
 __all__ = [
@@ -10,5 +9,4 @@ __all__ = [
     "canonicalize_from_table",
     "day_code",
     "day_text",
-    "exact_sum",
 ]

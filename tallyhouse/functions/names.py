@@ -42,10 +42,12 @@ def canonicalize(
 
 
 def canonicalize_from_table(
-    df: DataFrame, column: str, names: DataFrame, spelling: str, name: str
+    df: DataFrame, column: str, names: DataFrame, spelling: str, name: str, fold: bool = False
 ) -> DataFrame:
     """Replace `column` by looking it up in a table of any size.
 
+    Spellings match exactly, or, with `fold`, but for letter case and outer spaces.
+
     No broadcast is asked for. Spark sends the table out only if it proves small
     enough; else it shuffles both sides, and AQE splits the partition of a
     spelling that very many rows carry. A spelling listed with two names fails
@@ -54,9 +56,12 @@ def canonicalize_from_table(
     # AQE splits a partition only if both sides of the join come straight from a
     # shuffle. Grouping by a second column, which follows from the first, makes
     # Spark shuffle the finished lookup by the spelling alone for the join.
+    def folded(text: str) -> Column:
+        return F.lower(F.trim(F.col(text))) if fold else F.col(text)
+
     lookup = (
         names.where(F.col(spelling).isNotNull())
-        .groupBy(F.col(spelling).alias("__spelling"), F.hash(spelling).alias("__hash"))
+        .groupBy(folded(spelling).alias("__spelling"), F.hash(folded(spelling)).alias("__hash"))
         .agg(F.min(name).alias("__name"), F.max(name).alias("__other"))
         .select(
             "__spelling",
@@ -66,6 +71,6 @@ def canonicalize_from_table(
             ).otherwise(F.col("__name")).alias("__name"),
         )
     )
-    found = df.join(lookup, F.col(column) == F.col("__spelling"), "left")
+    found = df.join(lookup, folded(column) == F.col("__spelling"), "left")
     replaced = F.coalesce("__name", column).alias(column)
     return found.select(*[replaced if c == column else F.col(c) for c in df.columns])

@@ -8,10 +8,12 @@ from tallyhouse.operators.checks import (
 )
 from tallyhouse.operators.join import matching
 from tallyhouse.operators.merge import (
-    MOST_SENT,
     append_distinct,
+    day_codes,
     distinct_rows,
     latest_per_key,
+    on_days,
+    ranked_changes,
     rows_to_append,
     touched_days,
     union_all,
@@ -20,15 +22,17 @@ from tallyhouse.operators.merge import (
 from tallyhouse.operators.project import conform_names, keep
 
 __all__ = [
-    "MOST_SENT",
     "append_distinct",
     "conform_names",
     "count_per",
+    "day_codes",
     "distinct_rows",
     "duplicate_keys",
     "keep",
     "latest_per_key",
     "matching",
+    "on_days",
+    "ranked_changes",
     "rows_to_append",
     "schema_diff",
     "split_invalid_keys",

@@ -10,9 +10,6 @@ from pyspark.sql.window import Window
 
 from tallyhouse.functions.dates import day_code
 
-# Hashes of this many rows make a lookup of some 50 MB in each executor.
-MOST_SENT = 2_000_000
-
 _BATCH = "__from_batch"
 _RANK = "__rank"
 
@@ -84,41 +81,68 @@ def append_distinct(
 
 
 def rows_to_append(
-    table: DataFrame, batch: DataFrame, near: Sequence[str] | None = None
+    table: DataFrame, batch: DataFrame, keys: Sequence[str] | None = None
 ) -> DataFrame:
     """The distinct rows of `batch` that `table` does not hold yet.
 
     For a table that is free of copies, as `append_distinct` leaves it, adding
     these rows gives the same as merging everything, and no stored row is
-    written again. One shuffle: copies meet as groups, not as join pairs.
+    written again. Stored rows are first narrowed to those with the hash of a
+    batch row; Spark sends these hashes around only if their size allows it. A
+    row let through by chance does no harm: whole rows are compared after, as
+    groups within tasks first, not as pairs.
 
-    For a batch of at most `MOST_SENT` rows the caller may name columns in
-    `near`. Their hash, 8 bytes a row, then goes to the tasks that read the
-    table, and only stored rows with the hash of a batch row are shuffled. A row
-    let through by chance does no harm, since whole rows are compared after.
+    With `keys` a row is identified by them: what the table has is not added,
+    and of batch rows with one key the least is. NULL keys are equal.
     """
     columns = table.columns
-    if near is not None:
-        mark = F.xxhash64(*near)
-        wanted = batch.select(mark.alias("__near")).distinct()
-        table = table.join(F.broadcast(wanted), mark == F.col("__near"), "left_semi")
-    seen = _marked(table, batch).groupBy(*columns).agg(F.min(_BATCH).alias(_BATCH))
-    return seen.where(F.col(_BATCH)).select(*columns)
+    if keys is None:
+        mark = F.xxhash64(*columns)
+        wanted = batch.select(mark.alias("__mark")).distinct()
+        near = table.join(wanted, mark == F.col("__mark"), "left_semi")
+        seen = _marked(near, batch).groupBy(*columns).agg(F.min(_BATCH).alias(_BATCH))
+        return seen.where(F.col(_BATCH)).select(*columns)
+    held = table.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    order = [F.col(c).asc() for c in columns if c not in keys] or [F.lit(0)]
+    ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    least = batch.withColumn(_RANK, ranked).where(F.col(_RANK) == 1).drop(_RANK)
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return least.join(held, same, "left_anti").select(*columns)
+
+
+def ranked_changes(
+    table: DataFrame, batch: DataFrame, keys: Sequence[str], newest: str
+) -> DataFrame:
+    """Batch rows, and table rows of the same keys, with where they are from and their rank.
+
+    `from_batch` and `rank` are added; rank 1 is the row that `upsert_latest`
+    keeps. Rows of other keys, which an upsert leaves as they are, are not here.
+    """
+    near = table.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(*table.columns)
+    rest = [c for c in table.columns if c not in (*keys, newest)]
+    order = [F.col(c).desc() for c in (newest, "from_batch", *rest)]
+    both = near.withColumn("from_batch", F.lit(False)).unionByName(
+        batch.withColumn("from_batch", F.lit(True))
+    )
+    return both.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
+def day_codes(df: DataFrame) -> list[int]:
+    """The days that `df` has rows in, as 20220207; no more than a calendar has."""
+    rows = df.select(day_code().alias("code")).where("code IS NOT NULL").distinct().collect()
+    return sorted(row.code for row in rows)
+
+
+def on_days(codes: Sequence[int]) -> Column:
+    """A filter for day partitions, listed one by one."""
+    return day_code().isin(list(codes))
 
 
-def touched_days(batch: DataFrame, most: int = 2000) -> Column | None:
+def touched_days(batch: DataFrame) -> Column | None:
     """A filter for the day partitions `batch` has rows in; None for an empty batch.
 
     Equal rows share their day, so only these partitions can hold a copy of a
-    batch row. Up to `most` days are listed one by one; a batch that touches
-    more gets the range from its first to its last day, which reads more
-    partitions than needed but none too few.
+    batch row.
     """
-    codes = batch.select(day_code().alias("code"))
-    listed = [r.code for r in codes.distinct().limit(most + 1).collect()]
-    if not listed:
-        return None
-    if len(listed) <= most:
-        return day_code().isin(sorted(listed))
-    first, last = codes.agg(F.min("code"), F.max("code")).first()
-    return day_code().between(first, last)
+    codes = day_codes(batch)
+    return on_days(codes) if codes else None

@@ -2,30 +2,34 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyhouse.functions.dates import add_date_parts
-from tallyhouse.functions.names import canonicalize
-from tallyhouse.operators.checks import split_invalid_keys
+from tallyhouse.folders import Folder
+from tallyhouse.functions.dates import add_date_parts, between_days, day_code
+from tallyhouse.functions.names import canonicalize, canonicalize_from_table
 from tallyhouse.operators.merge import (
-    MOST_SENT,
-    distinct_rows,
+    day_codes,
+    on_days,
+    ranked_changes,
     rows_to_append,
-    touched_days,
     upsert_latest,
 )
 from tallyhouse.operators.project import conform_names, keep
-from tallyhouse.schemas import ACCOUNTS, AUTHS, MERCHANT_NAMES, Feed
-from tallyhouse.session import for_tables, scratch_path, sized_for
+from tallyhouse.schemas import ACCOUNTS, AUTHS, DAY_PARTS, MERCHANT_NAMES, MONEY, Feed
+from tallyhouse.session import TASK_BYTES, for_tables, size_shuffles
 from tallyhouse.sinks.publish import (
-    Folder,
     append_partitioned,
+    day_folder,
     latest_version,
+    publish_days,
     publish_partitioned,
     publish_version,
     restore_interrupted,
@@ -33,6 +37,10 @@ from tallyhouse.sinks.publish import (
 from tallyhouse.sources.delimited import RAW_LINE, read_feed
 from tallyhouse.sources.warehouse import read_table
 
+# Spelling -> name, as a short map or as a table with these two columns.
+Merchants = Mapping[str, str] | DataFrame
+SPELLING, NAME = "spelling", "name"
+
 
 class Ingested(NamedTuple):
     """What became of one batch."""
@@ -41,6 +49,9 @@ class Ingested(NamedTuple):
     rows_read: int
     rows_quarantined: int
     quarantine: str | None
+    rows_doubtful: int = 0
+    doubtful: str | None = None
+    bytes_landed: int = 0
 
 
 def conform_accounts(raw: DataFrame) -> DataFrame:
@@ -48,39 +59,92 @@ def conform_accounts(raw: DataFrame) -> DataFrame:
     return add_date_parts(conform_names(raw, ACCOUNTS.names), ACCOUNTS.moment)
 
 
-def conform_auths(raw: DataFrame, merchants: Mapping[str, str] = MERCHANT_NAMES) -> DataFrame:
+def conform_auths(
+    raw: DataFrame, merchants: Merchants = MERCHANT_NAMES, fold: bool = False
+) -> DataFrame:
     """Authorization rows under the table's names, merchants in one spelling, with their day."""
     wanted = [*AUTHS.names, *(c for c in raw.columns if c == RAW_LINE)]
     named = conform_names(keep(raw, wanted), AUTHS.names)
-    return add_date_parts(canonicalize(named, "merchant_name", merchants), AUTHS.moment)
+    if isinstance(merchants, DataFrame):
+        # The table belongs to the caller's session; it is planned with the batch's.
+        listed = canonicalize_from_table(named, "merchant_name", merchants, SPELLING, NAME, fold)
+    else:
+        listed = canonicalize(named, "merchant_name", merchants, fold)
+    return add_date_parts(listed, AUTHS.moment)
+
+
+def delivery_name(spark: SparkSession, source: str) -> str:
+    """A name that follows from the delivered files: where they are, their sizes and times.
+
+    The same delivery has the same name each time it is merged. Files are listed, not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    mark = F.xxhash64("path", "length", "modificationTime")
+    sums = files.agg(F.sum(mark.cast("decimal(38,0)")), F.count(F.lit(1))).first()
+    return f"{int(sums[0] or 0) % 2**64:016x}-{sums[1]}"
+
+
+def stored_bytes(spark: SparkSession, table: str, codes: Sequence[int] | None = None) -> int:
+    """Bytes of a table's files, or of some days' files: what a plan that reads them reads."""
+    if codes is None:
+        return Folder(spark, table).size()
+    return sum(Folder(spark, f"{table}/{_folder_of(code)}").size() for code in codes)
+
+
+def _folder_of(code: int) -> str:
+    return day_folder(code // 10000, code // 100 % 100, code % 100)
+
+
+def _broken(feed: Feed) -> Column:
+    return F.col(feed.key).isNull() | F.col(feed.moment).isNull()
+
+
+def _doubtful(df: DataFrame, feed: Feed) -> Column:
+    """A cell that was not of its type, or an amount that is no amount of money."""
+    out = F.col(RAW_LINE).isNotNull() if RAW_LINE in df.columns else F.lit(False)
+    for field in feed.table_schema.fields:
+        if isinstance(field.dataType, T.DoubleType):
+            value = F.col(field.name)
+            out = out | (value.isNotNull() & value.try_cast(MONEY).isNull())
+    return out & ~_broken(feed)
 
 
 @contextmanager
 def _landed(
-    df: DataFrame, feed: Feed, table: str, quarantine: str, batch_id: str | None
+    df: DataFrame, feed: Feed, table: str, quarantine: str, batch_id: str
 ) -> Iterator[tuple[DataFrame, Ingested]]:
     """The batch's rows with key and day, once the others are set aside.
 
     The merge reads its batch more than once, so the text is parsed a single
-    time into columns in the shared folder, where the copy also outlives any
-    executor. It is removed at the end.
+    time into columns beside the table, where the copy also outlives any
+    executor, and counted on the way. It is removed at the end. Rows kept
+    though a cell of theirs is not are put down with their text as well.
     """
     spark = df.sparkSession
-    landing = scratch_path(spark, feed.name)
+    landing = Folder(spark, table).beside(f"landed-{uuid.uuid4().hex}")
     try:
-        df.write.parquet(landing)
-        landed = spark.read.schema(df.schema).parquet(landing)
-        good, bad = split_invalid_keys(landed, [feed.key, feed.moment])
-        held, where = bad.count(), None
-        if held:
-            where = f"{quarantine.rstrip('/')}/{feed.name}/batch={batch_id or uuid.uuid4().hex}"
-            bad.write.mode("overwrite").parquet(where)
+        seen = Observation()
+        broken, doubtful = _broken(feed), _doubtful(df, feed)
+        df.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count_if(broken).alias("broken"),
+            F.count_if(doubtful).alias("doubtful"),
+        ).write.parquet(landing.within("rows").path)
+        counts = seen.get
+        landed = spark.read.schema(df.schema).parquet(landing.within("rows").path)
+        places = {}
+        for kind, name, rows in (("broken", feed.name, broken), ("doubtful", f"{feed.name}_doubtful", doubtful)):
+            if counts[kind]:
+                places[kind] = f"{quarantine.rstrip('/')}/{name}/batch={batch_id}"
+                landed.where(rows).write.mode("overwrite").parquet(places[kind])
         yield (
-            keep(good, feed.table_schema.fieldNames()),
-            Ingested(table, landed.count(), held, where),
+            keep(landed.where(~broken), feed.table_schema.fieldNames()),
+            Ingested(
+                table, counts["rows"], counts["broken"], places.get("broken"),
+                counts["doubtful"], places.get("doubtful"), landing.size(),
+            ),
         )
     finally:
-        Folder(spark, landing).delete()
+        landing.delete()
 
 
 def ingest_auths(
@@ -89,38 +153,86 @@ def ingest_auths(
     table: str,
     quarantine: str,
     batch_id: str | None = None,
-    merchants: Mapping[str, str] = MERCHANT_NAMES,
+    merchants: Merchants = MERCHANT_NAMES,
     zone: str = "UTC",
+    fold: bool = False,
+    keys: Sequence[str] | None = None,
 ) -> Ingested:
     """Add a delivery of authorizations to the table; exact copies are stored once.
 
     Only the day partitions the batch touches are read, and only new rows are
-    written, so the cost follows the batch and not the table. One delivery at a
-    time: two at once could both store a row they share.
+    written, so the cost follows the batch and not the table. With `keys` rows
+    are the same if these columns are; unless the time is among them a copy may
+    lie on any day, and the keys of all days are read. One delivery at a time:
+    two at once could both store a row they share.
     """
-    with for_tables(spark, zone):
-        rows = conform_auths(read_feed(spark, AUTHS, source), merchants)
-        with _landed(rows, AUTHS, table, quarantine, batch_id) as (batch, summary):
-            restore_interrupted(spark, table)
-            days = touched_days(batch)
-            if days is not None:
-                stored = read_table(spark, table, AUTHS.table_schema).where(days)
-                near = [AUTHS.key, AUTHS.moment] if summary.rows_read <= MOST_SENT else None
-                append_partitioned(rows_to_append(stored, batch, near), table, AUTHS.table_schema)
+    own = for_tables(spark, zone)
+    batch_id = batch_id or delivery_name(own, source)
+    rows = conform_auths(read_feed(own, AUTHS, source), merchants, fold)
+    with _landed(rows, AUTHS, table, quarantine, batch_id) as (batch, summary):
+        restore_interrupted(own, table)
+        days = day_codes(batch)
+        if days:
+            stored = read_table(own, table, AUTHS.table_schema)
+            if keys is None or AUTHS.moment in keys:
+                stored = stored.where(on_days(days))
+                size_shuffles(own, spark, stored_bytes(own, table, days) + summary.bytes_landed)
+            else:
+                size_shuffles(own, spark, stored_bytes(own, table) + summary.bytes_landed)
+            append_partitioned(rows_to_append(stored, batch, keys), table, AUTHS.table_schema)
     return summary
 
 
-def tidy_auths(spark: SparkSession, table: str) -> int:
-    """Rewrite the table without copies and with a few large files per day.
+def tidy_auths(
+    spark: SparkSession, table: str, first_day: dt.date | None = None,
+    last_day: dt.date | None = None, version_root: str | None = None,
+) -> int:
+    """`tidy_days` of the authorizations.
 
     `ingest_auths` stores no copies and never rewrites. This is for a table that
     something else filled, or that many small deliveries have left in many small
-    files. Returns the number of rows.
+    files.
     """
-    with for_tables(spark), sized_for(spark, Folder(spark, table).size()):
-        restore_interrupted(spark, table)
-        rows = distinct_rows(read_table(spark, table, AUTHS.table_schema))
-        return publish_partitioned(rows, table, AUTHS.table_schema)
+    return tidy_days(spark, table, AUTHS.table_schema, first_day, last_day, version_root)
+
+
+def tidy_days(
+    spark: SparkSession, table: str, schema: T.StructType, first_day: dt.date | None = None,
+    last_day: dt.date | None = None, version_root: str | None = None,
+) -> int:
+    """Rewrite the days from `first_day` to `last_day` without copies, in a few large files each.
+
+    Other days keep their files. One shuffle: by day and a hash of the row, which
+    brings copies together and cuts a large day into several files. With
+    `version_root` the result, then of the whole table, becomes a version there,
+    for object stores. Returns the number of rows written.
+    """
+    own = for_tables(spark)
+    restore_interrupted(own, table)
+    if not Folder(own, table).exists():
+        raise FileNotFoundError(f"there is no table at {table}")
+    if version_root and (first_day or last_day):
+        raise ValueError("a version holds all days")
+    some = read_table(own, table, schema).where(between_days(first_day, last_day))
+    # The days are those of the folders; no column is read.
+    per_day = some.select(*DAY_PARTS).distinct().collect()
+    if not per_day:
+        return 0
+    sizes = {tuple(row): Folder(own, f"{table}/{day_folder(*row)}").size() for row in per_day}
+    pieces = {day: size // TASK_BYTES + 1 for day, size in sizes.items()}
+    large = {y * 10000 + m * 100 + d: n for (y, m, d), n in pieces.items() if n > 1}
+    of_day = F.lit(1)
+    if large:
+        known = F.create_map(*[F.lit(x) for pair in sorted(large.items()) for x in pair])
+        of_day = F.coalesce(F.element_at(known, day_code()), of_day)
+    marked = some.withColumn("__piece", F.pmod(F.xxhash64(*some.columns), of_day))
+    dealt = marked.repartition(sum(pieces.values()), *DAY_PARTS, "__piece")
+    rows = dealt.distinct().drop("__piece")
+    if version_root:
+        path = publish_version(rows, version_root, schema, at_least=len(pieces))
+        return read_table(own, path, schema).count()
+    folders = [day_folder(*day) for day in sorted(pieces)]
+    return publish_days(rows, table, folders, schema, at_least=len(pieces), rebalance=False)
 
 
 def read_accounts(spark: SparkSession, table: str, versioned: bool = False) -> DataFrame:
@@ -142,23 +254,58 @@ def ingest_accounts(
 ) -> Ingested:
     """Bring a delivery of accounts into the table; the latest version of each stays.
 
-    An account moves to another day with every update, and a day it leaves must
-    lose it, so the table is written anew beside itself and then put in place:
-    by renaming, or, `versioned`, as a new folder below `table`, which is for
+    An account moves to another day with an update, and a day it leaves must lose
+    it. So the stored rows of the batch's accounts are found, and only the days
+    that lose or gain a row are written anew, beside the table, and put in place.
+    `versioned` writes the whole table as a new folder below `table` instead, for
     object stores. Read it with `read_accounts`.
     """
-    with for_tables(spark, zone):
-        rows = conform_accounts(read_feed(spark, ACCOUNTS, source))
-        with _landed(rows, ACCOUNTS, table, quarantine, batch_id) as (batch, summary):
-            if not versioned:
-                restore_interrupted(spark, table)
-            stored = read_accounts(spark, table, versioned)
+    own = for_tables(spark, zone)
+    batch_id = batch_id or delivery_name(own, source)
+    rows = conform_accounts(read_feed(own, ACCOUNTS, source))
+    with _landed(rows, ACCOUNTS, table, quarantine, batch_id) as (batch, summary):
+        if not versioned:
+            restore_interrupted(own, table)
+        stored = read_accounts(own, table, versioned)
+        size_shuffles(own, spark, stored_bytes(own, table) + summary.bytes_landed)
+        if versioned:
+            # Merging never takes an account away.
             merged = upsert_latest(stored, batch, [ACCOUNTS.key], ACCOUNTS.moment)
-            if versioned:
-                publish_version(merged, table, ACCOUNTS.table_schema)
-            else:
-                # An account never goes away, so a table never becomes empty.
-                publish_partitioned(
-                    merged, table, ACCOUNTS.table_schema, at_least=0 if stored.isEmpty() else 1
-                )
+            publish_version(merged, table, ACCOUNTS.table_schema, at_least=stored.count())
+        elif not Folder(own, table).exists():
+            merged = upsert_latest(stored, batch, [ACCOUNTS.key], ACCOUNTS.moment)
+            publish_partitioned(merged, table, ACCOUNTS.table_schema)
+        else:
+            upsert_days(stored, batch, table, [ACCOUNTS.key], ACCOUNTS.moment)
     return summary
+
+
+def upsert_days(
+    stored: DataFrame, batch: DataFrame, table: str, keys: Sequence[str], newest: str
+) -> None:
+    """Bring `batch` into the table that `stored` reads, one row per key, the latest.
+
+    Only days that lose or gain a row are written anew; files of others stay. A
+    day left without rows goes away.
+    """
+    spark = stored.sparkSession
+    kept = Folder(spark, table).beside(f"changes-{uuid.uuid4().hex}")
+    try:
+        found = ranked_changes(stored, batch, keys, newest)
+        found.write.parquet(kept.within("rows").path)
+        changes = spark.read.schema(found.schema).parquet(kept.within("rows").path)
+        # A stored row that stays first changes nothing.
+        codes = day_codes(changes.where(F.col("from_batch") == (F.col("rank") == 1)))
+        if not codes:
+            return
+        there = stored.where(on_days(codes))
+        first = changes.where((F.col("rank") == 1) & on_days(codes)).select(*stored.columns)
+        rest = there.join(batch.select(*keys).distinct(), list(keys), "left_anti")
+        old = changes.where(~F.col("from_batch") & on_days(codes)).count()
+        publish_days(
+            rest.select(*stored.columns).unionByName(first), table,
+            [_folder_of(code) for code in codes],
+            stored.schema, exactly=there.count() - old + first.count(),
+        )
+    finally:
+        kept.delete()

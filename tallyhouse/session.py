@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,77 +31,57 @@ TABLE_SETTINGS = {
 
 
 def get_session(app_name: str = "tallyhouse", **settings: str) -> SparkSession:
-    """A session with this module's settings, then the caller's, and a checkpoint folder."""
+    """A session with this module's settings, then the caller's."""
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SETTINGS, **TABLE_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
-@contextmanager
-def using(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
-    """Session settings for the time of a block."""
-    before = {key: spark.conf.get(key) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+def child_session(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
+    """A session of its own with the caller's settings and then `settings`.
+
+    Two runs that overlap each have one, so neither sees what the other has set,
+    and the caller's session is never touched.
+    """
+    made = spark.newSession()
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if made.conf.isModifiable(key):
+            made.conf.set(key, value)
+    return made
 
 
-def for_tables(spark: SparkSession, zone: str = "UTC"):
-    """Write tables as `TABLE_SETTINGS` say, and read and split times in `zone`.
+def for_tables(spark: SparkSession, zone: str = "UTC") -> SparkSession:
+    """A session that writes tables as `TABLE_SETTINGS` say, and reads times in `zone`.
 
     Both feeds write local times without a zone, and the day a row belongs to
     follows from it: the same file read under two zones gives different rows.
     """
-    return using(spark, {**TABLE_SETTINGS, "spark.sql.session.timeZone": zone})
+    return child_session(spark, {**TABLE_SETTINGS, "spark.sql.session.timeZone": zone})
 
 
-# A stage with more tasks than this costs the driver more than it saves the
-# executors; beyond it tasks get larger instead.
-MOST_TASKS = 50_000
+# What one task should take of a shuffle.
 TASK_BYTES = 128 * 1024 * 1024
 
 
-def sized_for(spark: SparkSession, input_bytes: int):
-    """Cut scans and shuffles for `input_bytes` of input, for the time of a block.
+def size_shuffles(own: SparkSession, caller: SparkSession, read: int) -> None:
+    """Give a run's own session shuffle partitions for a plan that reads `read` bytes.
 
     AQE joins small shuffle partitions and splits skewed ones, but cannot split
     those of an aggregate that are all too large, so there must be enough of
-    them to begin with. Settings are only ever raised.
+    them to begin with. The number follows from what this plan reads and is
+    never less than the caller's.
     """
-    wanted = {
-        "spark.sql.shuffle.partitions": min(input_bytes // TASK_BYTES, MOST_TASKS),
-        "spark.sql.files.maxPartitionBytes": input_bytes // MOST_TASKS,
-    }
-    raised = {k: str(v) for k, v in wanted.items() if v > _bytes(spark.conf.get(k))}
-    return using(spark, raised)
-
-
-def _bytes(setting: str) -> int:
-    """A setting such as 200, 134217728b or 128m as a plain number."""
-    number, unit = re.fullmatch(r"(\d+)([a-z]?)b?", setting.lower()).groups()
-    return int(number) * 1024 ** " kmgtp".index(unit if unit and unit != "b" else " ")
+    name = "spark.sql.shuffle.partitions"
+    own.conf.set(name, str(max(int(caller.conf.get(name)), -(-read // TASK_BYTES))))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as `spark.checkpoint.dir` names it.
-
-    Only a local-mode session without that setting gets a folder of its own.
-    """
+    """The folder every executor can reach, as `spark.checkpoint.dir` names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tallyhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,6 +1,8 @@
 from tallyhouse.sinks.publish import (
     append_partitioned,
+    day_folder,
     latest_version,
+    publish_days,
     publish_partitioned,
     publish_version,
     restore_interrupted,
@@ -9,7 +11,9 @@ from tallyhouse.sinks.report import write_report
 
 __all__ = [
     "append_partitioned",
+    "day_folder",
     "latest_version",
+    "publish_days",
     "publish_partitioned",
     "publish_version",
     "restore_interrupted",

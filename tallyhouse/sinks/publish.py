@@ -1,52 +1,29 @@
-"""Writing tables so that no plan ever overwrites the files it reads."""
+"""Writing tables so that no plan overwrites the files it reads, and no failure loses rows.
+
+A replacement writes its rows beside the table and checks them. Then the old
+folders move to a hidden folder, `.<table>.previous`, the new ones take their
+places, and a mark says that it is done. A journal written before the first move
+lists the folders, so a replacement cut off anywhere is undone by
+`restore_interrupted`: every writer here begins with it, and `read_table` refuses
+a table that needs it.
+"""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyhouse.folders import Folder
 from tallyhouse.operators.checks import schema_diff
 from tallyhouse.schemas import DAY_PARTS
 
-
-class Folder:
-    """The few file-system calls publishing needs, on any Hadoop file system."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.path = path.rstrip("/")
-        self._Path = spark._jvm.org.apache.hadoop.fs.Path
-        self._at = self._Path(self.path)
-        self._fs = self._at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def exists(self) -> bool:
-        return self._fs.exists(self._at)
-
-    def delete(self) -> None:
-        self._fs.delete(self._at, True)
-
-    def move_to(self, path: str) -> None:
-        to = self._Path(path)
-        self._fs.mkdirs(to.getParent())
-        if not self._fs.rename(self._at, to):
-            raise OSError(f"could not move {self.path} to {path}")
-
-    def size(self) -> int:
-        """Bytes in all files below, 0 if there is nothing; globs are followed."""
-        found = self._fs.globStatus(self._at) or []
-        return sum(self._fs.getContentSummary(f.getPath()).getLength() for f in found)
-
-    def names(self) -> list[str]:
-        return [s.getPath().getName() for s in self._fs.listStatus(self._at)]
-
-
-def _beside(path: str, kind: str) -> str:
-    """A hidden sibling of `path`: on the same file system, skipped by scans."""
-    parent, slash, name = path.rstrip("/").rpartition("/")
-    return f"{parent}{slash}.{name}.{kind}"
+_JOURNAL, _DONE = "_journal", "_done"
+# In a journal, the table as a whole.
+_WHOLE = "."
 
 
 def _require_schema(df: DataFrame, schema: T.StructType | None) -> None:
@@ -55,62 +32,147 @@ def _require_schema(df: DataFrame, schema: T.StructType | None) -> None:
         raise ValueError(f"rows do not fit the table: {wrong}")
 
 
-def _write(df: DataFrame, path: str, parts: Sequence[str], mode: str) -> None:
+def _write(
+    df: DataFrame, path: str, parts: Sequence[str], mode: str, rebalance: bool = True
+) -> None:
     # One day's rows meet in few tasks, so a day gets few files. Rebalancing
     # lets AQE split a day that holds a large share of the rows over many tasks
     # and put small days together, which a plain repartition would not.
-    df.hint("rebalance", *parts).write.partitionBy(*parts).mode(mode).parquet(path)
+    if rebalance:
+        df = df.hint("rebalance", *parts)
+    df.write.partitionBy(*parts).mode(mode).parquet(path)
+
+
+def day_folder(year: int, month: int, day: int) -> str:
+    """Where a day's files lie below a table."""
+    return f"year={year}/month={month}/day={day}"
+
+
+def swap_is_open(spark: SparkSession, path: str) -> bool:
+    """Whether a replacement of the table is under way or was cut off."""
+    previous = Folder(spark, path).beside("previous")
+    return previous.exists() and not previous.within(_DONE).exists()
 
 
 def restore_interrupted(spark: SparkSession, path: str) -> None:
-    """Bring back the table if a publish stopped between its two renames."""
-    previous = Folder(spark, _beside(path, "previous"))
+    """Undo a replacement of the table that was cut off; tidy up after a finished one.
+
+    What had come in place of an old folder is set aside under a hidden name,
+    never deleted.
+    """
+    table = Folder(spark, path)
+    previous = table.beside("previous")
     if not previous.exists():
         return
-    if Folder(spark, path).exists():
-        previous.delete()
-    else:
-        previous.move_to(path)
+    if not previous.within(_DONE).exists():
+        aside = table.beside(f"undone-{uuid.uuid4().hex}")
+        journal = previous.within(_JOURNAL)
+        # Without a journal nothing had been moved.
+        for line in journal.text().splitlines() if journal.exists() else []:
+            existed, part = line.split(" ", 1)
+            now, old = _places(table, previous, part)
+            if old.exists() or existed == "0":
+                if now.exists():
+                    now.move_to(aside if part == _WHOLE else aside.within(part))
+                if old.exists():
+                    old.move_to(now)
+    previous.delete()
+    spark.catalog.refreshByPath(path)
 
 
-def publish_partitioned(
-    df: DataFrame,
-    path: str,
-    schema: T.StructType | None = None,
-    parts: Sequence[str] = DAY_PARTS,
-    at_least: int = 0,
-) -> int:
-    """Replace the table at `path` by `df`, which may read that table.
+def _places(table: Folder, previous: Folder, part: str) -> tuple[Folder, Folder]:
+    if part == _WHOLE:
+        return table, previous.within("table")
+    return table.within(part), previous.within(part)
 
-    The rows go to a new folder beside the table. Only if they fit `schema` and
-    there are `at_least` so many do two renames put them in place. So a failure
-    before leaves the old table as it was, and `restore_interrupted` undoes one
-    between the renames. Renames move whole folders on HDFS and local disks; on
-    an object store use `publish_version`. Returns the number of rows.
-    """
+
+def _swap(spark: SparkSession, path: str, staged: Folder, parts: Iterable[str]) -> None:
+    """Put the staged folders in the places of the table's; a part not staged goes away."""
+    table = Folder(spark, path)
+    previous = table.beside("previous")
+    places = {part: _places(table, previous, part) for part in parts}
+    lines = [f"{int(now.exists())} {part}" for part, (now, _) in places.items()]
+    previous.within(_JOURNAL).put("\n".join(lines))
+    try:
+        for now, old in places.values():
+            if now.exists():
+                now.move_to(old)
+        for part, (now, _) in places.items():
+            new = staged if part == _WHOLE else staged.within(part)
+            if new.exists():
+                new.move_to(now)
+    except Exception:
+        restore_interrupted(spark, path)
+        raise
+    previous.within(_DONE).put("")
+    restore_interrupted(spark, path)
+    spark.catalog.refreshByPath(path)
+
+
+def _replace(
+    df: DataFrame, path: str, schema: T.StructType | None, parts: Sequence[str],
+    days: Sequence[str] | None, at_least: int, exactly: int | None, rebalance: bool,
+) -> int:
     spark = df.sparkSession
     _require_schema(df, schema)
     restore_interrupted(spark, path)
     # The folder is hidden, the table in it is not: Spark warns on reading that.
-    staging = Folder(spark, _beside(path, f"staged-{uuid.uuid4().hex}"))
-    staged = Folder(spark, f"{staging.path}/table")
+    staging = Folder(spark, path).beside(f"staged-{uuid.uuid4().hex}")
+    staged = staging.within("table")
     try:
-        _write(df, staged.path, parts, "errorifexists")
+        _write(df, staged.path, parts, "errorifexists", rebalance)
         # Counting reads the file footers only.
         rows = spark.read.schema(df.schema).parquet(staged.path).count()
-        if rows < at_least:
-            raise ValueError(f"{rows} rows were staged for {path}, expected {at_least} or more")
-        table = Folder(spark, path)
-        if table.exists():
-            table.move_to(_beside(path, "previous"))
-        staged.move_to(path)
+        if rows < at_least or (exactly is not None and rows != exactly):
+            wanted = f"{at_least} or more" if exactly is None else f"{exactly}"
+            raise ValueError(f"{rows} rows were staged for {path}, expected {wanted}")
+        if days is not None:
+            strange = [
+                "/".join(f"{part}={row[part]}" for part in parts)
+                for row in spark.read.schema(df.schema).parquet(staged.path)
+                .select(*parts).distinct().collect()
+            ]
+            strange = sorted(set(strange) - set(days))
+            if strange:
+                raise ValueError(f"rows were staged for days not to be replaced: {strange[:3]}")
+        _swap(spark, path, staged, [_WHOLE] if days is None else days)
     finally:
         staging.delete()
-    restore_interrupted(spark, path)
-    spark.catalog.refreshByPath(path)
     return rows
 
 
+def publish_partitioned(
+    df: DataFrame,
+    path: str,
+    schema: T.StructType | None = None,
+    parts: Sequence[str] = DAY_PARTS,
+    at_least: int = 0,
+) -> int:
+    """Replace the table at `path` by `df`, which may read that table.
+
+    Only if the rows fit `schema` and there are `at_least` so many do they take
+    the table's place. Renames move whole folders on HDFS and local disks; on an
+    object store use `publish_version`. Returns the number of rows.
+    """
+    return _replace(df, path, schema, parts, None, at_least, None, True)
+
+
+def publish_days(
+    df: DataFrame,
+    path: str,
+    days: Sequence[str],
+    schema: T.StructType | None = None,
+    exactly: int | None = None,
+    at_least: int = 0,
+    rebalance: bool = True,
+) -> int:
+    """Replace some days' folders of the table at `path` by the rows of `df`, all of those days.
+
+    A day without a row goes away; files of other days are not touched.
+    """
+    return _replace(df, path, schema, DAY_PARTS, days, at_least, exactly, rebalance)
+
+
 def append_partitioned(
     df: DataFrame,
     path: str,
@@ -123,6 +185,7 @@ def append_partitioned(
     half-way can be run again if `df` leaves out rows that are already stored.
     """
     _require_schema(df, schema)
+    restore_interrupted(df.sparkSession, path)
     _write(df, path, parts, "append")
 
 
@@ -131,26 +194,39 @@ def publish_version(
     root: str,
     schema: T.StructType | None = None,
     parts: Sequence[str] = DAY_PARTS,
+    at_least: int = 0,
+    keep: int = 2,
 ) -> str:
     """Write `df` as a new version folder below `root` and return its path.
 
     For object stores, where a folder cannot be renamed in one step: Spark's
-    success marker, written last, is what makes a version count.
+    success marker, written last, is what makes a version count. One with fewer
+    than `at_least` rows is removed again. The `keep` newest versions stay, so
+    those who read the one before are not cut off.
     """
+    spark = df.sparkSession
     _require_schema(df, schema)
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     path = f"{root.rstrip('/')}/version-{stamp}-{uuid.uuid4().hex[:8]}"
     _write(df, path, parts, "errorifexists")
+    rows = spark.read.schema(df.schema).parquet(path).count()
+    if rows < at_least:
+        Folder(spark, path).delete()
+        raise ValueError(f"{rows} rows were written for {root}, expected {at_least} or more")
+    for old in _versions(spark, root)[max(keep, 1):]:
+        Folder(spark, old).delete()
     return path
 
 
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """The newest complete version below `root`, or None."""
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """Complete versions below `root`, newest first."""
     folder = Folder(spark, root)
     if not folder.exists():
-        return None
-    for name in sorted((n for n in folder.names() if n.startswith("version-")), reverse=True):
-        path = f"{folder.path}/{name}"
-        if Folder(spark, f"{path}/_SUCCESS").exists():
-            return path
-    return None
+        return []
+    names = sorted((n for n in folder.names() if n.startswith("version-")), reverse=True)
+    return [f"{folder.path}/{n}" for n in names if folder.within(f"{n}/_SUCCESS").exists()]
+
+
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    """The newest complete version below `root`, or None."""
+    return next(iter(_versions(spark, root)), None)

@@ -6,9 +6,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyhouse.sinks.publish import swap_is_open
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table with its declared columns in order; an absent table is empty."""
+    """The table with its declared columns in order; an absent table is empty.
+
+    A table whose replacement is under way or was cut off is an error, not empty:
+    `restore_interrupted` brings it back.
+    """
+    if swap_is_open(spark, path):
+        raise RuntimeError(f"a replacement of {path} is not finished; see restore_interrupted")
     try:
         df = spark.read.schema(schema).parquet(path)
     except AnalysisException as e:

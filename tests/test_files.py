@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 from samples import ACCOUNTS_TSV, AUTHS_CSV
 from tallyhouse import operators as op
 from tallyhouse import session, sinks, sources
+from tallyhouse.folders import Folder, hidden_sibling
 from tallyhouse.functions import add_date_parts
 from tallyhouse.schemas import ACCOUNTS, AUTHS
-from tallyhouse.sinks.publish import _beside
+from tallyhouse.sinks import publish
 from tallyhouse.sources import RAW_LINE
 
 
@@ -159,30 +160,100 @@ def test_failed_publish_leaves_the_table_alone(spark, tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
 
 
-def test_publish_interrupted_between_its_renames_is_undone(spark, tmp_path):
+class Stopped(Exception):
+    pass
+
+
+def stop_at_move(monkeypatch, n, kill):
+    """The n-th move of a folder fails; with `kill` nothing tidies up after it, as in a crash."""
+    move, moves = Folder.move_to, []
+
+    def moved(self, to):
+        moves.append(to)
+        if len(moves) == n:
+            raise Stopped
+        move(self, to)
+
+    monkeypatch.setattr(Folder, "move_to", moved)
+    if kill:
+        monkeypatch.setattr(publish, "restore_interrupted", lambda *a: None)
+
+
+@pytest.mark.parametrize("kill", [False, True])
+@pytest.mark.parametrize("n", [1, 2])
+def test_a_publish_cut_off_at_any_move_is_undone(spark, tmp_path, monkeypatch, n, kill):
     path = str(tmp_path / "t")
-    df = by_day(spark, [(1, day(1), "a")])
+    df, new = by_day(spark, [(1, day(1), "a")]), by_day(spark, [(2, day(2), "b")])
+    sinks.publish_partitioned(df, path)
+    with monkeypatch.context() as m, pytest.raises(Stopped):
+        stop_at_move(m, n, kill)
+        sinks.publish_partitioned(new, path)
+    if kill:
+        with pytest.raises(RuntimeError, match="not finished"):
+            sources.read_table(spark, path, df.schema)
+        # Whoever writes next brings the table back first.
+        sinks.append_partitioned(new, path)
+        assert rows(sources.read_table(spark, path, df.schema)) == rows(df.unionByName(new))
+    else:
+        assert rows(sources.read_table(spark, path, df.schema)) == rows(df)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+@pytest.mark.parametrize("n", range(1, 6))
+def test_days_replaced_in_part_are_undone(spark, tmp_path, monkeypatch, n):
+    path = str(tmp_path / "t")
+    df = by_day(spark, [(1, day(1), "a"), (2, day(2), "b"), (3, day(3), "c")])
     sinks.publish_partitioned(df, path)
-    (tmp_path / "t").rename(tmp_path / ".t.previous")
+    new = by_day(spark, [(1, day(2), "x"), (2, day(4), "y"), (5, day(1), "z")])
+    days = [sinks.day_folder(2022, 2, d) for d in (1, 2, 4)]
+    with monkeypatch.context() as m, pytest.raises(Stopped):
+        stop_at_move(m, n, kill=True)
+        sinks.publish_days(new, path, days)
+    with pytest.raises(RuntimeError, match="not finished"):
+        sources.read_table(spark, path, df.schema)
     sinks.restore_interrupted(spark, path)
     assert rows(sources.read_table(spark, path, df.schema)) == rows(df)
+    assert sinks.publish_days(new, path, days, exactly=3) == 3
+    assert rows(sources.read_table(spark, path, df.schema)) == rows(new.unionByName(df.where("id = 3")))
 
 
-def test_stale_previous_table_is_removed(spark, tmp_path):
+def test_a_finished_swap_is_tidied_up_and_not_undone(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
-    df = by_day(spark, [(1, day(1), "a")])
+    df, new = by_day(spark, [(1, day(1), "a")]), by_day(spark, [(2, day(2), "b")])
     sinks.publish_partitioned(df, path)
-    sinks.publish_partitioned(by_day(spark, [(9, day(9), "z")]), str(tmp_path / ".t.previous"))
+    with monkeypatch.context() as m:
+        m.setattr(publish, "restore_interrupted", lambda *a: None)
+        sinks.publish_partitioned(new, path)
+    assert (tmp_path / ".t.previous" / "_done").exists()
+    assert rows(sources.read_table(spark, path, df.schema)) == rows(new)
     sinks.restore_interrupted(spark, path)
+    assert rows(sources.read_table(spark, path, df.schema)) == rows(new)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_days_that_are_not_replaced_keep_their_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = by_day(spark, [(1, day(1), "a"), (2, day(2), "b"), (3, day(3), "c")])
+    sinks.publish_partitioned(df, path)
+    kept = set((tmp_path / "t").rglob("day=3/*.parquet"))
+    new = by_day(spark, [(1, day(2), "x")])
+    days = [sinks.day_folder(2022, 2, d) for d in (1, 2)]
+    with pytest.raises(ValueError, match="expected 2"):
+        sinks.publish_days(new, path, days, exactly=2)
+    with pytest.raises(ValueError, match="not to be replaced"):
+        sinks.publish_days(new, path, days[:1])
     assert rows(sources.read_table(spark, path, df.schema)) == rows(df)
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    sinks.publish_days(new, path, days)
+    assert set((tmp_path / "t").rglob("day=3/*.parquet")) == kept
+    assert not (tmp_path / "t" / "year=2022" / "month=2" / "day=1").exists()
+    assert rows(sources.read_table(spark, path, df.schema)) == rows(new.unionByName(df.where("id = 3")))
 
 
 @pytest.mark.parametrize("path, hidden", [
     ("/a/b/t", "/a/b/.t.x"), ("/t/", "/.t.x"), ("t", ".t.x"), ("hdfs://h:1/a/t", "hdfs://h:1/a/.t.x"),
 ])
 def test_hidden_sibling(path, hidden):
-    assert _beside(path, "x") == hidden
+    assert hidden_sibling(path, "x") == hidden
 
 
 def test_append_adds_only_and_creates(spark, tmp_path):
@@ -213,6 +284,15 @@ def test_versions_and_an_unfinished_one(spark, tmp_path):
     assert rows(sources.read_table(spark, first, one.schema)) == rows(one)
 
 
+def test_old_versions_go_and_a_short_one_does_not_count(spark, tmp_path):
+    root = str(tmp_path / "t")
+    made = [sinks.publish_version(by_day(spark, [(n, day(n), "a")]), root) for n in (1, 2, 3)]
+    with pytest.raises(ValueError, match="expected 2 or more"):
+        sinks.publish_version(by_day(spark, [(9, day(9), "a")]), root, at_least=2)
+    assert sinks.latest_version(spark, root) == made[-1]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == [m.rsplit("/", 1)[1] for m in made[1:]]
+
+
 def test_snapshot_outlives_its_source(spark, tmp_path):
     path = str(tmp_path / "t")
     df = by_day(spark, [(1, day(1), "a")])
@@ -229,15 +309,29 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert one.startswith(shared + "/") and one != two
 
 
-def test_settings_are_put_back_after_an_error(spark):
-    keys = ["spark.sql.session.timeZone", *session.TABLE_SETTINGS]
+def test_a_run_has_settings_of_its_own(spark):
+    keys = ["spark.sql.session.timeZone", *session.TABLE_SETTINGS, "spark.sql.shuffle.partitions"]
     before = [spark.conf.get(k) for k in keys]
-    with pytest.raises(KeyError), session.for_tables(spark, "Asia/Tokyo"):
-        assert [spark.conf.get(k) for k in keys] == ["Asia/Tokyo", "TIMESTAMP_MICROS", "zstd"]
-        raise KeyError
+    tokyo, chicago = (session.for_tables(spark, z) for z in ("Asia/Tokyo", "America/Chicago"))
+    assert [tokyo.conf.get(k) for k in keys] == ["Asia/Tokyo", "TIMESTAMP_MICROS", "zstd", "4"]
+    assert chicago.conf.get(keys[0]) == "America/Chicago"
+    session.size_shuffles(tokyo, spark, 100 * 2**30)
+    assert tokyo.conf.get(keys[-1]) == "800" and chicago.conf.get(keys[-1]) == "4"
+    session.size_shuffles(tokyo, spark, 100 * 2**40)
+    assert tokyo.conf.get(keys[-1]) == "819200"
+    session.size_shuffles(tokyo, spark, 10**6)
+    assert tokyo.conf.get(keys[-1]) == "4"
     assert [spark.conf.get(k) for k in keys] == before
 
 
+def test_without_a_shared_folder_there_is_an_error():
+    class Bare:
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Bare)
+
+
 # ---- reports ------------------------------------------------------------------------
 
 
@@ -284,35 +378,12 @@ def test_other_report_formats(spark, tmp_path):
 # ---- sizes and older tables -----------------------------------------------------------
 
 
-def test_sizes_follow_the_input_and_are_put_back(spark):
-    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"]
-    before = [spark.conf.get(k) for k in keys]
-
-    def during(size):
-        with session.sized_for(spark, size):
-            return [spark.conf.get(k) for k in keys]
-
-    assert during(0) == during(10**6) == before
-    gigabytes = during(100 * 2**30)
-    assert gigabytes == ["800", before[1]]
-    hundred_terabytes = during(100 * 2**40)
-    assert hundred_terabytes == ["50000", str(100 * 2**40 // 50000)]
-    assert [spark.conf.get(k) for k in keys] == before
-
-
-@pytest.mark.parametrize("text, number", [
-    ("200", 200), ("134217728b", 2**27), ("128m", 2**27), ("128MB", 2**27), ("1g", 2**30),
-])
-def test_settings_as_numbers(text, number):
-    assert session._bytes(text) == number
-
-
 def test_folder_size(spark, tmp_path):
     (tmp_path / "a").mkdir()
     put(tmp_path / "a", "x.csv", "12345")
     put(tmp_path / "a", "y.csv", "123")
-    size = lambda name: sinks.publish.Folder(spark, str(tmp_path / name)).size()
-    assert (size("a"), size("a/x.csv"), size("a/*.csv"), size("none")) == (8, 5, 8, 0)
+    size = lambda name: Folder(spark, str(tmp_path / name)).size()
+    assert (size("a"), size("a/x.csv"), size("none")) == (8, 5, 0)
 
 
 def test_an_older_table_with_integer_postal_codes_can_be_taken_over(spark, tmp_path):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from tallyhouse import operators as op
+from tallyhouse import plans
 from tallyhouse.plans import daily_activity, top_k_by_sum
 from tallyhouse.schemas import ACCOUNTS, AUTHS
 
@@ -87,16 +88,30 @@ def test_rows_to_append_is_what_is_missing(spark):
     assert op.rows_to_append(op.append_distinct(table, batch), batch).isEmpty()
 
 
-@pytest.mark.parametrize("most", [2000, 3, 2])
-def test_touched_days_covers_every_day_of_the_batch(spark, most):
+def test_rows_to_append_by_key(spark):
+    schema = "k string, v int"
+    table = spark.createDataFrame([("a", 5), (None, 1)], schema)
+    batch = spark.createDataFrame([("a", 1), ("b", 8), ("b", 7), ("b", 7), (None, 2)], schema)
+    assert rows(op.rows_to_append(table, batch, ["k"])) == Counter([("b", 7)])
+    assert rows(op.rows_to_append(table.limit(0), batch, ["k"])) == Counter([("a", 1), ("b", 7), (None, 2)])
+
+
+def test_touched_days_covers_every_day_of_the_batch(spark):
     stored = spark.createDataFrame(
         [(2021, 12, 31), (2022, 1, 1), (2022, 1, 2), (2022, 2, 1), (None, None, None)],
         "year int, month int, day int",
     )
     batch = stored.where("year = 2021 OR month = 2").union(stored.where("day = 2"))
-    found = rows(stored.where(op.touched_days(batch, most)))
-    exact = Counter([(2021, 12, 31), (2022, 1, 2), (2022, 2, 1)])
-    assert found == (exact if most >= 3 else exact + Counter([(2022, 1, 1)]))
+    found = rows(stored.where(op.touched_days(batch)))
+    assert found == Counter([(2021, 12, 31), (2022, 1, 2), (2022, 2, 1)])
+
+
+def test_however_many_days_are_listed_one_by_one(spark):
+    days = spark.sql("SELECT explode(sequence(date'2000-01-01', date'2009-12-31', interval 2 days)) AS d")
+    parts = days.selectExpr("year(d) AS year", "month(d) AS month", "day(d) AS day")
+    assert len(op.day_codes(parts)) == parts.count() > 1800
+    other = spark.createDataFrame([(2000, 1, 2)], parts.schema)
+    assert other.where(op.touched_days(parts)).isEmpty()
 
 
 def test_touched_days_of_an_empty_batch(spark):
@@ -170,6 +185,34 @@ def test_sums_of_other_types_than_double(spark):
         assert str(op.sum_per(cast, ["k"], "v", "total").first().total) == "3.00"
 
 
+def test_no_amount_stops_a_sum(spark):
+    data = [("a", 1e30), ("a", 0.25), ("a", float("nan")), ("b", float("inf")), ("b", 2.0), ("c", 1e300)]
+    df = spark.createDataFrame(data, "k string, v double")
+    summed = {k: str(v) for k, v in op.sum_per(df, ["k"], "v", "total").collect()}
+    assert summed == {"a": "1000000000000000000000000000000.25", "b": "2.00", "c": "None"}
+    wide = spark.sql("SELECT 'a' AS k, CAST('100000000000000000.50' AS DECIMAL(28,2)) AS v")
+    assert str(op.sum_per(wide, ["k"], "v", "total").first().total) == "100000000000000000.50"
+    most = spark.sql("SELECT 'a' AS k, CAST('9e35' AS DECIMAL(38,2)) AS v").unionAll(
+        spark.sql("SELECT 'a' AS k, CAST('9e35' AS DECIMAL(38,2)) AS v"))
+    assert op.sum_per(most, ["k"], "v", "total").first().total is None
+
+
+def test_a_ranking_is_bounded(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    with pytest.raises(ValueError, match="sort the sums"):
+        op.top_k(df, "v", 50_000_000)
+
+
+def test_a_repeated_entity_counts_once(spark):
+    facts = spark.createDataFrame(
+        [("a", dt.datetime(2022, 2, 1))] * 3, "account_id string, transmit_time timestamp"
+    )
+    entities = spark.createDataFrame(
+        [("a", "B", "Y"), ("a", "A", "Z"), ("a", "A", "Z")], "account_id string, first_name string, last_name string"
+    )
+    assert [tuple(r) for r in plans.daily_activity(facts, entities).collect()] == [("A", "Z", "2022-02-01", 3)]
+
+
 def test_top_k_by_sum_in_order_with_ties_by_name(spark):
     df = spark.createDataFrame(
         [("b", 2.0), ("a", 1.5), ("a", 0.5), ("c", 9.0), ("d", 1.0), ("e", None)],

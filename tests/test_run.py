@@ -180,6 +180,7 @@ def test_transactions_of_unknown_accounts_are_stored_but_not_reported(place):
     assert place.table(AUTHS).count() == 28
     assert sum(int(x.rsplit(",", 1)[1]) for x in place.report(DAILY)[1:]) == 27
     assert place.report(TOP)[1] == "corner shop,5000.00"
+    assert place.run().rows_unmatched == 1
 
 
 def test_command_line(place):
@@ -190,12 +191,112 @@ def test_command_line(place):
     assert place.report(TOP) == ["merchant_name,dollars_spent", "amazon,1046.66"]
 
 
-def test_landing_folders_are_removed(place, spark):
+def test_command_line_with_merchants_and_keys(place):
+    (place.folder / "a.csv").write_text(with_auths(",x,,2/7/2022 2:20:30,debit,USA,9000.00, AMAZON.com "))
+    (place.folder / "a.tsv").write_text(ACCOUNTS_TSV)
+    (place.folder / "m.csv").write_text("spelling,name\namazon.com,river\namazon,river\namzn,river\n")
+    main(["--auths", str(place.folder / "a.csv"), "--accounts", str(place.folder / "a.tsv"),
+          "--warehouse", place.warehouse, "--reports", place.reports, "--k", "1", "--fold",
+          "--merchants", str(place.folder / "m.csv"), "--auth-key", "account_id", "--auth-key", "transmit_time"])
+    # Of two rows of one account and second the lesser stays; the other has 44.33.
+    assert place.report(TOP) == ["merchant_name,dollars_spent", "river,10002.33"]
+
+
+def test_identity_by_key_finds_the_row_on_another_day(place, spark):
+    place.run()
+    account = "3fd41ae8-2d94-4b2b-94da-7677c67a6b00"
+    line = f",{account},,9/9/2023 2:20:30,debit,USA,1.00,amazon\n"
+    header = AUTHS_CSV.splitlines()[0] + "\n"
+    place.run(header + line, auth_keys=["account_id"])
+    assert place.table(AUTHS).count() == 27
+    place.run(header + line, auth_keys=["account_id", "transmit_time"])
+    assert place.table(AUTHS).count() == 28
+
+
+def test_doubtful_amounts_are_kept_counted_and_put_down(place, spark):
+    lines = [",x,,2/7/2022 2:20:30,debit,USA," + a + ",shop" for a in ("1e30", "NaN", "Infinity", "4x", "5.00")]
+    result = place.run(with_auths(*lines), batch_id="b1")
+    assert (result.auths.rows_quarantined, result.auths.rows_doubtful) == (0, 4)
+    held = spark.read.parquet(result.auths.doubtful)
+    assert result.auths.doubtful.endswith("/quarantine/auths_doubtful/batch=b1")
+    assert sorted(str(r.amount) if r.amount is not None else r._raw_line.split(",")[6] for r in held.collect()) \
+        == ["1e+30", "4x", "inf", "nan"]
+    assert place.report(TOP)[1] == "shop,1000000000000000000000000000005.00"
+    place.run()  # a clean delivery after it gives both reports, too
+    assert place.report(TOP)[1].startswith("shop,") and len(place.report(DAILY)) == 24
+
+
+def test_quarantine_is_the_same_for_the_same_delivery(place, spark):
+    bad = with_auths(",,,2/1/2022 2:20:30,debit,USA,1.00,amazon")
+    result = place.run(bad)
+    again = plans.ingest_auths(
+        spark, str(place.folder / "auths.csv"), f"{place.warehouse}/auths", f"{place.warehouse}/quarantine"
+    )
+    assert again.quarantine == result.auths.quarantine
+    assert spark.read.parquet(f"{place.warehouse}/quarantine/auths").count() == 1
+
+
+def test_overlapping_runs_in_other_zones_do_not_mix(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    zones = ["Asia/Tokyo", "America/Chicago", "UTC"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    places = []
+    for n in range(len(zones)):
+        (tmp_path / str(n)).mkdir()
+        places.append(Place(spark, tmp_path / str(n)))
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda at, zone: at.run(zone=zone), places, zones))
+    assert spark.conf.get("spark.sql.session.timeZone") == before
+    for at in places:
+        days = {(r.account_id, r.merchant_name, r.amount): (r.month, r.day) for r in at.table(AUTHS).collect()}
+        assert days == {(r.account_id, r.merchant_name, r.amount): (r.month, r.day)
+                        for r in places[2].table(AUTHS).collect()}
+    moments = [at.table(AUTHS).agg({"transmit_time": "min"}).first()[0] for at in places]
+    assert moments[0] < moments[2] < moments[1]
+
+
+def test_files_of_days_an_upsert_does_not_touch_stay(place):
     place.run()
-    from pathlib import Path
+    accounts = place.folder / "warehouse" / "accounts"
+    before = {f: f.stat().st_mtime_ns for f in accounts.rglob("*.parquet")}
+    header, jane = ACCOUNTS_TSV.splitlines()[0] + "\n", "76ed7880-1f89-40b0-92a9-de8e31a1cf06"
+    place.run(accounts=header + f"{jane}\tJane\tRoe\t5/7/2021 9:16:05\t3/1/2022 1:0:0\t02134\tUSA\tactive\n")
+    after = {f: f.stat().st_mtime_ns for f in accounts.rglob("*.parquet")}
+    gone = {f for f in before if f not in after}
+    assert gone and all("month=1/day=7" in str(f) for f in gone)
+    assert all(after[f] == t for f, t in before.items() if f in after)
+    assert not (accounts / "year=2022" / "month=1" / "day=7").exists()
+    place.run(accounts=header)
+    assert {f: f.stat().st_mtime_ns for f in accounts.rglob("*.parquet")} == after
+
+
+def test_landing_folders_are_removed(place):
+    place.run()
+    left = {p.name for p in (place.folder / "warehouse").iterdir()}
+    assert left == {"auths", "accounts"}
 
-    shared = Path(spark.conf.get("spark.checkpoint.dir"))
-    assert not list(shared.glob("tallyhouse-*/auths")) + list(shared.glob("tallyhouse-*/accounts"))
+
+def test_tidying_what_is_not_there_is_an_error(place, spark):
+    with pytest.raises(FileNotFoundError):
+        plans.tidy_auths(spark, f"{place.warehouse}/none")
+    assert not (place.folder / "warehouse").exists()
+
+
+def test_tidying_a_range_leaves_other_days_alone(place, spark):
+    place.run()
+    path = f"{place.warehouse}/auths"
+    stored = place.table(AUTHS)
+    stored.write.partitionBy("year", "month", "day").mode("append").parquet(path)
+    days = place.folder / "warehouse" / "auths"
+    before = {f for f in days.rglob("*.parquet") if "day=8" not in str(f)}
+    once = stored.where("month = 2 AND day = 8").count()
+    plans.tidy_auths(spark, path, dt.date(2022, 2, 8), dt.date(2022, 2, 8))
+    assert {f for f in days.rglob("*.parquet") if "day=8" not in str(f)} == before
+    assert place.table(AUTHS).where("month = 2 AND day = 8").count() == once > 0
+    assert place.table(AUTHS).count() == 54 - once
+    root = f"{place.warehouse}/versions"
+    assert plans.tidy_auths(spark, path, version_root=root) == 27
 
 
 def test_tidying_drops_copies_and_small_files(place, spark):
@@ -210,15 +311,6 @@ def test_tidying_drops_copies_and_small_files(place, spark):
     assert all(len(list(d.glob("*.parquet"))) == 1 for d in days)
 
 
-def test_a_long_batch_is_merged_without_being_sent_around(place, monkeypatch):
-    from tallyhouse.plans import ingest
-
-    monkeypatch.setattr(ingest, "MOST_SENT", 10)
-    place.run()
-    place.run(with_auths(",x,,2/7/2022 2:20:30,debit,USA,1.00,amazon"))
-    assert place.table(AUTHS).count() == 28
-
-
 def test_versioned_accounts_give_the_same(place, spark):
     table = f"{place.warehouse}/accounts"
     assert plans.read_accounts(spark, table, versioned=True).isEmpty()
