@@ -49,9 +49,9 @@ def _start(ends: Column, i: Column) -> Column:
     return F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1) + 1)
 
 
-def _cut(texts: DataFrame) -> DataFrame:
-    """`texts` (with a column text) and its lines, their hashes and the ends of its chunks."""
-    lines = texts.where("text IS NOT NULL").withColumn("lines", F.split("text", "\n", -1))
+def _cut(texts: DataFrame, text: Column) -> DataFrame:
+    """`texts` with the lines of `text`, their hashes and the ends of its chunks; nulls for a null."""
+    lines = texts.withColumn("lines", F.split(text, "\n", -1))
     hashed = lines.withColumn("hashes", F.transform("lines", lambda line: F.xxhash64(line)))
     return hashed.withColumn("ends", _ends(F.col("hashes")))
 
@@ -59,7 +59,7 @@ def _cut(texts: DataFrame) -> DataFrame:
 def _chunks(texts: DataFrame, *keep: str) -> DataFrame:
     """A row per chunk of `LEAST_LINES` lines or more: its number, hash and lines."""
     ends = F.col("ends")
-    places = _cut(texts).withColumn(
+    places = _cut(texts.where("text IS NOT NULL"), F.col("text")).withColumn(
         "places",
         F.transform(
             F.sequence(F.lit(0), F.size(ends) - 1),
@@ -134,17 +134,18 @@ def dedup_lines(
         docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     )
     # The columns of `docs` travel as one struct, so that no name of theirs can clash.
-    whole = docs.select(
-        F.struct("*").alias("row"), F.col(id_column).alias("id"),
-        F.col(text_column).alias("text"), F.xxhash64(text_column).alias("digest"),
+    row = docs.select(F.struct("*").alias("row"))
+    whole = row.select(
+        "row", F.col("row")[id_column].alias("id"), F.xxhash64(F.col("row")[text_column]).alias("digest")
     )
     joined = whole.alias("a").join(
-        removed.alias("b"),
-        _same("id", "id") & (F.col("a.digest") == F.col("b.digest")), "left",
-    ).select("row", "text", "removed")
+        removed.alias("b"), _same("id", "id") & (F.col("a.digest") == F.col("b.digest")), "left"
+    ).select("row", "removed", F.col("row")[text_column].alias("text"))
+    # Only texts that lose something are cut again.
+    cut = _cut(joined, F.when(F.col("removed").isNotNull(), F.col("text")))
     ends = F.col("ends")
     kept = F.array_except(F.sequence(F.lit(0), F.size(ends) - 1), F.col("removed"))
-    rebuilt = F.flatten(
+    left = F.flatten(
         F.transform(
             kept,
             lambda i: F.slice(
@@ -152,18 +153,15 @@ def dedup_lines(
             ),
         )
     )
-    touched = _cut(joined.where("removed IS NOT NULL")).withColumn("left", rebuilt).select(
-        "row", F.array_join("left", "\n").alias("text"), F.size("lines").alias("n"),
-        (F.size("lines") - F.size("left")).alias("gone"),
-    )
-    untouched = joined.where("removed IS NULL").select(
-        "row", "text", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n"),
-        F.lit(0).alias("gone"),
-    )
-    rows = touched.unionByName(untouched)
+    rows = cut.withColumn("left", F.when(F.col("removed").isNotNull(), left))
     columns = [
-        F.col("text").alias(name) if name == text_column else F.col("row")[name].alias(name)
+        F.coalesce(F.array_join("left", "\n"), F.col("text")).alias(name) if name == text_column
+        else F.col("row")[name].alias(name)
         for name in docs.columns
     ]
-    added = [F.col(c).cast("bigint").alias(name) for c, name in zip(("n", "gone"), counts or ())]
+    measures = [
+        F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)),
+        F.coalesce(F.size("lines") - F.size("left"), F.lit(0)),
+    ]
+    added = [m.cast("bigint").alias(name) for m, name in zip(measures, counts or ())]
     return rows.select(*columns, *added)
