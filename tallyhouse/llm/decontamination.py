@@ -51,10 +51,11 @@ def _slot(grams: np.ndarray, bits: int) -> np.ndarray:
     return (grams * _MIX) >> np.uint64(64 - bits)
 
 
-def distance(item: bytes, text: np.ndarray, width: int) -> tuple[int, int]:
-    """Least edits from `item` to a region of `text`, and the region's diagonal at its end.
+def distance(item: bytes, text: np.ndarray, width: int, most: int | None = None) -> int:
+    """Least edits from `item` to a region of `text`.
 
-    Only `width` diagonals are looked at; `text` has len(item) + width bytes.
+    Only `width` diagonals are looked at; `text` has len(item) + width bytes. Beyond `most`
+    edits the rest is not aligned, and some number above `most` is returned.
     """
     steps = np.arange(width, dtype=np.int32)
     row = np.zeros(width + 1, dtype=np.int32)
@@ -62,8 +63,9 @@ def distance(item: bytes, text: np.ndarray, width: int) -> tuple[int, int]:
     for i, byte in enumerate(item):
         best = np.minimum(row[:-1] + (text[i:i + width] != byte), row[1:] + 1)
         row[:-1] = np.minimum.accumulate(best - steps) + steps
-    at = int(row[:-1].argmin())
-    return int(row[at]), at
+        if most is not None and i % 8 == 7 and row[:-1].min() > most:
+            break
+    return int(row[:-1].min())
 
 
 @dataclass
@@ -101,8 +103,8 @@ class Block:
         bitmap[_slot(distinct, _BITS)] = True
         return distinct, np.append(first, len(grams)), item[order], place[order], bitmap
 
-    def hits(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(item, diagonal) of every q-gram that `raw` shares with an item."""
+    def hits(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, place in it, diagonal) of every q-gram that `raw` shares with an item."""
         distinct, first, item, place, bitmap = self.index
         grams = _grams(raw)
         at = np.flatnonzero(bitmap[_slot(grams, _BITS)])
@@ -112,18 +114,23 @@ class Block:
         times = first[found + 1] - first[found]
         ends = np.cumsum(times)
         places = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - times - first[found], times)
-        return item[places], np.repeat(at, times) - place[places]
+        return item[places], place[places], np.repeat(at, times) - place[places]
 
     def candidates(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         """(item, band) where enough q-grams are shared; band j has two widths of diagonals."""
-        item, diagonal = self.hits(raw)
+        item, place, diagonal = self.hits(raw)
         band = diagonal // (self.budgets[item] + 1)
-        item, band = np.concatenate([item, item]), np.concatenate([band, band - 1])
+        item, place, band = (np.concatenate(x) for x in ((item, item), (place, place), (band, band - 1)))
         key = (item << 40) + band + (1 << 20)
         # Counted by slot first: a slot holds at least what each of its bands holds.
         slot = _slot(key.astype(np.uint64), _BITS).astype(np.int64)
         many = np.bincount(slot, minlength=1 << _BITS)[slot] >= self.bounds[item]
-        keys, counts = np.unique(key[many], return_counts=True)
+        key, place = key[many], place[many]
+        # A q-gram of the item counts once, however often the band has it.
+        order = np.lexsort((place, key))
+        key, place = key[order], place[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (place[1:] != place[:-1]))[:len(key)]
+        keys, counts = np.unique(key[new], return_counts=True)
         item = keys >> 40
         enough = counts >= self.bounds[item]
         return item[enough], (keys[enough] & ((1 << 40) - 1)) - (1 << 20)
@@ -153,7 +160,7 @@ class Block:
                     if self.items[item] in raw[a:b]:
                         edits = 0
                     else:
-                        edits = distance(self.items[item], region, width)[0]
+                        edits = distance(self.items[item], region, width, budget)
                     if edits <= budget:
                         best[text, item] = min(edits, best.get((text, item), edits))
         return [(text, item, edits) for (text, item), edits in sorted(best.items())]
