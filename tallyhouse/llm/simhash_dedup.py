@@ -1,10 +1,11 @@
 """SimHash near-dedup by pigeonhole blocks.
 
 A fingerprint has a bit set where more than half the shingle hashes have it.
-The 64 bits are cut into `BLOCKS` blocks; two fingerprints that differ in at
-most d bits agree in `BLOCKS - d` whole blocks, so each is filed under every
-choice of that many blocks, and only fingerprints filed together are compared,
-by their Hamming distance.
+The 64 bits are cut into b blocks; two fingerprints that differ in at most d bits
+agree in b - d whole blocks, so each is filed under every choice of that many
+blocks, and only fingerprints filed together are compared, by their Hamming
+distance. The more fingerprints there are, the more blocks: every number of
+blocks gives the same links, and files stay small.
 
 Equal fingerprints are one before anything is compared, so a group of copies
 costs as much as one document. Within a file, a search from fingerprint to
@@ -33,7 +34,8 @@ from tallyhouse.llm.components import components
 SHINGLE = 4
 MOST_BITS = 4
 SEED = 42
-BLOCKS = 6
+# Fingerprints that a file should hold on average; more blocks make more and smaller files.
+FILED_TOGETHER = 16
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -79,6 +81,15 @@ def with_fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle
     return texts.mapInArrow(run, "id bigint, print bigint")
 
 
+def blocks_for(count: int, most_bits: int) -> int:
+    """The least number of blocks with which `count` even fingerprints make small files."""
+    for blocks in range(most_bits + 2, 17):
+        bits = 64 * (blocks - most_bits) // blocks
+        if count >> bits <= FILED_TOGETHER:
+            return blocks
+    return 16
+
+
 def _files(most_bits: int, blocks: int) -> list[tuple[int, int]]:
     """(number, mask) of every choice of `blocks - most_bits` blocks."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
@@ -142,7 +153,7 @@ def _link(most_bits: int):
     return run
 
 
-def linked_prints(prints: DataFrame, most_bits: int = MOST_BITS, blocks: int = BLOCKS) -> DataFrame:
+def linked_prints(prints: DataFrame, most_bits: int, blocks: int) -> DataFrame:
     """Links (a, b) that join all distinct fingerprints in `prints` joined by some chain."""
     if not 0 <= most_bits < blocks:
         raise ValueError("there must be more blocks than bits that may differ")
@@ -165,11 +176,12 @@ def _hex(column: str) -> Column:
 
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    shingle: int = SHINGLE, most_bits: int = MOST_BITS, blocks: int = BLOCKS,
+    shingle: int = SHINGLE, most_bits: int = MOST_BITS, blocks: int | None = None,
 ) -> DataFrame:
     """Per row: id, fingerprint (16 hex digits) and component_id, the smallest id reachable."""
     each = stored(with_fingerprints(docs, id_column, text_column, shingle), "prints")
     distinct = stored(each.groupBy("print").agg(F.min("id").alias("least")), "distinct-prints")
+    blocks = blocks or blocks_for(distinct.count(), most_bits)
     roots = components(linked_prints(distinct.select("print"), most_bits, blocks))
     rooted = distinct.join(roots, F.col("print") == F.col("node"), "left").select(
         "print", "least", F.coalesce("root", "print").alias("root")

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from samples import docs, odd_texts, words
@@ -61,9 +62,15 @@ def found(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-def test_agrees_with_all_pairs(spark):
+@pytest.mark.parametrize("blocks", [None, 5, 7])
+def test_agrees_with_all_pairs(spark, blocks):
     texts = corpus(1)
-    assert found(simhash_dedup.near_duplicates(docs(spark, texts))) == brute(texts)
+    assert found(simhash_dedup.near_duplicates(docs(spark, texts), blocks=blocks)) == brute(texts)
+
+
+def test_more_fingerprints_make_more_blocks():
+    found = [simhash_dedup.blocks_for(n, 4) for n in (0, 10**6, 10**8, 10**10, 10**12)]
+    assert found == [6, 6, 7, 8, 10]
 
 
 def test_odd_rows(spark):
@@ -88,7 +95,7 @@ def test_links_join_what_all_pairs_join(spark):
         prints.append(one)
     prints = sorted(set(prints))
     rows = spark.createDataFrame([(simhash_dedup._signed(p),) for p in prints], "print bigint")
-    links = simhash_dedup.linked_prints(rows).collect()
+    links = simhash_dedup.linked_prints(rows, 4, 6).collect()
     assert all(((a ^ b) & (2 ** 64 - 1)).bit_count() <= 4 for a, b in links)
     assert len(links) < 15 * len(prints)
 
