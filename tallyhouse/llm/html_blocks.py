@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from typing import NamedTuple
 
@@ -23,14 +24,19 @@ _ENDS_P = frozenset(
     "hr main nav ol p pre section table ul".split()
 )
 
+# A ">" within quotes ends no tag, unless a quote is never closed.
 _TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""",
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>""",
     re.S,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+|\d+")
 
 
+# A path holds so many of the innermost elements; what lies further out says no more.
+DEEPEST = 24
+
+
 class Block(NamedTuple):
     text: str
     path: tuple[str, ...]  # tag names, and the words of class, id and role after a dot
@@ -54,6 +60,7 @@ def blocks(html: str | None) -> list[Block]:
     out: list[Block] = []
     open_names: list[str] = []
     open_paths: list[tuple[str, ...]] = []
+    times: Counter[str] = Counter()
     pieces: list[str] = []
     linked = links = 0
 
@@ -61,7 +68,7 @@ def blocks(html: str | None) -> list[Block]:
         nonlocal linked
         text = " ".join(unescape("".join(pieces)).split())
         if text:
-            path = tuple(name for names in open_paths for name in names)
+            path = tuple(name for names in open_paths[-DEEPEST:] for name in names)
             out.append(Block(text, path, min(1.0, linked / len(text))))
         pieces.clear()
         linked = 0
@@ -71,12 +78,13 @@ def blocks(html: str | None) -> list[Block]:
         while open_names:
             last = open_names.pop()
             open_paths.pop()
+            times[last] -= 1
             links -= last == "a"
             if last == name:
                 break
 
-    at = 0
-    while found := _TAG.search(html, at):
+    at, last = 0, html.rfind(">")
+    while at <= last and (found := _TAG.search(html, at)):
         if found.start() > at:
             piece = html[at:found.start()]
             pieces.append(piece)
@@ -90,7 +98,7 @@ def blocks(html: str | None) -> list[Block]:
         if found[1]:
             if name not in INLINE:
                 end_block()
-            if name in open_names:
+            if times[name]:
                 close(name)
             continue
         if name in HIDDEN:
@@ -99,13 +107,14 @@ def blocks(html: str | None) -> list[Block]:
             continue
         if name not in INLINE:
             end_block()
-            if name in _ENDS_P and "p" in open_names:
+            if name in _ENDS_P and times["p"]:
                 close("p")
             elif name in _SELF_CLOSING and open_names and open_names[-1] == name:
                 close(name)
         if name not in VOID and not found[3].endswith("/"):
             open_names.append(name)
             open_paths.append(_names(name, found[3]))
+            times[name] += 1
             links += name == "a"
     pieces.append(html[at:])
     if links:

@@ -33,13 +33,19 @@ def test_blocks_decode_and_split():
     assert found[-1].path == ()
 
 
+def test_broken_tags_are_no_text():
+    assert [b.text for b in blocks("<p title='x>one</p><p>two<div")] == ["one", "two<div"]
+    assert [b.text for b in blocks("a < b <i> d")] == ["a < b d"]
+
+
 def test_links_are_measured():
     found = blocks("<p><a href='x>y'>abcd</a>efgh</p><p>plain</p>")
     assert [b.link_share for b in found] == [0.5, 0.0]
 
 
 def test_hostile_markup_is_read_in_good_time():
-    for html in ("<" * 200_000, "<p " * 50_000, "<a href=\"" * 30_000, "<!--" * 50_000, "</p>" * 50_000):
+    for html in ("<" * 200_000, "<p " * 50_000, "<a href=\"" * 30_000, "<!--" * 50_000, "</p>" * 50_000,
+                 "<div>a" * 50_000, "<b>a<i>" * 50_000 + "</b>" * 50_000, "<p>a</div>" * 50_000):
         blocks(html)
 
 
