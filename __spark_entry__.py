@@ -14,7 +14,8 @@ import sys
 import tempfile
 from collections.abc import Callable
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+_HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, _HERE)
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -627,9 +628,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _ready(query: Query) -> Query:
-    """`query` in a session that has a shared folder; a local one is given its own."""
+    """`query` in a session whose Python workers find this folder and that has a shared one.
+
+    A local session without `spark.checkpoint.dir` is given a folder of its own.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers = spark.sparkContext.environment
+        paths = workers.get("PYTHONPATH", "").split(os.pathsep)
+        if _HERE not in paths:
+            workers["PYTHONPATH"] = os.pathsep.join([_HERE, *filter(None, paths)])
         local = spark.sparkContext.master.split("[")[0] == "local"
         if local and not spark.conf.get("spark.checkpoint.dir", None):
             spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallyhouse-"))
