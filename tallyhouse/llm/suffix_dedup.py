@@ -44,7 +44,7 @@ LENGTH = 50
 GRAM = 24
 # Text that one task holds: of a slice, of a bucket of documents, of a share of the minimizers.
 SLICE_BYTES = 4 * 1024 * 1024
-BUCKET_BYTES = 16 * 1024 * 1024
+BUCKET_BYTES = 8 * 1024 * 1024
 SHARE_BYTES = 24 * 1024 * 1024
 # Bytes of which one suffix array is built.
 ARRAY_BYTES = 4 * 1024 * 1024
@@ -162,10 +162,12 @@ def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 _ROW = "key bigint, kind bigint, blob binary"
 # Kinds of blobs.
 TEXTS, ASKED, KNOWN, HOT, WANTED, COPIES, STRETCHES, SPANS = range(8)
-_ASKED = ("<i8", "<i8", "<i8", "<u4", "<i8")  # id, digest, texts that have it, remainder; slice
+# Id, digest and entries of each text, and its remainders; shared remainders and how many texts
+# have each; the slice.
+_ASKED = ("<i8", "<i8", "<i8", "<u4", "<u4", "<i8", "<i8")
 _KNOWN = ("<i8", "<i8", "<u8")  # id, digest, name
 _WANTED = ("<i8", "<i8", "<u8", "u1")  # id, digest, name, whether very many have it
-_STRETCHES = ("<i8", "<i8", "<i8", "<i8", "<u8", "u1")  # id, digest, start, size, hash; bytes
+_STRETCHES = ("<i8", "<i8", "<i8", "<i8", "<u4", "u1")  # id, digest, start, size, mark; bytes
 _SPANS = ("<i8", "<i8", "<i8", "<i8")  # id, digest, start, end
 
 
@@ -192,19 +194,26 @@ def _count_minimizers(shares: int, slice_bytes: int):
             names = np.concatenate([x for _, x in each])
             owner = np.repeat(np.array([at for at, _ in each]), [len(x) for _, x in each])
             order = np.argsort(names, kind="stable")
-            names, owner = names[order], owner[order]
-            bounds = _runs(names)
+            bounds = _runs(names[order])
             sizes = np.diff(bounds)
-            lead, alone = bounds[:-1], sizes == 1
+            several = np.zeros(len(names), dtype=bool)
+            several[order[np.repeat(sizes > 1, sizes)]] = True
             slice_ = np.array([_digest(ids.tobytes() + digests.tobytes()) >> 1 & _LAST], np.int64)
-            rows = []
-            for key, at in _by((names[lead] >> np.uint64(32)).astype(np.int64)):
+            # Entries stay in order of their text, which is then named once.
+            alone = np.flatnonzero(~several)
+            shared = names[order[bounds[:-1]]][sizes > 1]
+            of_alone = dict(_by((names[alone] >> np.uint64(32)).astype(np.int64)))
+            of_shared = dict(_by((shared >> np.uint64(32)).astype(np.int64)))
+            none, rows = np.zeros(0, np.int64), []
+            for key in of_alone.keys() | of_shared.keys():
+                at, both = alone[of_alone.get(key, none)], of_shared.get(key, none)
+                ends = _runs(owner[at])
+                who = owner[at][ends[:-1]]
                 rows.append((key, ASKED, _pack(
-                    ids[owner[lead[at]]], digests[owner[lead[at]]] * alone[at], sizes[at],
-                    names[lead[at]].astype("<u4"), slice_,
+                    ids[who], digests[who], np.diff(ends), names[at].astype("<u4"),
+                    shared[both].astype("<u4"), sizes[sizes > 1][both], slice_,
                 )))
-            several = np.repeat(~alone, sizes)
-            if several.any():
+            if len(shared):
                 who = owner[several]
                 rows.append((-1 - int(slice_[0]), KNOWN, _pack(ids[who], digests[who], names[several])))
             yield _rows(rows)
@@ -217,36 +226,45 @@ def _find_shared(buckets: int, most: int):
     slices with several texts that have one, whether very many have it."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows, asked, slices = [], [], []
+        rows, texts, entries, both = [], [], [], []
         for key, kind, blob in zip(*(table.column(c).to_pylist() for c in ("key", "kind", "blob"))):
             if kind == KNOWN:
                 rows.append((key, kind, blob))
-            else:
-                share = key
-                *entries, slice_ = _unpack(blob, *_ASKED)
-                asked.append(entries)
-                slices.append(np.repeat(slice_, len(entries[0])))
-        if asked:
-            ids, digests, texts, rest = map(np.concatenate, zip(*asked))
-            slices = np.concatenate(slices)
-            del asked
+                continue
+            share = key
+            ids, digests, counts, rest, shared, sizes, slice_ = _unpack(blob, *_ASKED)
+            texts.append((ids, digests, counts))
+            entries.append(rest)
+            both.append((shared, sizes, np.repeat(slice_, len(shared))))
+        if entries:
+            ids, digests, counts = map(np.concatenate, zip(*texts))
+            shared, of_slice, slices = map(np.concatenate, zip(*both))
+            owner = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
+            # First what single texts have, then what slices know to be shared.
+            rest = np.concatenate([*entries, shared])
+            del texts, entries, both
             order = np.argsort(rest, kind="stable")
             bounds = _runs(rest[order])
-            sizes = np.diff(bounds)
-            total = np.add.reduceat(texts[order], bounds[:-1])
-            digest = digests[order]
-            differs = digest != np.repeat(digest[bounds[:-1]], sizes)
-            shared = np.add.reduceat(differs, bounds[:-1]) > 0
-            many = np.repeat(total > most, sizes)
+            runs = np.diff(bounds)
+            single = order < len(owner)
+            times = np.ones(len(rest), np.int64)
+            times[len(owner):] = of_slice
+            total = np.add.reduceat(times[order], bounds[:-1])
+            digest = np.zeros(len(rest), np.int64)
+            digest[single] = digests[owner[order[single]]]
+            differs = single & (digest != np.repeat(digest[bounds[:-1]], runs))
+            found = np.add.reduceat(differs | ~single, bounds[:-1]) > 0
+            many = np.repeat(total > most, runs)
             names = rest[order].astype("<u8") | np.uint64(share << 32)
-            pick = np.flatnonzero(np.repeat(shared, sizes) & (texts[order] == 1))
-            who = order[pick]
+            pick = np.flatnonzero(np.repeat(found, runs) & single)
+            pick = pick[np.argsort(order[pick], kind="stable")]
+            who = owner[order[pick]]
             for key, at in _by(_bucket(ids[who], digests[who], buckets)):
                 rows.append((key, WANTED, _pack(
                     ids[who[at]], digests[who[at]], names[pick[at]], many[pick[at]].astype("u1")
                 )))
-            pick = np.flatnonzero(many & (texts[order] > 1))
-            for key, at in _by(slices[order[pick]]):
+            pick = np.flatnonzero(many & ~single)
+            for key, at in _by(slices[order[pick] - len(owner)]):
                 rows.append((-1 - key, HOT, _pack(names[pick[at]])))
         return pa.Table.from_batches([_rows(rows)])
 
@@ -276,27 +294,34 @@ def _put_down(buckets: int):
 def _pack_texts(buckets: int, slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _texts(batches, slice_bytes):
-            digests = np.array([_digest(x) for x in texts], np.int64)
+            # A row repeated in the slice is sent once, with how often it is there.
+            times: dict[tuple[int, int], int] = {}
+            first: dict[tuple[int, int], int] = {}
+            for at, row in enumerate(zip(ids.tolist(), map(_digest, texts))):
+                first.setdefault(row, at)
+                times[row] = times.get(row, 0) + 1
+            own, digests = (np.array(x, np.int64) for x in zip(*first))
+            count, place = np.array([*times.values()]), np.array([*first.values()])
             rows = []
-            for key, at in _by(_bucket(ids, digests, buckets)):
-                body = b"".join(texts[i] for i in at)
-                sizes = np.array([len(texts[i]) for i in at], np.int64)
+            for key, at in _by(_bucket(own, digests, buckets)):
+                some = [texts[i] for i in place[at]]
+                sizes = np.array([len(text) for text in some], np.int64)
                 rows.append((key, TEXTS, _pack(
-                    ids[at], digests[at], sizes, np.frombuffer(body, np.uint8)
+                    own[at], digests[at], count[at], sizes, np.frombuffer(b"".join(some), np.uint8)
                 )))
             yield _rows(rows)
 
     return run
 
 
-def _bucket_texts(table: pa.Table) -> Iterator[tuple[int, int, bytes]]:
-    """(id, digest, text) of every row of a bucket."""
+def _bucket_texts(table: pa.Table) -> Iterator[tuple[int, int, int, bytes]]:
+    """(id, digest, rows, text) of the texts of a bucket."""
     for blob in table.column("blob").to_pylist():
-        ids, digests, sizes, body = _unpack(blob, "<i8", "<i8", "<i8", "u1")
-        ends = np.cumsum(sizes)
-        body = body.tobytes()
-        for doc, digest, end, size in zip(ids.tolist(), digests.tolist(), ends.tolist(), sizes.tolist()):
-            yield doc, digest, body[end - size:end]
+        *columns, sizes, body = _unpack(blob, "<i8", "<i8", "<i8", "<i8", "u1")
+        body, ends = body.tobytes(), np.cumsum(sizes)
+        for row in zip(*(x.tolist() for x in (*columns, ends, sizes))):
+            doc, digest, times, end, size = row
+            yield doc, digest, times, body[end - size:end]
 
 
 def _gather(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -357,7 +382,7 @@ def _stretches(shares: int, buckets: int):
             for a, b in zip(bounds[:-1], bounds[1:]):
                 by_text[int(ids[a]), int(digests[a])] = names[a:b], many[a:b].astype(bool)
         parts = []
-        for doc, digest, text in _bucket_texts(texts):
+        for doc, digest, _, text in _bucket_texts(texts):
             want = by_text.pop((doc, digest), None) if (doc, digest) not in copies else None
             if want is None:
                 continue
@@ -391,7 +416,7 @@ def _stretches(shares: int, buckets: int):
         for key, at in _by(share):
             at = go[at]
             rows.append((key, STRETCHES, _pack(
-                ids[at], digests[at], starts[at], sizes[at], hashes[at],
+                ids[at], digests[at], starts[at], sizes[at], hashes[at].astype("<u4"),
                 _gather(body, begins[at], sizes[at]),
             )))
         return pa.Table.from_batches([_rows(rows)])
@@ -447,20 +472,21 @@ def _match(buckets: int):
                 rows.append((key, kind, blob))
         if not parts:
             return pa.Table.from_batches([_rows(rows)])
-        ids, digests, starts, sizes, hashes, body = map(np.concatenate, zip(*parts))
+        ids, digests, starts, sizes, marks, body = map(np.concatenate, zip(*parts))
         del parts
         groups = _equal_groups(body, sizes)
         later = ids > _least_by(groups, ids)
         rows += _span_rows(ids[later], digests[later], starts[later], starts[later] + sizes[later], buckets)
         # Left are the first of each kind; a minimizer with one kind of stretch has no more to find.
         left = np.flatnonzero(~later)
-        kinds = np.unique(np.stack([hashes[left].view(np.int64), groups[left]]), axis=1)
+        marks = marks.astype(np.int64)
+        kinds = np.unique(np.stack([marks[left], groups[left]]), axis=1)
         value, times = np.unique(kinds[0], return_counts=True)
-        left = left[np.isin(hashes[left].view(np.int64), value[times > 1])]
-        left = left[np.argsort(hashes[left], kind="stable")]
+        left = left[np.isin(marks[left], value[times > 1])]
+        left = left[np.argsort(marks[left], kind="stable")]
         begins = np.cumsum(sizes) - sizes
         # A suffix array for each few megabytes; the stretches of one minimizer stay together.
-        bounds = _runs(hashes[left])
+        bounds = _runs(marks[left])
         weight = np.append(0, np.cumsum(sizes[left]))[bounds]
         piece = np.repeat(weight[:-1] // ARRAY_BYTES, np.diff(bounds))
         for _, at in _by(piece):
@@ -520,7 +546,7 @@ def _cut_out():
                 at = order[a:b]
                 by_text[int(ids[at[0]]), int(digests[at[0]])] = np.stack([starts[at], ends[at]], 1)
         rows = []
-        for doc, digest, text in _bucket_texts(texts):
+        for doc, digest, times, text in _bucket_texts(texts):
             if (doc, digest) in copies and len(text) >= LENGTH:
                 runs = [(0, len(text))]
             else:
@@ -530,10 +556,11 @@ def _cut_out():
                 kept.update(text[at:start])
                 at = end
             kept.update(text[at:])
-            rows.append((
+            row = (
                 None if doc == _LAST else doc, len(text), sum(e - s for s, e in runs), len(runs),
                 kept.hexdigest(),
-            ))
+            )
+            rows += [row] * times
         columns = list(zip(*rows)) or [()] * 5
         kinds = [pa.int64()] * 4 + [pa.string()]
         names = [part.split()[0] for part in _RESULT.split(", ")]
