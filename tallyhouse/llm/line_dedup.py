@@ -2,9 +2,11 @@
 
 A rolling hash over the hashes of `SPAN` adjoining lines chooses the chunk
 boundaries, so they follow from content and survive a shift: two documents that
-share a run of lines cut it at the same places. A chunk of two lines or more
-that also lies at an earlier place, by (id, position), is removed; the first
-copy stays. Chunks are found by hash and removed only after their bytes agree.
+share a run of lines cut it at the same places. A line ends a chunk if its
+rolling hash says so and that of the line before does not, so a chunk has two
+lines or more, unless the text has one line. A chunk of several lines that also
+lies at an earlier place, by (id, position), is removed; the first copy stays.
+Chunks are found by hash and removed only after their bytes agree.
 
 Only DataFrame functions are used. Ids order the documents, null after all
 others. Repeated rows of one id are one document, and each comes back with the
@@ -20,8 +22,8 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import fresh, stored
 
 SPAN = 2
-# One line in so many ends a chunk, so chunks have four lines on average.
-EVERY = 4
+# The rolling hash chooses one line in so many; chunks have four or five lines on average.
+EVERY = 3
 LEAST_LINES = 2
 
 # Rolling hash: base and modulus of a polynomial, below 2^31 so that products fit a bigint.
@@ -29,8 +31,8 @@ _BASE = 1_000_003
 _MODULUS = 2_147_483_647
 
 
-def _ends(hashes: Column) -> Column:
-    """Index of the last line of each chunk."""
+def _chosen(hashes: Column) -> Column:
+    """For each line whether the rolling hash that ends there chooses it."""
 
     def rolled(i: Column) -> Column:
         total = F.lit(0).cast("bigint")
@@ -39,9 +41,16 @@ def _ends(hashes: Column) -> Column:
             total = F.pmod(total * _BASE + value, F.lit(_MODULUS))
         return total
 
-    last = F.size(hashes) - 1
+    return F.transform(hashes, lambda _, i: F.pmod(rolled(i), F.lit(EVERY)) == 0)
+
+
+def _ends(chosen: Column) -> Column:
+    """Index of the last line of each chunk; two lines at least lie before and after each cut."""
+    last = F.size(chosen) - 1
     return F.filter(
-        F.sequence(F.lit(0), last), lambda i: (F.pmod(rolled(i), F.lit(EVERY)) == 0) | (i == last)
+        F.sequence(F.lit(0), last),
+        lambda i: (i == last)
+        | (i.between(1, last - 2) & F.get(chosen, i) & ~F.get(chosen, i - 1)),
     )
 
 
@@ -53,7 +62,8 @@ def _cut(texts: DataFrame, text: Column) -> DataFrame:
     """`texts` with the lines of `text`, their hashes and the ends of its chunks; nulls for a null."""
     lines = texts.withColumn("lines", F.split(text, "\n", -1))
     hashed = lines.withColumn("hashes", F.transform("lines", lambda line: F.xxhash64(line)))
-    return hashed.withColumn("ends", _ends(F.col("hashes")))
+    chosen = hashed.withColumn("chosen", _chosen(F.col("hashes")))
+    return chosen.withColumn("ends", _ends(F.col("chosen")))
 
 
 def _chunks(texts: DataFrame, *keep: str) -> DataFrame:
@@ -84,10 +94,10 @@ def _same(a: str, b: str) -> Column:
 def removed_chunks(texts: DataFrame) -> DataFrame:
     """Of `texts` (id, text): id, digest of the text, and the numbers of the chunks to remove.
 
-    Three tables go to the shared folder: places and hashes of all chunks; hashes found twice;
-    and the bytes of chunks with such a hash, which are then compared. A chunk that a large part
-    of the documents share is reduced in each task before it is shuffled, and the joins that
-    follow read stored tables on both sides, so Spark can split such a key.
+    Each step goes to the shared folder: places and hashes of all chunks; hashes found twice; the
+    bytes of chunks with such a hash, which are then compared. A chunk that a large part of the
+    documents share is reduced in each task before it is shuffled. The joins that follow read
+    stored tables, so Spark can split such a key, and sends a table around if it is small.
     """
     keyed = texts.select("id", "text", F.xxhash64("text").alias("digest"))
     places = stored(_chunks(keyed, "id", "digest").drop("lines"), "chunk-places")
@@ -95,9 +105,9 @@ def removed_chunks(texts: DataFrame) -> DataFrame:
         places.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"),
         "chunk-hashes",
     )
-    wanted = (
+    wanted = stored(
         places.join(twice, "hash").groupBy("id", "digest")
-        .agg(F.collect_set("chunk").alias("wanted"))
+        .agg(F.collect_set("chunk").alias("wanted")), "wanted-chunks",
     )
     within = keyed.alias("a").join(
         wanted.alias("b"), _same("id", "id") & (F.col("a.digest") == F.col("b.digest"))
@@ -115,10 +125,10 @@ def removed_chunks(texts: DataFrame) -> DataFrame:
         "first-chunks",
     )
     copies = suspects.select("id", "digest", "chunk", "hash", F.sha2("bytes", 256).alias("sha"))
-    return (
+    return stored(
         copies.join(firsts, ["hash", "sha"])
         .where(~place.eqNullSafe(F.col("first")))
-        .groupBy("id", "digest").agg(F.collect_set("chunk").alias("removed"))
+        .groupBy("id", "digest").agg(F.collect_set("chunk").alias("removed")), "removed-chunks",
     )
 
 

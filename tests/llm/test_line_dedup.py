@@ -19,13 +19,16 @@ def chunks(text):
     """The chunks of a text, by the same rolling hash written out plainly."""
     lines, out = text.split("\n"), [[]]
     hashes = [_hash(x) for x in lines]
-    for n, line in enumerate(lines):
-        out[-1].append(line)
+    chosen = []
+    for n in range(len(lines)):
         rolled = 0
         for k in reversed(range(line_dedup.SPAN)):
             value = hashes[n - k] % line_dedup._MODULUS if n >= k else 0
             rolled = (rolled * line_dedup._BASE + value) % line_dedup._MODULUS
-        if rolled % line_dedup.EVERY == 0 and n < len(lines) - 1:
+        chosen.append(rolled % line_dedup.EVERY == 0)
+    for n, line in enumerate(lines):
+        out[-1].append(line)
+        if 1 <= n <= len(lines) - 3 and chosen[n] and not chosen[n - 1]:
             out.append([])
     return out
 
@@ -87,6 +90,14 @@ def test_odd_rows(spark):
     assert {r["hash"] for r in got.collect()} == {"x2"}
 
 
+def test_a_copy_loses_all_its_lines(spark):
+    draw = random.Random(4)
+    texts = [(n, "\n".join(words(draw, 5) for _ in range(n % 9 + 2))) for n in range(40)]
+    texts += [(n + 100, t) for n, t in texts]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(spark, texts)).collect()}
+    assert all(got[n] == t if n < 100 else got[n] == "" for n, t in texts)
+
+
 def test_a_passage_is_found_wherever_it_is_moved(spark):
     draw = random.Random(7)
     passage = "\n".join(words(draw, 8) for _ in range(200))
