@@ -200,15 +200,30 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """The rows of `docs` with the smallest id of their component, one row for each id.
 
     Of repeated rows with one id, that with the least text stays. A component of null ids
-    alone keeps one row.
+    alone keeps one row. Texts move only if the ids to leave out are too many for Spark to
+    send around: they are stored first, and so Spark knows their size.
     """
-    found = near_duplicates(docs, id_column, text_column, **settings)
-    kept = found.where(F.col(id_column).eqNullSafe(F.col("component_id")))
-    survivors = kept.select(F.col(id_column).alias("id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).cast("bigint").alias("id"),
-                       F.col(text_column).alias("text"))
-    joined = rows.alias("a").join(
-        survivors.alias("b"), F.col("a.id").eqNullSafe(F.col("b.id")), "left_semi"
+    found = stored(
+        near_duplicates(docs, id_column, text_column, **settings)
+        .select(F.col(id_column).alias("id"), "component_id"), "components",
+    )
+    first = F.col("id").eqNullSafe(F.col("component_id"))
+    repeated = stored(
+        found.where(first).groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"),
+        "repeated-ids",
+    )
+    others = stored(found.where(~first).select("id").distinct().unionByName(repeated), "other-ids")
+    # The columns of `docs` travel as one struct, so that no name of theirs can clash.
+    rows = docs.select(F.struct("*").alias("row")).withColumn(
+        "id", F.col("row")[id_column].cast("bigint")
+    ).alias("a")
+    same = F.col("a.id").eqNullSafe(F.col("b.id"))
+    alone = rows.join(others.alias("b"), same, "left_anti").select("row")
+    text = F.coalesce(F.col("row")[text_column], F.lit(""))
+    one = (
+        rows.join(repeated.alias("b"), same, "left_semi")
+        .groupBy("id").agg(F.min_by("row", text).alias("row")).select("row")
+    )
+    return alone.unionByName(one).select(
+        *[F.col("row")[name].alias(name) for name in docs.columns]
     )
-    chosen = joined.groupBy("id").agg(F.min_by("row", F.coalesce("text", F.lit(""))).alias("row"))
-    return chosen.select(*[F.col("row")[name].alias(name) for name in docs.columns])
