@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from samples import docs, odd_texts, words
+from llm_samples import docs, odd_texts, words
 from tallyhouse.llm import decontamination as dc
 
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from samples import words
+from llm_samples import words
 from tallyhouse.llm import block_labeller, html_examples, html_extraction
 from tallyhouse.llm.html_blocks import blocks
 

@@ -6,7 +6,7 @@ from collections import Counter
 
 import xxhash
 
-from samples import docs, odd_texts, words
+from llm_samples import docs, odd_texts, words
 from tallyhouse.llm import line_dedup
 
 

@@ -8,7 +8,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from samples import docs, odd_texts, words
+from llm_samples import docs, odd_texts, words
 from tallyhouse.llm import packing
 
 

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from samples import words
+from llm_samples import words
 
 SF_DIR = "/root/testdata/sf0.001"
 

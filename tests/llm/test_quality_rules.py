@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter
 
-from samples import docs, odd_texts, words
+from llm_samples import docs, odd_texts, words
 from tallyhouse.llm import quality_rules
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from samples import docs, odd_texts, words
+from llm_samples import docs, odd_texts, words
 from tallyhouse.llm import simhash_dedup
 from tallyhouse.llm.components import components
 

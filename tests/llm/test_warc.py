@@ -7,7 +7,7 @@ import random
 from hypothesis import given
 from hypothesis import strategies as st
 
-from samples import words
+from llm_samples import words
 from tallyhouse.llm import warc
 from tallyhouse.session import scratch_path
 
