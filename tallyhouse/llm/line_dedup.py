@@ -96,8 +96,8 @@ def removed_chunks(texts: DataFrame) -> DataFrame:
 
     Each step goes to the shared folder: places and hashes of all chunks; hashes found twice; the
     bytes of chunks with such a hash, which are then compared. A chunk that a large part of the
-    documents share is reduced in each task before it is shuffled. The joins that follow read
-    stored tables, so Spark can split such a key, and sends a table around if it is small.
+    documents share is reduced in each task before it is shuffled, and the joins on hashes read
+    stored tables on both sides, so Spark can split such a key.
     """
     keyed = texts.select("id", "text", F.xxhash64("text").alias("digest"))
     places = stored(_chunks(keyed, "id", "digest").drop("lines"), "chunk-places")
@@ -105,9 +105,9 @@ def removed_chunks(texts: DataFrame) -> DataFrame:
         places.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"),
         "chunk-hashes",
     )
-    wanted = stored(
+    wanted = (
         places.join(twice, "hash").groupBy("id", "digest")
-        .agg(F.collect_set("chunk").alias("wanted")), "wanted-chunks",
+        .agg(F.collect_set("chunk").alias("wanted"))
     )
     within = keyed.alias("a").join(
         wanted.alias("b"), _same("id", "id") & (F.col("a.digest") == F.col("b.digest"))
@@ -125,10 +125,10 @@ def removed_chunks(texts: DataFrame) -> DataFrame:
         "first-chunks",
     )
     copies = suspects.select("id", "digest", "chunk", "hash", F.sha2("bytes", 256).alias("sha"))
-    return stored(
+    return (
         copies.join(firsts, ["hash", "sha"])
         .where(~place.eqNullSafe(F.col("first")))
-        .groupBy("id", "digest").agg(F.collect_set("chunk").alias("removed")), "removed-chunks",
+        .groupBy("id", "digest").agg(F.collect_set("chunk").alias("removed"))
     )
 
 
