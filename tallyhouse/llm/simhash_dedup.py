@@ -200,8 +200,8 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """The rows of `docs` with the smallest id of their component, one row for each id.
 
     Of repeated rows with one id, that with the least text stays. A component of null ids
-    alone keeps one row. Texts move only if the ids to leave out are too many for Spark to
-    send around: they are stored first, and so Spark knows their size.
+    alone keeps one row. Texts are dealt out by id once, whatever the number of ids left out;
+    only rows of repeated ids move again.
     """
     found = stored(
         near_duplicates(docs, id_column, text_column, **settings)
@@ -218,7 +218,7 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         "id", F.col("row")[id_column].cast("bigint")
     ).alias("a")
     same = F.col("a.id").eqNullSafe(F.col("b.id"))
-    alone = rows.join(others.alias("b"), same, "left_anti").select("row")
+    alone = rows.join(others.hint("merge").alias("b"), same, "left_anti").select("row")
     text = F.coalesce(F.col("row")[text_column], F.lit(""))
     one = (
         rows.join(repeated.alias("b"), same, "left_semi")
