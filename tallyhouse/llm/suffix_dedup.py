@@ -47,7 +47,7 @@ SLICE_BYTES = 4 * 1024 * 1024
 BUCKET_BYTES = 8 * 1024 * 1024
 SHARE_BYTES = 24 * 1024 * 1024
 # Bytes of which one suffix array is built.
-ARRAY_BYTES = 4 * 1024 * 1024
+ARRAY_BYTES = 1024 * 1024
 # A minimizer that more texts have than this travels as single strings.
 MANY = 2048
 
