@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ALLOW, BLOCK = "allow", "block"
-SLOTS = 4096
+SLOTS = 8192
 GRAMS = (3, 4, 5)
 CUT = 0.5
 
@@ -69,6 +69,16 @@ https://crack-keygen.example.org/download
 http://torrent-warez.example.com/crack
 https://phishing-login.example.net/verify
 http://ad-clicks.example.org/track
+https://ads-tracker.example.com/pixel
+http://track.adserver.example.net/ads
+https://free-bets-today.example.com/odds
+http://sports-bets.example.org/free
+https://casino-wins.example.org/de/3
+http://win-casino.example.net/en/8
+https://adult-video.example.org/en/5
+http://adult-cams.example.net/fr/7
+https://xxx-adult.example.org/
+http://cheap-meds-pills.example.org/es/4
 """.split()
 ALLOWED_URLS = """
 https://news.example.org/en/12
@@ -97,6 +107,16 @@ http://m.tionon.example.org/en/36675
 https://www.thering.example.org/de/39547.html
 https://thernd.example.net/es/26123
 http://blog.edon.example.org/en/7198
+https://therhe.example.org/en/728?utm_source=feed
+http://blog.ererti.example.net/de/14
+https://www.ndthre.example.org/fr/612
+https://m.stores.example.com/track-order
+http://tickets.example.net/en/4
+https://clinic.example.org/health
+http://bank.example.com/en/7
+https://games.example.net/chess
+http://books.example.org/free-library
+https://winter.example.org/en/9
 """.split()
 
 
@@ -125,17 +145,25 @@ def by_rule(rules: list[Rule], host: Column, path: Column) -> tuple[Column, Colu
     return name, verdict
 
 
-def _slots(host: Column, path: Column) -> Column:
-    """The slot of each n-gram of host and path, `^` and `$` around them."""
-    text = F.concat(F.lit("^"), host, path, F.lit("$"))
+def _with_slots(parts: DataFrame) -> DataFrame:
+    """`parts` with the slot of each n-gram of host and path, `^` and `$` around them.
+
+    Characters are taken apart once, so the work follows the length of a URL.
+    """
+    marked = F.concat(F.lit("^"), F.col("host"), F.col("path"), F.lit("$"))
+    split = parts.withColumn("characters", F.split(marked, ""))
+    characters = F.col("characters")
 
     def grams(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.char_length(text) - n + 1, F.lit(1)))
+        starts = F.sequence(F.lit(0), F.greatest(F.size(characters) - n, F.lit(0)))
         return F.transform(
-            starts, lambda i: F.pmod(F.xxhash64(F.substr(text, i, F.lit(n))), F.lit(SLOTS)).cast("int")
+            starts,
+            lambda i: F.pmod(
+                F.xxhash64(*[F.get(characters, i + k) for k in range(n)]), F.lit(SLOTS)
+            ).cast("int"),
         )
 
-    return F.concat(*map(grams, GRAMS))
+    return split.withColumn("slots", F.concat(*map(grams, GRAMS)))
 
 
 def labelled(spark: SparkSession) -> DataFrame:
@@ -150,13 +178,13 @@ def train(examples: DataFrame, penalty: float = 0.02) -> tuple[list[float], floa
     partition, so that the sums, and with them the weights, come out the same each time.
     """
     parts = with_parts(examples.where("label IS NOT NULL"), F.col("url"))
-    slots = parts.select("label", _slots(F.col("host"), F.col("path")).alias("slots"))
+    slots = _with_slots(parts).select("label", "slots")
     counts = F.transform(
         F.sequence(F.lit(0), F.lit(SLOTS - 1)),
         lambda slot: F.size(F.filter("slots", lambda x: x == slot)).cast("double"),
     )
     rows = slots.coalesce(1).select("label", array_to_vector(counts).alias("features"))
-    learner = LogisticRegression(regParam=penalty, standardization=False, maxIter=200, tol=1e-9)
+    learner = LogisticRegression(regParam=penalty, standardization=False, maxIter=60, tol=1e-7)
     model = learner.fit(rows)
     return [float(x) for x in model.coefficients], float(model.intercept)
 
@@ -170,7 +198,7 @@ def judge(
     parts = with_parts(
         pages.select(F.col(id_column).alias("id"), F.col(url_column).alias("url")), F.col("url")
     )
-    slots = parts.withColumn("slots", _slots(F.col("host"), F.col("path")))
+    slots = _with_slots(parts)
     table = F.array(*map(F.lit, weights))
     logit = F.aggregate("slots", F.lit(intercept), lambda sum_, slot: sum_ + F.get(table, slot))
     scored = slots.withColumn("score", 1 / (1 + F.exp(-logit)))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 from hypothesis import given, settings
@@ -12,13 +13,18 @@ from llm_samples import docs, odd_texts, words
 from tallyhouse.llm import packing
 
 
-def library_ids(texts):
+@lru_cache
+def library():
     import public_tokenizers
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tokenizer.encode_special_tokens = True
-    return [x.ids + [0] for x in tokenizer.encode_batch(list(texts), add_special_tokens=False)]
+    return tokenizer
+
+
+def library_ids(texts):
+    return [x.ids + [0] for x in library().encode_batch(list(texts), add_special_tokens=False)]
 
 
 @settings(max_examples=300, deadline=None)
