@@ -191,7 +191,7 @@ def sort_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _load(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "user_id")
     return plans.daily_activity(
-        _load(spark, sf_dir, "events"), customer, "user_id", "ts", ["c_name"]
+        _load(spark, sf_dir, "events"), customer, "user_id", "ts", ["c_name"], unique=True
     )
 
 

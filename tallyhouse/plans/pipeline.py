@@ -93,7 +93,7 @@ def run(
         facts = facts.where(between_days(first_day, last_day))
         entities = read_accounts(own, tables["accounts"], versioned)
         size_shuffles(own, spark, sum(stored_bytes(own, table) for table in tables.values()))
-        activity = daily_activity(facts, entities, by_partition=True)
+        activity = daily_activity(facts, entities, by_partition=True, unique=True)
         left_out = unmatched(facts, entities, AUTHS.key).agg(F.coalesce(F.sum("rows"), F.lit(0)))
         written = [
             start(write_report, activity, daily, report_format),

@@ -21,20 +21,25 @@ def daily_activity(
     labels: Sequence[str] = ("first_name", "last_name"),
     count: str = "num_transactions",
     by_partition: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Facts per entity and day, under the entity's labels, sorted by day.
 
     The grain is the key: two entities with the same labels get a row each.
     Facts without an entity are left out (`unmatched` lists them). An entity
-    listed twice counts once, with its least labels. So both sides have one row
-    for what they are joined by, and facts are counted before the join.
+    listed twice counts once, with its least labels; `unique` says that none is,
+    as `ingest_accounts` leaves them, and saves looking. So both sides have one
+    row for what they are joined by, and facts are counted before the join.
     With `by_partition` the day comes from a table's partition columns instead
     of from `moment`, which is then not read from the files at all.
     """
     day = F.make_date(*DAY_PARTS) if by_partition else F.to_date(moment)
     per_day = count_per(facts.select(key, day.alias(moment)), [key, moment], count)
-    once = entities.groupBy(key).agg(F.min(F.struct(*labels)).alias("__labels"))
-    named = matching(per_day, once.select(key, "__labels.*"), key)
+    once = entities.select(key, *labels)
+    if not unique:
+        least = entities.groupBy(key).agg(F.min(F.struct(*labels)).alias("__labels"))
+        once = least.select(key, "__labels.*")
+    named = matching(per_day, once, key)
     # Grouped, sent and sorted as a date; only the finished rows carry text.
     ordered = named.orderBy(moment, *labels, key)
     return ordered.select(*labels, day_text(moment).alias(moment), count)
