@@ -22,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the chunks of lines that an earlier document has."""
-    cleaned = line_dedup.dedup_lines(docs)
+    """All documents, without the chunks and passages of lines that an earlier document has."""
+    cleaned = line_dedup.dedup_lines(docs, passage_words=line_dedup.PASSAGE_WORDS)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(kind))

@@ -6,11 +6,18 @@ share a run of lines cut it at the same places. A line ends a chunk if its
 rolling hash says so and that of the line before does not, so a chunk has two
 lines or more, unless the text has one line. A chunk of several lines that also
 lies at an earlier place, by (id, position), is removed; the first copy stays.
-Chunks are found by hash and removed only after their bytes agree.
+Chunks are found by hash and removed only after SHA-256 of their bytes agrees.
+
+A chunk mixes the ends of a passage with its neighbours, so with `passage_words`
+the lines of every run of two lines or more and over so many words that lies
+contiguously at an earlier place are removed as well. From each line, forwards and
+backwards, the shortest such run is a window; every line of a repeated run lies in
+a window that lies wholly within the run, so to compare windows is enough, and what
+is found does not depend on any boundary. A line without words counts as one word.
 
 Only DataFrame functions are used. Ids order the documents, null after all
 others. Repeated rows of one id are one document, and each comes back with the
-same text. Null and empty texts come back as they are; a text that loses all its
+same text; different texts of one id are ordered by their digest. Null and empty texts come back as they are; a text that loses all its
 lines becomes empty. Other columns are carried along and never read.
 """
 
@@ -25,6 +32,8 @@ SPAN = 2
 # The rolling hash chooses one line in so many; chunks have four or five lines on average.
 EVERY = 3
 LEAST_LINES = 2
+# A repeated run of lines in the queries has more words than this.
+PASSAGE_WORDS = 50
 
 # Rolling hash: base and modulus of a polynomial, below 2^31 so that products fit a bigint.
 _BASE = 1_000_003
@@ -66,82 +75,148 @@ def _cut(texts: DataFrame, text: Column) -> DataFrame:
     return chosen.withColumn("ends", _ends(F.col("chosen")))
 
 
-def _chunks(texts: DataFrame, *keep: str) -> DataFrame:
-    """A row per chunk of `LEAST_LINES` lines or more: its number, hash and lines."""
-    ends = F.col("ends")
-    places = _cut(texts.where("text IS NOT NULL"), F.col("text")).withColumn(
-        "places",
-        F.transform(
-            F.sequence(F.lit(0), F.size(ends) - 1),
-            lambda i: F.struct(
-                i.alias("chunk"), _start(ends, i).alias("start"),
-                (F.get(ends, i) - _start(ends, i) + 1).alias("n"),
-            ),
+def _weights(words: int) -> Column:
+    """Words of each line, 1 at least; more than `words + 1` would not change a window."""
+    blank = " \t\r\f\x0b"
+    return F.transform(
+        "lines",
+        lambda line: F.least(
+            F.size(F.split(F.btrim(line, F.lit(blank)), f"[{blank}]+")), F.lit(words + 1)
+        ),
+    )
+
+
+def _reach(weights: Column, words: int) -> Column:
+    """For each line, lines of the shortest window that begins there; 0 if there is none."""
+    # Lines and words so far are one number: a window has at most 2 * (words + 1) words by then.
+    unit, near = 4 * (words + 1), 4
+
+    def done(total: Column) -> Column:
+        return (total >= LEAST_LINES * unit) & (F.pmod(total, F.lit(unit)) > words)
+
+    def further(part: Column, total: Column) -> Column:
+        return F.aggregate(
+            part, total, lambda so_far, n: F.when(done(so_far), so_far).otherwise(so_far + unit + n)
+        )
+
+    # Most windows end within a few lines, and none has more lines than words.
+    few = F.transform(weights, lambda _, i: further(F.slice(weights, i + 1, near), F.lit(0)))
+    all_of = F.transform(
+        few,
+        lambda total, i: F.when(done(total), total).otherwise(
+            further(F.slice(weights, i + 1 + near, words + LEAST_LINES), total)
         ),
     )
-    long_enough = F.filter("places", lambda place: place["n"] >= LEAST_LINES)
-    return places.withColumn("place", F.explode(long_enough)).select(
-        *keep, "place.chunk",
-        F.xxhash64(F.expr("slice(hashes, place.start + 1, place.n)")).alias("hash"),
-        F.expr("slice(lines, place.start + 1, place.n)").alias("lines"),
+    return F.transform(all_of, lambda total: F.when(done(total), F.floor(total / unit)).otherwise(0))
+
+
+# A span of lines is one bigint, its first line and its length, as sets of numbers are hashed.
+_LENGTH_BITS = 31
+
+
+def _span(start: Column, n: Column) -> Column:
+    return F.shiftleft(start.cast("bigint"), _LENGTH_BITS) + n.cast("bigint")
+
+
+def _first_line(span: Column) -> Column:
+    return F.shiftright(span, _LENGTH_BITS).cast("int")
+
+
+def _length(span: Column) -> Column:
+    return span.bitwiseAND(F.lit((1 << _LENGTH_BITS) - 1)).cast("int")
+
+
+def _of(array: str, span: Column) -> Column:
+    """The part of `array` that lies in the span."""
+    return F.slice(F.col(array), _first_line(span) + 1, _length(span))
+
+
+def _spans(texts: DataFrame, passage_words: int | None) -> DataFrame:
+    """`texts` (with lines and ends of chunks) with the spans of chunks and windows, each once."""
+    ends = F.col("ends")
+    spans = F.transform(
+        F.sequence(F.lit(0), F.size(ends) - 1),
+        lambda i: _span(_start(ends, i), F.get(ends, i) - _start(ends, i) + 1),
     )
+    if passage_words is not None:
+        texts = texts.withColumn("weights", _weights(passage_words))
+        texts = texts.withColumn("behind", F.reverse("weights"))
+        texts = texts.withColumn("forwards", _reach(F.col("weights"), passage_words))
+        texts = texts.withColumn("backwards", F.reverse(_reach(F.col("behind"), passage_words)))
+        spans = F.concat(
+            spans,
+            F.transform("forwards", lambda n, i: _span(i, n)),
+            F.transform("backwards", lambda n, i: _span(F.when(n > 0, i + 1 - n).otherwise(0), n)),
+        )
+    distinct = F.array_distinct(spans)
+    return texts.withColumn("spans", F.filter(distinct, lambda span: _length(span) >= LEAST_LINES))
 
 
 def _same(a: str, b: str) -> Column:
     return (F.col(f"a.{a}").eqNullSafe(F.col(f"b.{b}")))
 
 
-def removed_chunks(texts: DataFrame) -> DataFrame:
-    """Of `texts` (id, text): id, digest of the text, and the numbers of the chunks to remove.
+def removed_lines(texts: DataFrame, passage_words: int | None = None) -> DataFrame:
+    """Of `texts` (id, text): id, digest of the text, and the spans of lines to remove.
 
-    Each step goes to the shared folder: places and hashes of all chunks; hashes found twice; the
-    bytes of chunks with such a hash, which are then compared. A chunk that a large part of the
+    Each step goes to the shared folder: places and hashes of all spans; hashes found twice; the
+    SHA-256 of spans with such a hash, which are then compared. A span that a large part of the
     documents share is reduced in each task before it is shuffled, and the joins on hashes read
-    stored tables on both sides, so Spark can split such a key.
+    stored tables on both sides, so Spark can split such a key. Of a span whose copies overlap
+    in one text only those after the end of the first are removed.
     """
-    keyed = texts.select("id", "text", F.xxhash64("text").alias("digest"))
-    places = stored(_chunks(keyed, "id", "digest").drop("lines"), "chunk-places")
+    keyed = texts.where("text IS NOT NULL").select("id", "text", F.xxhash64("text").alias("digest"))
+    placed = _spans(_cut(keyed, F.col("text")), passage_words).select(
+        "id", "digest",
+        F.explode(F.transform("spans", lambda span: F.struct(
+            span.alias("span"), F.xxhash64(_of("hashes", span)).alias("hash")
+        ))).alias("place"),
+    )
+    places = stored(placed.select("id", "digest", "place.*"), "span-places")
     twice = stored(
         places.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"),
-        "chunk-hashes",
+        "span-hashes",
     )
     wanted = (
         places.join(twice, "hash").groupBy("id", "digest")
-        .agg(F.collect_set("chunk").alias("wanted"))
+        .agg(F.collect_set("span").alias("wanted"))
     )
     within = keyed.alias("a").join(
         wanted.alias("b"), _same("id", "id") & (F.col("a.digest") == F.col("b.digest"))
-    ).select("a.id", "a.digest", "a.text", "b.wanted")
+    ).select("a.id", "a.digest", F.split("a.text", "\n", -1).alias("lines"), "b.wanted")
+    digests = F.transform("wanted", lambda span: F.struct(
+        span.alias("span"), F.unhex(F.sha2(F.array_join(_of("lines", span), "\n"), 256)).alias("sha")
+    ))
     suspects = stored(
-        _chunks(within, "id", "digest", "wanted")
-        .where(F.array_contains("wanted", F.col("chunk")))
-        .select("id", "digest", "chunk", "hash", F.array_join("lines", "\n").alias("bytes")),
-        "chunk-bytes",
+        within.select("id", "digest", F.explode(digests).alias("found"))
+        .select("id", "digest", "found.*"),
+        "span-digests",
     )
-    place = F.struct(F.col("id").isNull().alias("last"), "id", "chunk")
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "digest", "span")
     firsts = stored(
-        suspects.groupBy("hash", "bytes").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-        .where("n > 1").select("hash", F.sha2("bytes", 256).alias("sha"), "first"),
-        "first-chunks",
+        suspects.groupBy("sha").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+        .where("n > 1").select("sha", "first"),
+        "first-spans",
     )
-    copies = suspects.select("id", "digest", "chunk", "hash", F.sha2("bytes", 256).alias("sha"))
+    elsewhere = ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("digest") == F.col("first.digest")))
+    after = _first_line(F.col("span")) >= _first_line(F.col("first.span")) + _length(F.col("span"))
     return (
-        copies.join(firsts, ["hash", "sha"])
-        .where(~place.eqNullSafe(F.col("first")))
-        .groupBy("id", "digest").agg(F.collect_set("chunk").alias("removed"))
+        suspects.join(firsts, "sha").where(elsewhere | after)
+        .groupBy("id", "digest").agg(F.collect_set("span").alias("removed"))
     )
 
 
 def dedup_lines(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    counts: tuple[str, str] | None = None,
+    counts: tuple[str, str] | None = None, passage_words: int | None = None,
 ) -> DataFrame:
-    """`docs` with repeated chunks of lines taken out of `text_column`.
+    """`docs` with repeated chunks of lines, and repeated passages, taken out of `text_column`.
 
+    `passage_words` is what a passage must exceed; without it only whole chunks are looked for.
     `counts` names two columns to add: the lines of a text and how many were removed.
     """
-    removed = removed_chunks(
-        docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    removed = removed_lines(
+        docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), passage_words
     )
     # The columns of `docs` travel as one struct, so that no name of theirs can clash.
     row = docs.select(F.struct("*").alias("row"))
@@ -152,17 +227,13 @@ def dedup_lines(
         removed.alias("b"), _same("id", "id") & (F.col("a.digest") == F.col("b.digest")), "left"
     ).select("row", "removed", F.col("row")[text_column].alias("text"))
     # Only texts that lose something are cut again.
-    cut = _cut(joined, F.when(F.col("removed").isNotNull(), F.col("text")))
-    ends = F.col("ends")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(ends) - 1), F.col("removed"))
-    left = F.flatten(
-        F.transform(
-            kept,
-            lambda i: F.slice(
-                F.col("lines"), _start(ends, i) + 1, F.get(ends, i) - _start(ends, i) + 1
-            ),
-        )
-    )
+    changed = F.when(F.col("removed").isNotNull(), F.col("text"))
+    cut = joined.withColumn("lines", F.split(changed, "\n", -1))
+    gone = F.flatten(F.transform("removed", lambda span: F.sequence(
+        _first_line(span), _first_line(span) + _length(span) - 1
+    )))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone)
+    left = F.transform(kept, lambda i: F.get("lines", i))
     rows = cut.withColumn("left", F.when(F.col("removed").isNotNull(), left))
     columns = [
         F.coalesce(F.array_join("left", "\n"), F.col("text")).alias(name) if name == text_column

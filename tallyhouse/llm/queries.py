@@ -54,7 +54,9 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    cleaned = line_dedup.dedup_lines(docs, counts=("n_lines", "n_removed"))
+    cleaned = line_dedup.dedup_lines(
+        docs, counts=("n_lines", "n_removed"), passage_words=line_dedup.PASSAGE_WORDS
+    )
     return cleaned.select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )

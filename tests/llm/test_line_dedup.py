@@ -107,6 +107,65 @@ def test_a_passage_is_found_wherever_it_is_moved(spark):
     assert got[1] == 0 and got[2] > 150
 
 
+def plain_passages(texts, words_over):
+    """Lines gone from each text: those in any run of two lines or more that an earlier place has."""
+    gone, seen = {}, {}
+    for n, (i, text) in enumerate(texts):
+        lines = text.split("\n")
+        weight = [max(len(x.split()), 1) for x in lines]
+        for a in range(len(lines)):
+            for b in range(a + 2, len(lines) + 1):
+                if sum(weight[a:b]) > words_over:
+                    at = seen.setdefault(tuple(lines[a:b]), (n, a))
+                    if at[0] < n or a >= at[1] + b - a:
+                        gone.setdefault(n, set()).update(range(a, b))
+    return gone
+
+
+def test_short_passages_are_found_wherever_they_are_moved(spark):
+    draw = random.Random(11)
+    texts, passages = [], []
+    for n in range(60):
+        passage = [words(draw, 60 // (n % 5 + 2) + 1) for _ in range(n % 5 + 2)]
+        passages.append(passage)
+        texts.append((n, "\n".join([words(draw, 9) for _ in range(draw.randint(1, 5))] + passage
+                                  + [words(draw, 9) for _ in range(draw.randint(1, 5))])))
+    for n, passage in enumerate(passages):
+        around = [[words(draw, 9) for _ in range(draw.randint(0, 5))] for _ in range(2)]
+        texts.append((n + 100, "\n".join(around[0] + passage + around[1])))
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(
+        docs(spark, texts), counts=("n", "gone"), passage_words=50).collect()}
+    for n, passage in enumerate(passages):
+        assert got[n]["text"] == texts[n][1] and got[n]["gone"] == 0
+        assert got[n + 100]["gone"] == len(passage)
+        assert not set(passage) & set(got[n + 100]["text"].split("\n"))
+
+
+def test_all_repeated_runs_are_removed_as_plain_search_does(spark):
+    draw = random.Random(12)
+    shared = [words(draw, draw.choice([1, 5, 20, 70])) for _ in range(30)] + ["", "", " \t"]
+    texts = []
+    for n in range(50):
+        lines = []
+        for _ in range(draw.randint(1, 6)):
+            a = draw.randint(0, len(shared) - 2)
+            lines += [words(draw, 4)] * draw.randint(0, 1) + shared[a:a + draw.randint(1, 6)]
+        texts.append((n, "\n".join(lines)))
+    texts.append((60, "\n".join(["over and over the same five words"] * 40)))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(
+        docs(spark, texts), passage_words=50).collect()}
+    only_chunks = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(spark, texts)).collect()}
+    gone = plain_passages(texts, 50)
+    for n, (i, text) in enumerate(texts):
+        lines = text.split("\n")
+        left = Counter(x for k, x in enumerate(lines) if k not in gone.get(n, ()))
+        kept = Counter(got[i].split("\n")) if got[i] else Counter()
+        # Short repeated chunks may go beyond the passages, and nothing else may.
+        assert not kept - left
+        if only_chunks[i] == text:
+            assert kept == left
+
+
 def test_no_rows(spark):
     rows = docs(spark, [])
     got = line_dedup.dedup_lines(rows)
