@@ -65,20 +65,25 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def with_fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle: int) -> DataFrame:
-    """id and fingerprint (a bigint of the same bits) of each row."""
+def with_fingerprints(
+    docs: DataFrame, id_column: str, text_column: str, shingle: int, digests: bool = False,
+) -> DataFrame:
+    """id and fingerprint (a bigint of the same bits) of each row, and the digest of its text."""
+    kept = ["id", "digest"] if digests else ["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             prints = [_signed(fingerprint(x, shingle)) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(prints, pa.int64())], ["id", "print"]
+                [*map(batch.column, kept), pa.array(prints, pa.int64())], [*kept, "print"]
             )
 
     texts = docs.select(
         F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text")
     )
-    return texts.mapInArrow(run, "id bigint, print bigint")
+    if digests:
+        texts = texts.withColumn("digest", F.xxhash64("text"))
+    return texts.mapInArrow(run, ", ".join(f"{name} bigint" for name in (*kept, "print")))
 
 
 def blocks_for(count: int, most_bits: int) -> int:
@@ -174,12 +179,15 @@ def _hex(column: str) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+def _with_components(
+    docs: DataFrame, id_column: str, text_column: str, digests: bool = False,
     shingle: int = SHINGLE, most_bits: int = MOST_BITS, blocks: int | None = None,
 ) -> DataFrame:
-    """Per row: id, fingerprint (16 hex digits) and component_id, the smallest id reachable."""
-    each = stored(with_fingerprints(docs, id_column, text_column, shingle), "prints")
+    """Per row: id, print and component_id; with `digests` also digest and root.
+
+    The root names a component whatever its ids are.
+    """
+    each = stored(with_fingerprints(docs, id_column, text_column, shingle, digests), "prints")
     distinct = stored(each.groupBy("print").agg(F.min("id").alias("least")), "distinct-prints")
     blocks = blocks or blocks_for(distinct.count(), most_bits)
     roots = components(linked_prints(distinct.select("print"), most_bits, blocks))
@@ -187,42 +195,56 @@ def near_duplicates(
         "print", "least", F.coalesce("root", "print").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = stored(
-        rooted.join(least, "root").select("print", "component_id"), "print-components"
-    )
-    return each.join(of_print, "print").select(
-        F.col("id").alias(id_column), _hex("print").alias("fingerprint"), "component_id"
+    names = ["print", "component_id", "root"] if digests else ["print", "component_id"]
+    of_print = stored(rooted.join(least, "root").select(*names), "print-components")
+    return each.join(of_print, "print")
+
+
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+    shingle: int = SHINGLE, most_bits: int = MOST_BITS, blocks: int | None = None,
+) -> DataFrame:
+    """Per row: id, fingerprint (16 hex digits) and component_id, the smallest id reachable."""
+    found = _with_components(
+        docs, id_column, text_column, shingle=shingle, most_bits=most_bits, blocks=blocks
     )
+    return found.select(F.col("id").alias(id_column), _hex("print").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 **settings: int) -> DataFrame:
-    """The rows of `docs` with the smallest id of their component, one row for each id.
+    """Of each component one row of `docs`: that with the smallest id, a null id after all others.
 
-    Of repeated rows with one id, that with the least text stays. A component of null ids
-    alone keeps one row. Texts are dealt out by id once, whatever the number of ids left out;
-    only rows of repeated ids move again.
+    Of several rows with that id in the component, that with the least text stays. An id may
+    have rows in several components, which are settled one by one: a row is known by its id and
+    the digest of its text. Texts are dealt out by these once, whatever the number of rows left
+    out; only rows that share the smallest id of their component move again.
     """
     found = stored(
-        near_duplicates(docs, id_column, text_column, **settings)
-        .select(F.col(id_column).alias("id"), "component_id"), "components",
+        _with_components(docs, id_column, text_column, True, **settings)
+        .select("id", "digest", "root", "component_id"), "components",
     )
     first = F.col("id").eqNullSafe(F.col("component_id"))
-    repeated = stored(
-        found.where(first).groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"),
-        "repeated-ids",
+    firsts = stored(
+        found.where(first).groupBy("root", "id", "digest").agg(F.count("*").alias("n")), "first-rows"
+    )
+    several = firsts.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select("root")
+    repeated = stored(firsts.join(several, "root").select("id", "digest", "root"), "repeated-rows")
+    others = stored(
+        found.where(~first).select("id", "digest").distinct()
+        .unionByName(repeated.select("id", "digest")), "other-rows",
     )
-    others = stored(found.where(~first).select("id").distinct().unionByName(repeated), "other-ids")
     # The columns of `docs` travel as one struct, so that no name of theirs can clash.
-    rows = docs.select(F.struct("*").alias("row")).withColumn(
-        "id", F.col("row")[id_column].cast("bigint")
+    rows = docs.select(F.struct("*").alias("row")).select(
+        "row", F.col("row")[id_column].cast("bigint").alias("id"),
+        F.xxhash64(F.col("row")[text_column]).alias("digest"),
     ).alias("a")
-    same = F.col("a.id").eqNullSafe(F.col("b.id"))
+    same = F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.digest") == F.col("b.digest"))
     alone = rows.join(others.hint("merge").alias("b"), same, "left_anti").select("row")
     text = F.coalesce(F.col("row")[text_column], F.lit(""))
     one = (
-        rows.join(repeated.alias("b"), same, "left_semi")
-        .groupBy("id").agg(F.min_by("row", text).alias("row")).select("row")
+        rows.join(repeated.alias("b"), same).select("row", "b.root")
+        .groupBy("root").agg(F.min_by("row", text).alias("row")).select("row")
     )
     return alone.unionByName(one).select(
         *[F.col("row")[name].alias(name) for name in docs.columns]
