@@ -13,10 +13,16 @@ VOID = frozenset(
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s "
-    "samp small span strike strong sub sup time tt u var wbr".split()
+    "samp small span strike strong sub sup time tt u var wbr "
+    # A formula is part of its sentence.
+    "math annotation maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+    "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder "
+    "munderover semantics".split()
 )
-# Their content is no text of the page.
-HIDDEN = frozenset("script style noscript template svg math iframe object noembed noframes".split())
+# Their content is no text of the page, up to the end of the page if nothing closes them.
+RAW = frozenset(("script", "style"))
+# Nor is theirs, but what nothing closes hides nothing.
+HIDDEN = frozenset("template svg iframe noembed noframes".split())
 # An opening tag of the first kind ends the open element of the second.
 _SELF_CLOSING = frozenset("li dt dd tr td th option p".split())
 _ENDS_P = frozenset(
@@ -50,11 +56,29 @@ def _names(name: str, attributes: str) -> tuple[str, ...]:
     return (name, *("." + part for word in words for part in _PART.findall(word.lower())))
 
 
+def _hidden(html: str, name: str, end: int) -> dict[int, int]:
+    """Where the content of each element of this name begins and where its closing tag ends."""
+    tags = re.compile(
+        r"<!--.*?(?:-->|\Z)|<script(?=[\s/>]).*?(?:</script\b|\Z)|<style(?=[\s/>]).*?(?:</style\b|\Z)|"
+        rf"""<(/?){name}(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>""",
+        re.S | re.I,
+    )
+    found, opened = {}, []
+    for tag in tags.finditer(html, 0, end):
+        if tag[1]:
+            if opened:
+                found[opened.pop()] = tag.end()
+        elif tag[1] is not None and not (name == "svg" and tag[2].endswith("/")):
+            opened.append(tag.end())
+    return found
+
+
 def blocks(html: str | None) -> list[Block]:
     """The blocks of a page in order, those without text left out.
 
     Character references are decoded and white space within a block is one space. An element
     left open ends with the one around it, and a closing tag that nothing opened is ignored.
+    Scripts, styles, comments, drawings, templates and frames are no text; all else is.
     """
     html = html or ""
     out: list[Block] = []
@@ -63,6 +87,7 @@ def blocks(html: str | None) -> list[Block]:
     times: Counter[str] = Counter()
     pieces: list[str] = []
     linked = links = 0
+    hidden: dict[str, dict[int, int]] = {}
 
     def end_block() -> None:
         nonlocal linked
@@ -102,6 +127,11 @@ def blocks(html: str | None) -> list[Block]:
                 close(name)
             continue
         if name in HIDDEN:
+            if name not in hidden:
+                hidden[name] = _hidden(html, name, last + 1)
+            at = hidden[name].get(at, at)
+            continue
+        if name in RAW:
             closing = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
             at = closing.end() if closing else len(html)
             continue

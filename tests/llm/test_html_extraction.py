@@ -38,6 +38,36 @@ def test_broken_tags_are_no_text():
     assert [b.text for b in blocks("a < b <i> d")] == ["a < b d"]
 
 
+@pytest.mark.parametrize("tag", [
+    "<svg class='i'/>", "<svg>", "<math/>", "<math>", "<template>", "<object data=x>", "<noscript>", "<iframe src=x>",
+    "<noembed>", "<noframes>", "<script>'<svg><!--'</script>", "<svg/><svg><text>no</text></svg>", "<svg>a<svg>b</svg>c</svg>",
+])
+def test_what_is_not_closed_hides_nothing(tag):
+    hidden = "<svg><path/><text>no</text></svg><template><p>no</p></template><iframe>no</iframe>"
+    found = blocks(f"<article><p>one</p>{tag}<p>two</p></article><p>three</p>{hidden}<p>four</p>")
+    assert [b.text for b in found] == ["one", "two", "three", "four"]
+
+
+def test_only_scripts_styles_and_comments_run_to_the_end():
+    for tag in ("<script>", "<style>", "<!--", "<script/>"):
+        assert [b.text for b in blocks(f"<p>one</p>{tag}<p>two</p>")] == ["one"]
+
+
+def test_fallbacks_and_formulas_are_text():
+    html = (
+        "<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> here</p><object data=a><p>in place</p></object>"
+        "<noscript><p>without scripts</p></noscript>"
+    )
+    assert [b.text for b in blocks(html)] == ["so x=1 here", "in place", "without scripts"]
+
+
+def test_hidden_elements_are_read_in_good_time():
+    for name in ("svg", "template", "iframe", "math", "object"):
+        for html in (f"<{name}>" * 50_000, f"<{name}>" * 50_000 + f"</{name}>", f"<{name} \"" * 50_000,
+                     f"<{name}>" * 20_000 + f"</{name}>" * 20_000, f"<{name} \"" * 50_000 + ">"):
+            blocks(html)
+
+
 def test_links_are_measured():
     found = blocks("<p><a href='x>y'>abcd</a>efgh</p><p>plain</p>")
     assert [b.link_share for b in found] == [0.5, 0.0]
