@@ -12,10 +12,11 @@ Every string of `LENGTH` bytes has a minimizer, the least hash among its
 2. the minimizers of all texts are counted, by slices of the corpus: those found
    in two texts are the only ones whose strings can have a copy;
 3. stretches of text with such a minimizer go to the task of that minimizer.
-   Equal stretches are settled at once. Of the others a suffix array is built;
-   in suffix order, with equal strings in order of their document, a string has
-   an earlier copy if the longest previous factor at its place, the longer of the
-   matches with the nearest smaller positions before and after, is `LENGTH`;
+   Equal stretches are settled at once. The strings of the others are sorted by
+   their `LENGTH` bytes, with equal strings in order of their document; a string
+   has an earlier copy if the first of its equals is of a smaller id, which is
+   whether its longest previous factor reaches `LENGTH`. That factor itself, and
+   the nearest smaller positions it would follow from, are not computed;
 4. the spans found go back to their documents and are cut out.
 
 Texts travel compressed, and whole groups are bounded: what repeats within a slice
@@ -425,8 +426,8 @@ def _stretches(shares: int, buckets: int):
 
 
 def suffix_order(body: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """`places` in order of the `LENGTH` bytes that begin there, and the common prefix of each
-    with the one before it, counted up to `LENGTH`; equal strings stay in the order given.
+    """`places` in order of the `LENGTH` bytes that begin there, and for each `LENGTH` if it has
+    the same bytes as the one before it, else 0; equal strings stay in the order given.
 
     Ranks of prefixes are doubled: 8 bytes are one number, then 16 and 32, and at last two
     prefixes of 32 that overlap make `LENGTH`.
@@ -447,11 +448,9 @@ def suffix_order(body: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def has_earlier(order: np.ndarray, common: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each place, whether its longest previous factor reaches `LENGTH`.
+    """For each place, whether the first place of the same string is of a smaller id.
 
-    Places are numbered by document, so those of one string lie in that order in the suffix
-    array. The nearest smaller position after a place then has another string, and the nearest
-    before it has the same one just if the first place of that string is of a smaller id.
+    Places are numbered by document, so those of one string lie in that order.
     """
     group = np.cumsum(common < LENGTH) - 1
     first = np.flatnonzero(common < LENGTH)
