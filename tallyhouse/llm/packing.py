@@ -7,13 +7,14 @@ into bins of some `BIN_PIECES` pieces, each packed on its own: the padding is
 that of the few windows at each bin's end, whatever the size of the corpus.
 
 Null and empty texts are the end token alone. Repeated rows are documents of
-their own. Special tokens written out in a text are ordinary text. Columns beside
-id and text are not read.
+their own. Special tokens written out in a text have their own ids, as in the
+tokenizer's library. Columns beside id and text are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -40,10 +41,18 @@ def _encoder(vocabulary: str) -> Callable[[str], list[int]]:
 
     with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+    with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as file:
+        special = {x["content"]: x["id"] for x in json.load(file)["added_tokens"] if x["special"]}
     encoding = tiktoken.Encoding(
-        vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
-    return encoding.encode_ordinary
+
+    def encode(text: str) -> list[int]:
+        if any(name in text for name in special):
+            return encoding.encode(text, allowed_special="all")
+        return encoding.encode_ordinary(text)
+
+    return encode
 
 
 def token_ids(text: str | None, vocabulary: str = VOCABULARY) -> np.ndarray:

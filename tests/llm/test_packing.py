@@ -33,6 +33,27 @@ def test_ids_are_those_of_the_tokenizer_library(texts):
     assert [packing.token_ids(x).tolist() for x in texts] == library_ids(texts)
 
 
+@lru_cache
+def library_at_its_defaults():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(
+    st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", "<|", " ", "\n", "a", " b"]), st.text(max_size=8)
+), max_size=8).map("".join))
+def test_special_tokens_have_their_own_ids(text):
+    want = library_at_its_defaults().encode(text, add_special_tokens=False).ids
+    assert packing.token_ids(text).tolist() == want + [0]
+
+
+def test_the_end_of_a_text_written_out():
+    assert packing.token_ids("a <|endoftext|> b").tolist() == [64, 220, 50256, 275, 0]
+
+
 def check(rows, texts, window=packing.WINDOW):
     """Every id in exactly one piece, and windows without gap or excess."""
     by_doc, by_window = defaultdict(list), defaultdict(list)
