@@ -8,55 +8,30 @@ that of the few windows at each bin's end, whatever the size of the corpus.
 
 Null and empty texts are the end token alone. Repeated rows are documents of
 their own. Special tokens written out in a text have their own ids, as in the
-tokenizer's library. Columns beside id and text are not read.
+tokenizer's library, and runs of white space may be of any length. Columns beside
+id and text are not read.
 """
 
 from __future__ import annotations
 
-import base64
-import json
 import zlib
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.byte_bpe import VOCABULARY, encoder
 from tallyhouse.llm.common import slices, stored
 
 WINDOW = 1024
 END = 0
 BIN_PIECES = 65_536
-VOCABULARY = "byte_bpe_50k"
-
-
-@lru_cache(maxsize=2)
-def _encoder(vocabulary: str) -> Callable[[str], list[int]]:
-    """Text to ids. The two files of a vocabulary have the same ids; that of ranks is the
-    quicker one to encode with, by a factor of four."""
-    import public_tokenizers
-    import tiktoken
-
-    with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as file:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as file:
-        special = {x["content"]: x["id"] for x in json.load(file)["added_tokens"] if x["special"]}
-    encoding = tiktoken.Encoding(
-        vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
-    )
-
-    def encode(text: str) -> list[int]:
-        if any(name in text for name in special):
-            return encoding.encode(text, allowed_special="all")
-        return encoding.encode_ordinary(text)
-
-    return encode
 
 
 def token_ids(text: str | None, vocabulary: str = VOCABULARY) -> np.ndarray:
-    return np.array([*_encoder(vocabulary)(text or ""), END], dtype="<u4")
+    return np.array([*encoder(vocabulary)(text or ""), END], dtype="<u4")
 
 
 _PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"

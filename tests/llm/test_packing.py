@@ -54,6 +54,13 @@ def test_the_end_of_a_text_written_out():
     assert packing.token_ids("a <|endoftext|> b").tolist() == [64, 220, 50256, 275, 0]
 
 
+def test_white_space_of_any_length_has_the_ids_of_the_library():
+    run = 10_000_000
+    for text in (" " * run, "\n" * run, "\t" * run, "a" + " \n" * 400_000 + " b<|endoftext|>" + " " * 800_000):
+        want = library_at_its_defaults().encode(text, add_special_tokens=False).ids
+        assert packing.token_ids(text).tolist() == want + [0]
+
+
 def check(rows, texts, window=packing.WINDOW):
     """Every id in exactly one piece, and windows without gap or excess."""
     by_doc, by_window = defaultdict(list), defaultdict(list)
