@@ -11,6 +11,7 @@ from tallyhouse.llm import (
     decontamination,
     html_extraction,
     line_dedup,
+    merkle_manifest,
     packing,
     quality_classifier,
     quality_rules,
@@ -79,6 +80,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(docs, benchmark)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    held = merkle_manifest.leaf_digest(
+        *[text if name == "text" else F.col(name) for name in merkle_manifest.FIELDS]
+    )
+    return merkle_manifest.manifest(docs, held).select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(F.concat_ws("", "proof"), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -92,6 +107,7 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_quality_classifier,
         op10_decontamination,
+        op13_merkle_manifest,
     )
 }
 
