@@ -36,13 +36,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that `column` (of text) holds some `BATCH_BYTES` in each, or one row."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that `column` (of text) holds `most` bytes in each, or is one row."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for row, size in enumerate(sizes):
-            if held and held + size > BATCH_BYTES:
+            if held and held + size > most:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += size

@@ -17,6 +17,7 @@ from tallyhouse.llm import (
     quality_rules,
     simhash_dedup,
     suffix_dedup,
+    token_alignment,
     url_filter,
     warc,
 )
@@ -80,6 +81,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(docs, benchmark)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.align_documents(load(spark, sf_dir, "documents"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
@@ -107,6 +113,7 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_quality_classifier,
         op10_decontamination,
+        op12_token_alignment,
         op13_merkle_manifest,
     )
 }
