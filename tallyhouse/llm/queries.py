@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
+    chat_format,
     decontamination,
     html_extraction,
     line_dedup,
@@ -81,6 +82,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(docs, benchmark)
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # One more conversation, whose texts say what the template says.
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    return chat_format.digests(chat_format.format_conversations(rows.unionByName(planted)))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_alignment.align_documents(load(spark, sf_dir, "documents"), digest=True)
     return found.withColumnRenamed("groups", "groups_sha256")
@@ -113,6 +125,7 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_quality_classifier,
         op10_decontamination,
+        op11_chat_format,
         op12_token_alignment,
         op13_merkle_manifest,
     )
