@@ -425,6 +425,32 @@ def published_append_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_table(spark, path, events.schema).select(columns)
 
 
+@_query("""
+    SELECT event_id, user_id, event_type,
+           CASE WHEN event_type IN ('error', 'signup') THEN value + 1 ELSE value END AS value,
+           CASE WHEN event_type IN ('error', 'signup') THEN ts + INTERVAL 3 DAY ELSE ts END AS ts
+    FROM events
+""")
+def published_append_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The batch comes three days later, so an id may be stored on any day; an index beside
+    # the table says on which, and only those days are read.
+    path = session.scratch_path(spark, "events")
+    events = _events_by_day(spark, sf_dir)
+    sinks.publish_partitioned(_with_types(events, *_STORED_TYPES), path, events.schema)
+    later = _load(spark, sf_dir, "events").withColumns(
+        {"value": F.col("value") + 1, "ts": F.col("ts") + F.expr("INTERVAL 3 DAY")}
+    )
+    batch = functions.add_date_parts(_with_types(later, *_BATCH_TYPES), "ts")
+    for types in (("purchase", "error"), ("purchase", "error", "signup")):
+        some = _with_types(batch, *types)
+        _, on_them = sinks.days_with_keys(spark, path, events.schema, some, ["event_id"])
+        stored = sources.read_table(spark, path, events.schema).where(on_them)
+        new = operators.rows_to_append(stored, some, ["event_id"])
+        sinks.append_partitioned(new, path, events.schema)
+    columns = ["event_id", "user_id", "event_type", "value", "ts"]
+    return sources.read_table(spark, path, events.schema).select(columns)
+
+
 @_query("""
     SELECT * FROM events
     UNION ALL SELECT * FROM events WHERE event_type = 'click' AND ts < TIMESTAMP '2024-01-15'
@@ -452,6 +478,49 @@ def versioned_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_table(spark, newest, events.schema).drop("year", "month", "day")
 
 
+@_query("""
+    SELECT * FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+""")
+def versioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Each version writes only the days it changes and shares the files of all others.
+    root = session.scratch_path(spark, "latest")
+    events = _events_by_day(spark, sf_dir)
+    stored = operators.latest_per_key(_with_types(events, *_STORED_TYPES), ["user_id"], "ts")
+    sinks.publish_version(stored, root, events.schema)
+    for event_type in _BATCH_TYPES:
+        newest = sinks.latest_version(spark, root)
+        table = sources.read_table(spark, newest, events.schema)
+        batch = _with_types(events, event_type)
+        plans.upsert_days(table, batch, root, ["user_id"], "ts", versioned=True)
+    newest = sinks.latest_version(spark, root)
+    return sources.read_table(spark, newest, events.schema).drop("year", "month", "day")
+
+
+@_query("""
+    SELECT o_orderkey AS rank, o_custkey AS account, o_orderpriority AS from_batch, o_orderdate AS moment
+    FROM orders
+    QUALIFY row_number() OVER (
+        PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderstatus <> 'F' DESC,
+                                        o_orderkey DESC, o_orderpriority DESC) = 1
+""")
+def published_upsert_of_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table has columns of its own that are called what an upsert would call its own.
+    path = session.scratch_path(spark, "orders")
+    orders = _load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("rank"), F.col("o_custkey").alias("account"),
+        F.col("o_orderpriority").alias("from_batch"), F.col("o_orderdate").alias("moment"),
+        F.col("o_orderstatus"),
+    )
+    dated = functions.add_date_parts(orders, "moment")
+    closed, opened = (dated.where(where).drop("o_orderstatus") for where in (
+        "o_orderstatus = 'F'", "o_orderstatus <> 'F'"))
+    sinks.publish_partitioned(operators.latest_per_key(closed, ["account"], "moment"), path)
+    table = sources.read_table(spark, path, closed.schema)
+    plans.upsert_days(table, opened, path, ["account"], "moment")
+    return sources.read_table(spark, path, closed.schema).drop("year", "month", "day")
+
+
 @_query("""
     SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS dollars_spent
     FROM events GROUP BY event_type
@@ -498,6 +567,20 @@ def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.table_diff(customer, altered)
 
 
+@_query("""
+    SELECT left_count, right_count, CAST(count(*) AS BIGINT) AS left_count_,
+           CAST(0 AS BIGINT) AS right_count_
+    FROM (SELECT l_linenumber AS left_count, CAST(l_quantity AS BIGINT) AS right_count FROM lineitem)
+    WHERE right_count > 40 GROUP BY ALL
+""")
+def table_diff_of_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The tables have columns of their own that are called what the counts are called.
+    lines = _load(spark, sf_dir, "lineitem").select(
+        F.col("l_linenumber").alias("left_count"), F.col("l_quantity").cast("bigint").alias("right_count")
+    )
+    return operators.table_diff(lines, lines.where("right_count <= 40"))
+
+
 @_query("""
     SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS user_id,
            event_type <> 'error' AS valid

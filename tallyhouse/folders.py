@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -45,6 +48,19 @@ class Folder:
     def names(self) -> list[str]:
         return [s.getPath().getName() for s in self._fs.listStatus(self._at)]
 
+    def make(self) -> None:
+        self._fs.mkdirs(self._at)
+
+    def files(self) -> list[str]:
+        """All files below, as paths from here; hidden ones are left out."""
+        start = len(self._fs.makeQualified(self._at).toUri().getPath().rstrip("/")) + 1
+        found, listed = [], self._fs.listFiles(self._at, True)
+        while listed.hasNext():
+            name = listed.next().getPath().toUri().getPath()[start:]
+            if not any(part[0] in "._" for part in name.split("/")):
+                found.append(name)
+        return sorted(found)
+
     def put(self, text: str) -> None:
         """Make this a file that holds `text`, whole or not at all."""
         part = self._Path(f"{self.path}.part")
@@ -54,6 +70,45 @@ class Folder:
         if not self._fs.rename(part, self._at):
             raise OSError(f"could not write {self.path}")
 
+    def create(self, text: str) -> bool:
+        """Make this a file that holds `text`, unless there is one: of several writers one does.
+
+        The file is complete when it appears. Local disks link it into place and others
+        rename without overwriting, which HDFS does in one step; an object store has to
+        refuse a target that exists.
+        """
+        part = Folder(self.spark, f"{self.path}.{uuid.uuid4().hex}")
+        out = self._fs.create(part._at, True)
+        out.writeBytes(text)
+        out.close()
+        try:
+            if self._fs.getScheme() == "file":
+                target, source = (
+                    self.spark._jvm.java.io.File(at.toUri().getPath()).toPath()
+                    for at in (self._fs.makeQualified(self._at), self._fs.makeQualified(part._at))
+                )
+                self.spark._jvm.java.nio.file.Files.createLink(target, source)
+            else:
+                options = self.spark.sparkContext._gateway.new_array(
+                    self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0
+                )
+                context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                    self._fs.getUri(), self.spark._jsc.hadoopConfiguration()
+                )
+                context.rename(part._at, self._at, options)
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+                raise
+            return False
+        finally:
+            part.delete()
+        return True
+
+    def overwrite(self, text: str) -> None:
+        out = self._fs.create(self._at, True)
+        out.writeBytes(text)
+        out.close()
+
     def text(self) -> str:
         stream = self._fs.open(self._at)
         try:

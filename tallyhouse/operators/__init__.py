@@ -9,6 +9,7 @@ from tallyhouse.operators.checks import (
 from tallyhouse.operators.join import matching
 from tallyhouse.operators.merge import (
     append_distinct,
+    change_columns,
     day_codes,
     distinct_rows,
     latest_per_key,
@@ -19,15 +20,17 @@ from tallyhouse.operators.merge import (
     union_all,
     upsert_latest,
 )
-from tallyhouse.operators.project import conform_names, keep
+from tallyhouse.operators.project import conform_names, fresh, keep
 
 __all__ = [
     "append_distinct",
+    "change_columns",
     "conform_names",
     "count_per",
     "day_codes",
     "distinct_rows",
     "duplicate_keys",
+    "fresh",
     "keep",
     "latest_per_key",
     "matching",

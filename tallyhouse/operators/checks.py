@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.operators.project import fresh
+
 
 def schema_diff(
     left: T.StructType, right: T.StructType, nullable: bool = False, ordered: bool = True
@@ -38,15 +40,16 @@ def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
     Empty when the tables hold the same rows the same number of times. Copies
     are counted, never paired or repeated, in one shuffle for both directions.
+    The counts are `left_count` and `right_count`, or longer names where the
+    tables have such columns themselves.
     """
     columns = left.columns
-    both = left.withColumns({"left_count": F.lit(1), "right_count": F.lit(0)}).unionByName(
-        right.withColumns({"left_count": F.lit(0), "right_count": F.lit(1)})
-    )
-    counted = both.groupBy(*columns).agg(
-        F.sum("left_count").alias("left_count"), F.sum("right_count").alias("right_count")
+    ours, theirs = (fresh(name, columns) for name in ("left_count", "right_count"))
+    both = left.withColumns({ours: F.lit(1), theirs: F.lit(0)}).unionByName(
+        right.withColumns({ours: F.lit(0), theirs: F.lit(1)})
     )
-    return counted.where(F.col("left_count") != F.col("right_count"))
+    counted = both.groupBy(*columns).agg(F.sum(ours).alias(ours), F.sum(theirs).alias(theirs))
+    return counted.where(F.col(ours) != F.col(theirs))
 
 
 def split_invalid_keys(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -56,15 +59,17 @@ def split_invalid_keys(df: DataFrame, required: Sequence[str]) -> tuple[DataFram
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys on more than one row, with the number of rows."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    """Keys on more than one row, with the number of rows: `copies`, or longer if a key is that."""
+    copies = fresh("copies", keys)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies)).where(F.col(copies) > 1)
 
 
 def unmatched(facts: DataFrame, entities: DataFrame, key: str) -> DataFrame:
     """Keys of `facts` without an entity, with the rows an inner join leaves out.
 
     Facts are counted per key first, so a key with very many rows is one row by
-    the time it is joined. NULL keys match nothing and are listed too.
+    the time it is joined. NULL keys match nothing and are listed too. The count
+    is `rows`, or longer if the key is called that.
     """
-    counted = facts.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    counted = facts.groupBy(key).agg(F.count(F.lit(1)).alias(fresh("rows", [key])))
     return counted.join(entities.select(key), key, "left_anti")

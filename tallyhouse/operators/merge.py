@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyhouse.functions.dates import day_code
-
-_BATCH = "__from_batch"
-_RANK = "__rank"
+from tallyhouse.operators.project import fresh
 
 
 def union_all(table: DataFrame, batch: DataFrame) -> DataFrame:
@@ -40,14 +38,18 @@ def latest_per_key(
     if ties is None:
         ties = [c for c in df.columns if c not in (*keys, newest)]
     order = [F.col(c).desc() for c in (newest, *ties)]
-    ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(_RANK, ranked).where(F.col(_RANK) == 1).drop(_RANK)
+    return _first(df, keys, order)
+
 
+def _first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row in `order` of each key."""
+    rank = fresh("rank", df.columns)
+    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col(rank) == 1).drop(rank)
 
-def _marked(table: DataFrame, batch: DataFrame) -> DataFrame:
-    return union_all(
-        table.withColumn(_BATCH, F.lit(False)), batch.withColumn(_BATCH, F.lit(True))
-    )
+
+def _marked(table: DataFrame, batch: DataFrame, mark: str) -> DataFrame:
+    return union_all(table.withColumn(mark, F.lit(False)), batch.withColumn(mark, F.lit(True)))
 
 
 def upsert_latest(
@@ -59,8 +61,9 @@ def upsert_latest(
     the table, and then the remaining columns decide.
     """
     rest = [c for c in table.columns if c not in (*keys, newest)]
-    merged = latest_per_key(_marked(table, batch), keys, newest, [_BATCH, *rest])
-    return merged.drop(_BATCH)
+    late = fresh("from_batch", table.columns)
+    merged = latest_per_key(_marked(table, batch, late), keys, newest, [late, *rest])
+    return merged.drop(late)
 
 
 def append_distinct(
@@ -74,10 +77,9 @@ def append_distinct(
     if keys is None:
         return distinct_rows(union_all(table, batch))
     rest = [c for c in table.columns if c not in keys]
-    order = [F.col(c).asc() for c in (_BATCH, *rest)]
-    ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    kept = _marked(table, batch).withColumn(_RANK, ranked).where(F.col(_RANK) == 1)
-    return kept.drop(_RANK, _BATCH)
+    late = fresh("from_batch", table.columns)
+    order = [F.col(c).asc() for c in (late, *rest)]
+    return _first(_marked(table, batch, late), keys, order).drop(late)
 
 
 def rows_to_append(
@@ -97,34 +99,39 @@ def rows_to_append(
     """
     columns = table.columns
     if keys is None:
-        mark = F.xxhash64(*columns)
-        wanted = batch.select(mark.alias("__mark")).distinct()
-        near = table.join(wanted, mark == F.col("__mark"), "left_semi")
-        seen = _marked(near, batch).groupBy(*columns).agg(F.min(_BATCH).alias(_BATCH))
-        return seen.where(F.col(_BATCH)).select(*columns)
-    held = table.select(*[F.col(k).alias(f"__{k}") for k in keys])
+        mark, late = fresh("mark", columns), fresh("from_batch", columns)
+        wanted = batch.select(F.xxhash64(*columns).alias(mark)).distinct()
+        near = table.join(wanted, F.xxhash64(*columns) == F.col(mark), "left_semi")
+        seen = _marked(near, batch, late).groupBy(*columns).agg(F.min(late).alias(late))
+        return seen.where(F.col(late)).select(*columns)
+    theirs = {k: fresh(f"held_{k}", columns, keys) for k in keys}
+    held = table.select(*[F.col(k).alias(name) for k, name in theirs.items()])
     order = [F.col(c).asc() for c in columns if c not in keys] or [F.lit(0)]
-    ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    least = batch.withColumn(_RANK, ranked).where(F.col(_RANK) == 1).drop(_RANK)
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    least = _first(batch, keys, order)
+    same = [F.col(k).eqNullSafe(F.col(name)) for k, name in theirs.items()]
     return least.join(held, same, "left_anti").select(*columns)
 
 
+def change_columns(table: DataFrame) -> tuple[str, str]:
+    """What `ranked_changes` calls the columns it adds: names that the table does not have."""
+    return fresh("from_batch", table.columns), fresh("rank", table.columns)
+
+
 def ranked_changes(
     table: DataFrame, batch: DataFrame, keys: Sequence[str], newest: str
 ) -> DataFrame:
     """Batch rows, and table rows of the same keys, with where they are from and their rank.
 
-    `from_batch` and `rank` are added; rank 1 is the row that `upsert_latest`
-    keeps. Rows of other keys, which an upsert leaves as they are, are not here.
+    The columns that `change_columns` names are added: whether a row is from the batch,
+    and its rank, of which 1 is the row that `upsert_latest` keeps. Rows of other keys,
+    which an upsert leaves as they are, are not here.
     """
+    late, rank = change_columns(table)
     near = table.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(*table.columns)
     rest = [c for c in table.columns if c not in (*keys, newest)]
-    order = [F.col(c).desc() for c in (newest, "from_batch", *rest)]
-    both = near.withColumn("from_batch", F.lit(False)).unionByName(
-        batch.withColumn("from_batch", F.lit(True))
-    )
-    return both.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    order = [F.col(c).desc() for c in (newest, late, *rest)]
+    ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return _marked(near, batch, late).withColumn(rank, ranked)
 
 
 def day_codes(df: DataFrame) -> list[int]:

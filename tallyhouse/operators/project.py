@@ -8,6 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def fresh(name: str, *columns: Iterable[str]) -> str:
+    """`name`, lengthened until none of `columns` is called that."""
+    taken = {column.lower() for some in columns for column in some}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -16,15 +16,18 @@ from tallyhouse.folders import Folder
 from tallyhouse.functions.dates import add_date_parts, between_days, day_code
 from tallyhouse.functions.names import canonicalize, canonicalize_from_table
 from tallyhouse.operators.merge import (
+    change_columns,
     day_codes,
     on_days,
     ranked_changes,
     rows_to_append,
     upsert_latest,
 )
-from tallyhouse.operators.project import conform_names, keep
+from tallyhouse.operators.project import conform_names, fresh, keep
 from tallyhouse.schemas import ACCOUNTS, AUTHS, DAY_PARTS, MERCHANT_NAMES, MONEY, Feed
 from tallyhouse.session import TASK_BYTES, for_tables, size_shuffles
+from tallyhouse.sinks.key_index import days_with_keys
+from tallyhouse.sinks.lease import writing
 from tallyhouse.sinks.publish import (
     append_partitioned,
     day_folder,
@@ -32,7 +35,10 @@ from tallyhouse.sinks.publish import (
     publish_days,
     publish_partitioned,
     publish_version,
+    publish_version_days,
     restore_interrupted,
+    swap_is_open,
+    sweep_deliveries,
 )
 from tallyhouse.sources.delimited import RAW_LINE, read_feed
 from tallyhouse.sources.warehouse import read_table
@@ -163,23 +169,27 @@ def ingest_auths(
     Only the day partitions the batch touches are read, and only new rows are
     written, so the cost follows the batch and not the table. With `keys` rows
     are the same if these columns are; unless the time is among them a copy may
-    lie on any day, and the keys of all days are read. One delivery at a time:
-    two at once could both store a row they share.
+    lie on any day, and an index beside the table says which days can hold one.
+    One delivery at a time: two at once could both store a row they share, so
+    another that begins meanwhile raises `TableBusy`.
     """
     own = for_tables(spark, zone)
     batch_id = batch_id or delivery_name(own, source)
     rows = conform_auths(read_feed(own, AUTHS, source), merchants, fold)
     with _landed(rows, AUTHS, table, quarantine, batch_id) as (batch, summary):
-        restore_interrupted(own, table)
-        days = day_codes(batch)
-        if days:
-            stored = read_table(own, table, AUTHS.table_schema)
-            if keys is None or AUTHS.moment in keys:
-                stored = stored.where(on_days(days))
+        with writing(own, table):
+            restore_interrupted(own, table)
+            days = day_codes(batch)
+            if days:
+                schema = AUTHS.table_schema
+                if keys is None or AUTHS.moment in keys:
+                    on_them = on_days(days)
+                else:
+                    size_shuffles(own, spark, stored_bytes(own, table) + summary.bytes_landed)
+                    days, on_them = days_with_keys(own, table, schema, batch, keys)
                 size_shuffles(own, spark, stored_bytes(own, table, days) + summary.bytes_landed)
-            else:
-                size_shuffles(own, spark, stored_bytes(own, table) + summary.bytes_landed)
-            append_partitioned(rows_to_append(stored, batch, keys), table, AUTHS.table_schema)
+                stored = read_table(own, table, schema).where(on_them)
+                append_partitioned(rows_to_append(stored, batch, keys), table, schema)
     return summary
 
 
@@ -208,11 +218,21 @@ def tidy_days(
     for object stores. Returns the number of rows written.
     """
     own = for_tables(spark)
-    restore_interrupted(own, table)
-    if not Folder(own, table).exists():
+    if not (Folder(own, table).exists() or swap_is_open(own, table)):
         raise FileNotFoundError(f"there is no table at {table}")
     if version_root and (first_day or last_day):
         raise ValueError("a version holds all days")
+    with writing(own, table):
+        restore_interrupted(own, table)
+        rows = _tidied(own, table, schema, first_day, last_day, version_root)
+        sweep_deliveries(own, table)
+    return rows
+
+
+def _tidied(
+    own: SparkSession, table: str, schema: T.StructType, first_day: dt.date | None,
+    last_day: dt.date | None, version_root: str | None,
+) -> int:
     some = read_table(own, table, schema).where(between_days(first_day, last_day))
     # The days are those of the folders; no column is read.
     per_day = some.select(*DAY_PARTS).distinct().collect()
@@ -225,9 +245,10 @@ def tidy_days(
     if large:
         known = F.create_map(*[F.lit(x) for pair in sorted(large.items()) for x in pair])
         of_day = F.coalesce(F.element_at(known, day_code()), of_day)
-    marked = some.withColumn("__piece", F.pmod(F.xxhash64(*some.columns), of_day))
-    dealt = marked.repartition(sum(pieces.values()), *DAY_PARTS, "__piece")
-    rows = dealt.distinct().drop("__piece")
+    piece = fresh("piece", some.columns)
+    marked = some.withColumn(piece, F.pmod(F.xxhash64(*some.columns), of_day))
+    dealt = marked.repartition(sum(pieces.values()), *DAY_PARTS, piece)
+    rows = dealt.distinct().drop(piece)
     if version_root:
         path = publish_version(rows, version_root, schema, at_least=len(pieces))
         return read_table(own, path, schema).count()
@@ -257,55 +278,63 @@ def ingest_accounts(
     An account moves to another day with an update, and a day it leaves must lose
     it. So the stored rows of the batch's accounts are found, and only the days
     that lose or gain a row are written anew, beside the table, and put in place.
-    `versioned` writes the whole table as a new folder below `table` instead, for
-    object stores. Read it with `read_accounts`.
+    `versioned`, for object stores, writes them beside each other instead, and a
+    new version below `table` names the folder of each day. Read it with
+    `read_accounts`.
     """
     own = for_tables(spark, zone)
     batch_id = batch_id or delivery_name(own, source)
     rows = conform_accounts(read_feed(own, ACCOUNTS, source))
     with _landed(rows, ACCOUNTS, table, quarantine, batch_id) as (batch, summary):
-        if not versioned:
-            restore_interrupted(own, table)
-        stored = read_accounts(own, table, versioned)
-        size_shuffles(own, spark, stored_bytes(own, table) + summary.bytes_landed)
-        if versioned:
-            # Merging never takes an account away.
-            merged = upsert_latest(stored, batch, [ACCOUNTS.key], ACCOUNTS.moment)
-            publish_version(merged, table, ACCOUNTS.table_schema, at_least=stored.count())
-        elif not Folder(own, table).exists():
-            merged = upsert_latest(stored, batch, [ACCOUNTS.key], ACCOUNTS.moment)
-            publish_partitioned(merged, table, ACCOUNTS.table_schema)
-        else:
-            upsert_days(stored, batch, table, [ACCOUNTS.key], ACCOUNTS.moment)
+        with writing(own, table):
+            if not versioned:
+                restore_interrupted(own, table)
+            there = latest_version(own, table) if versioned else Folder(own, table).exists()
+            stored = read_accounts(own, table, versioned)
+            size_shuffles(own, spark, stored_bytes(own, table) + summary.bytes_landed)
+            if there:
+                upsert_days(stored, batch, table, [ACCOUNTS.key], ACCOUNTS.moment, versioned)
+            else:
+                merged = upsert_latest(stored, batch, [ACCOUNTS.key], ACCOUNTS.moment)
+                publish = publish_version if versioned else publish_partitioned
+                publish(merged, table, ACCOUNTS.table_schema)
     return summary
 
 
 def upsert_days(
-    stored: DataFrame, batch: DataFrame, table: str, keys: Sequence[str], newest: str
+    stored: DataFrame, batch: DataFrame, table: str, keys: Sequence[str], newest: str,
+    versioned: bool = False,
 ) -> None:
     """Bring `batch` into the table that `stored` reads, one row per key, the latest.
 
     Only days that lose or gain a row are written anew; files of others stay. A
-    day left without rows goes away.
+    day left without rows goes away. With `versioned` `stored` is the newest
+    version below `table`, and the result a version that shares the other days.
     """
     spark = stored.sparkSession
+    late, rank = change_columns(stored)
     kept = Folder(spark, table).beside(f"changes-{uuid.uuid4().hex}")
-    try:
-        found = ranked_changes(stored, batch, keys, newest)
-        found.write.parquet(kept.within("rows").path)
-        changes = spark.read.schema(found.schema).parquet(kept.within("rows").path)
-        # A stored row that stays first changes nothing.
-        codes = day_codes(changes.where(F.col("from_batch") == (F.col("rank") == 1)))
-        if not codes:
-            return
-        there = stored.where(on_days(codes))
-        first = changes.where((F.col("rank") == 1) & on_days(codes)).select(*stored.columns)
-        rest = there.join(batch.select(*keys).distinct(), list(keys), "left_anti")
-        old = changes.where(~F.col("from_batch") & on_days(codes)).count()
-        publish_days(
-            rest.select(*stored.columns).unionByName(first), table,
-            [_folder_of(code) for code in codes],
-            stored.schema, exactly=there.count() - old + first.count(),
-        )
-    finally:
-        kept.delete()
+    with writing(spark, table):
+        try:
+            found = ranked_changes(stored, batch, keys, newest)
+            found.write.parquet(kept.within("rows").path)
+            changes = spark.read.schema(found.schema).parquet(kept.within("rows").path)
+            is_first = F.col(rank) == 1
+            # A stored row that stays first changes nothing.
+            per_day = changes.groupBy(day_code().alias("code")).agg(
+                F.bool_or(F.col(late) == is_first).alias("touched"),
+                F.count_if(~F.col(late)).alias("old"), F.count_if(is_first).alias("first"),
+            ).where("touched AND code IS NOT NULL").collect()
+            codes = sorted(row["code"] for row in per_day)
+            if not codes:
+                return
+            there = stored.where(on_days(codes))
+            first = changes.where(is_first & on_days(codes)).select(*stored.columns)
+            rest = there.join(batch.select(*keys).distinct(), list(keys), "left_anti")
+            rows = rest.select(*stored.columns).unionByName(first)
+            exactly = there.count() + sum(row["first"] - row["old"] for row in per_day)
+            publish = publish_version_days if versioned else publish_days
+            folders = [_folder_of(code) for code in codes]
+            publish(rows, table, folders, stored.schema, exactly=exactly)
+        finally:
+            kept.delete()

@@ -94,15 +94,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
 def snapshot(df: DataFrame) -> DataFrame:
     """`df` as it is now, kept in the shared folder and cut from its sources.
 
-    Use the returned DataFrame: the one passed in still reads its old files.
+    Use the returned DataFrame: the one passed in still reads its old files. The copy is
+    a table, so it outlives executors, and Spark knows its size when it plans with it. It
+    goes when the application ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, "snapshot")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -294,3 +294,34 @@ def test_split_invalid_keys_loses_nothing(spark):
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1), (None, 2)], "k string, v int")
     assert rows(op.duplicate_keys(df, ["k"])) == Counter([("a", 2), (None, 2)])
+
+
+# ---- names the operators use themselves ---------------------------------------------
+
+
+def test_columns_named_as_the_operators_name_theirs_come_through(spark):
+    schema = "k string, t int, rank int, from_batch int, mark int, held_k string, RANK_ int"
+    table = spark.createDataFrame([("a", 1, 77, 88, 5, "x", 1), ("b", 1, 7, 8, 5, "x", 1)], schema)
+    batch = spark.createDataFrame([("a", 2, 70, 80, 5, "y", 2), ("c", 1, 6, 9, 5, "z", 3)], schema)
+    kept = [("a", 2, 70, 80, 5, "y", 2), ("b", 1, 7, 8, 5, "x", 1), ("c", 1, 6, 9, 5, "z", 3)]
+    assert rows(op.upsert_latest(table, batch, ["k"], "t")) == Counter(kept)
+    late, rank = op.change_columns(table)
+    assert (late, rank) == ("from_batch_", "rank__")
+    changes = op.ranked_changes(table, batch, ["k"], "t")
+    assert rows(changes.select(*table.columns, late, rank)) == Counter([
+        (*kept[0], True, 1), ("a", 1, 77, 88, 5, "x", 1, False, 2), (*kept[2], True, 1),
+    ])
+    assert rows(op.rows_to_append(table, batch, ["k"])) == Counter(kept[2:])
+    assert rows(op.rows_to_append(table, batch)) == rows(batch)
+    assert rows(op.append_distinct(table, batch, ["k"])) == rows(table) + Counter(kept[2:])
+
+
+def test_counts_beside_columns_of_their_names(spark):
+    schema = "left_count int, right_count int, copies int, rows int"
+    left = spark.createDataFrame([(1, 2, 3, 4), (1, 2, 3, 4), (5, 6, 7, 8)], schema)
+    right = spark.createDataFrame([(1, 2, 3, 4), (5, 6, 7, 8)], schema)
+    assert op.table_diff(left, right).columns == [*left.columns, "left_count_", "right_count_"]
+    assert rows(op.table_diff(left, right)) == Counter([(1, 2, 3, 4, 2, 1)])
+    assert rows(op.duplicate_keys(left, ["copies"])) == Counter([(3, 2)])
+    assert op.duplicate_keys(left, ["copies"]).columns == ["copies", "copies_"]
+    assert rows(op.unmatched(left, right.where("rows = 8"), "rows")) == Counter([(4, 2)])
