@@ -1,17 +1,25 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
 Texts are compared in lower case with one space for each run of white space, as
-UTF-8 bytes. An item of m bytes is in a document if some region of the document
-is at most k = m * RATE edits away. Such a region shares at least m - Q + 1 - Q*k
-q-grams with the item, all on diagonals no more than k apart, so shared q-grams
-are counted in bands of diagonals that overlap by half; bands that reach the
-bound are verified by an alignment that stays within them. No document is cut,
-and no candidate is left out.
+UTF-8 bytes. An item of m bytes, `SHORT` or more, is in a document if some region of
+the document is at most k = m * RATE edits away. Such a region shares at least
+m - Q + 1 - Q*k q-grams with the item, all on diagonals no more than k apart, so
+shared q-grams are counted in bands of diagonals that overlap by half; bands that
+reach the bound are verified by an alignment that stays within them. No document is
+cut, and no candidate is left out.
+
+A q-gram that a text and an item both repeat is not counted place by place. Its places
+in the text that lie no further apart than a band is wide are one stretch, which
+covers a range of bands for each place in the item; so the work for an item grows with
+the text, not with the places times the places, and is done in parts of bounded size.
+
+An item below `SHORT` bytes says too little once it is edited. It has to stand there
+as it is, and a letter or digit at either of its ends must not go on in the text.
 
 The benchmark is the query set: it is taken in blocks of `BLOCK_BYTES` at most,
-each of which meets every document once. Items below `LEAST_BYTES`, null ones
-and empty ones say too little to be found. Null and empty texts hold nothing.
-Repeated rows are judged each. Columns beside id and text are carried along.
+each of which meets every document once. Null and empty items are not found. Null and
+empty texts hold nothing. Repeated rows are judged each. Columns beside id and text
+are carried along.
 """
 
 from __future__ import annotations
@@ -28,14 +36,18 @@ from pyspark.sql import types as T
 
 from tallyhouse.llm.common import fresh, slices
 
-Q = 8  # a q-gram is one 64-bit word
+Q = 7  # a q-gram and one byte more are a 64-bit word
 RATE = 0.1
-LEAST_BYTES = 24
+# From this length on the lemma asks for a shared q-gram at every number of edits.
+SHORT = 24
 BLOCK_BYTES = 2 * 1024 * 1024
 
 # A byte that no normalized text has stands between texts and beyond their ends.
 _GAP = 10
 _BITS = 20
+# Places of shared q-grams that are counted at once, and diagonals that are aligned at once.
+PART = 2_000_000
+WIDE = 1 << 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -44,13 +56,22 @@ def normalized(text: str | None) -> bytes:
 
 
 def _grams(raw: bytes) -> np.ndarray:
-    return np.ndarray((max(len(raw) - Q + 1, 0),), "<u8", raw, strides=(1,))
+    words = np.ndarray((max(len(raw) - Q + 1, 0),), "<u8", raw + b"\0", strides=(1,))
+    return words & np.uint64((1 << 8 * Q) - 1)
 
 
 def _slot(grams: np.ndarray, bits: int) -> np.ndarray:
     return (grams * _MIX) >> np.uint64(64 - bits)
 
 
+def _key(item: np.ndarray | int, band: np.ndarray) -> np.ndarray:
+    return (np.int64(item) << 40) + band + (1 << 20)
+
+
+def _slot_of(key: np.ndarray) -> np.ndarray:
+    return _slot(key.astype(np.uint64), _BITS).astype(np.int64)
+
+
 def distance(item: bytes, text: np.ndarray, width: int, most: int | None = None) -> int:
     """Least edits from `item` to a region of `text`.
 
@@ -68,24 +89,45 @@ def distance(item: bytes, text: np.ndarray, width: int, most: int | None = None)
     return int(row[:-1].min())
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each range, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths - starts, lengths)
+
+
+def _parts(sizes: np.ndarray) -> Iterator[slice]:
+    """Neighbours whose sizes add up to `PART` or so, or single ones."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // PART)) + 1
+    for low, high in zip([0, *cuts], [*cuts, len(sizes)]):
+        yield slice(low, high)
+
+
 @dataclass
 class Block:
-    """Some items of the benchmark and the index of their q-grams."""
+    """Some items of the benchmark and the index of their q-grams; the short ones come last."""
 
     ids: list
     items: list[bytes]
 
+    def __post_init__(self):
+        order = sorted(range(len(self.items)), key=lambda i: len(self.items[i]) < SHORT)
+        self.ids, self.items = ([column[i] for i in order] for column in (self.ids, self.items))
+
     def __getstate__(self):
         return {"ids": self.ids, "items": self.items}
 
+    @cached_property
+    def long(self) -> list[bytes]:
+        return [x for x in self.items if len(x) >= SHORT]
+
     @cached_property
     def sizes(self) -> np.ndarray:
-        return np.array([len(x) for x in self.items], dtype=np.int64)
+        return np.array([len(x) for x in self.long], dtype=np.int64)
 
     @cached_property
     def budgets(self) -> np.ndarray:
-        """Edits allowed: the rate, or fewer where the lemma would ask for no q-gram at all."""
-        return np.minimum((self.sizes * RATE).astype(np.int64), (self.sizes - Q) // Q)
+        """Edits allowed."""
+        return (self.sizes * RATE).astype(np.int64)
 
     @cached_property
     def bounds(self) -> np.ndarray:
@@ -94,8 +136,8 @@ class Block:
     @cached_property
     def index(self) -> tuple[np.ndarray, ...]:
         """Distinct q-grams; for each, where its places begin; the places; a bitmap of slots."""
-        grams = np.concatenate([_grams(x) for x in self.items])
-        item = np.repeat(np.arange(len(self.items)), self.sizes - Q + 1)
+        grams = np.concatenate([_grams(x) for x in self.long])
+        item = np.repeat(np.arange(len(self.long)), self.sizes - Q + 1)
         place = np.concatenate([np.arange(n) for n in self.sizes - Q + 1])
         order = np.argsort(grams, kind="stable")
         distinct, first = np.unique(grams[order], return_index=True)
@@ -103,68 +145,160 @@ class Block:
         bitmap[_slot(distinct, _BITS)] = True
         return distinct, np.append(first, len(grams)), item[order], place[order], bitmap
 
-    def hits(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, place in it, diagonal) of every q-gram that `raw` shares with an item."""
-        distinct, first, item, place, bitmap = self.index
+    def shared(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The q-grams that `raw` shares with an item; where each one's places in `raw` begin,
+        and these places."""
+        distinct, _, _, _, bitmap = self.index
         grams = _grams(raw)
         at = np.flatnonzero(bitmap[_slot(grams, _BITS)])
         found = np.minimum(np.searchsorted(distinct, grams[at]), len(distinct) - 1)
         right = distinct[found] == grams[at]
         at, found = at[right], found[right]
-        times = first[found + 1] - first[found]
-        ends = np.cumsum(times)
-        places = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - times - first[found], times)
-        return item[places], place[places], np.repeat(at, times) - place[places]
+        order = np.argsort(found, kind="stable")
+        shared, begin = np.unique(found[order], return_index=True)
+        return shared, np.append(begin, len(at)), at[order]
+
+    def _rare(self, shared: np.ndarray, begin: np.ndarray, at: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Keys (item and band) of q-grams with few places, once for each place in an item."""
+        _, first, items, places, _ = self.index
+        n_item = first[shared[which] + 1] - first[shared[which]]
+        n_text = (begin[1:] - begin[:-1])[which]
+        # Each place in an item with each place in the text.
+        place = _ranges(first[shared[which]], n_item)
+        times = np.repeat(n_text, n_item)
+        text = at[_ranges(np.repeat(begin[:-1][which], n_item), times)]
+        item, place = np.repeat(items[place], times), np.repeat(places[place], times)
+        band = (text - place) // (self.budgets[item] + 1)
+        key = np.concatenate([_key(item, band), _key(item, band - 1)])
+        place = np.concatenate([place, place])
+        # A place of the item counts once, however often the band has its q-gram.
+        order = np.lexsort((place, key))
+        key, place = key[order], place[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (place[1:] != place[:-1]))[:len(key)]
+        return key[new]
+
+    def _frequent(self, gram: int, text: np.ndarray) -> Iterator[np.ndarray]:
+        """The same for one q-gram with many places, a part at a time."""
+        _, first, items, places, _ = self.index
+        here = slice(first[gram], first[gram + 1])
+        which, start = np.unique(items[here], return_index=True)
+        for item, low, high in zip(which, start, [*start[1:], first[gram + 1] - first[gram]]):
+            width = int(self.budgets[item]) + 1
+            # Within a stretch some place lies in every `width` diagonals in a row.
+            gaps = np.flatnonzero(np.diff(text) > width)
+            begins, ends = text[np.append(0, gaps + 1)], text[np.append(gaps, len(text) - 1)]
+            mine = places[here][low:high]
+            for part in _parts(np.full(len(mine), (ends[-1] - begins[0]) // width + 2)):
+                place = mine[part, None]
+                from_, to = (begins - place) // width - 1, (ends - place) // width
+                from_[:, 1:] = np.maximum(from_[:, 1:], to[:, :-1] + 1)
+                bands = _ranges(from_.ravel(), np.maximum(to - from_ + 1, 0).ravel())
+                yield _key(item, bands)
+
+    def keys(self, raw: bytes) -> Iterator[np.ndarray]:
+        """(item, band) once for each place of the item whose q-gram the band has, in parts."""
+        _, first, *_ = self.index
+        shared, begin, at = self.shared(raw)
+        pairs = (first[shared + 1] - first[shared]) * (begin[1:] - begin[:-1])
+        often = pairs > PART // 16
+        rare = np.flatnonzero(~often)
+        if len(rare):
+            for part in _parts(pairs[rare]):
+                yield self._rare(shared, begin, at, rare[part])
+        for gram in np.flatnonzero(often):
+            yield from self._frequent(shared[gram], at[begin[gram]:begin[gram + 1]])
 
     def candidates(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         """(item, band) where enough q-grams are shared; band j has two widths of diagonals."""
-        item, place, diagonal = self.hits(raw)
-        band = diagonal // (self.budgets[item] + 1)
-        item, place, band = (np.concatenate(x) for x in ((item, item), (place, place), (band, band - 1)))
-        key = (item << 40) + band + (1 << 20)
         # Counted by slot first: a slot holds at least what each of its bands holds.
-        slot = _slot(key.astype(np.uint64), _BITS).astype(np.int64)
-        many = np.bincount(slot, minlength=1 << _BITS)[slot] >= self.bounds[item]
-        key, place = key[many], place[many]
-        # A q-gram of the item counts once, however often the band has it.
-        order = np.lexsort((place, key))
-        key, place = key[order], place[order]
-        new = np.append(True, (key[1:] != key[:-1]) | (place[1:] != place[:-1]))[:len(key)]
-        keys, counts = np.unique(key[new], return_counts=True)
+        many = np.zeros(1 << _BITS, np.int64)
+        for key in self.keys(raw):
+            many += np.bincount(_slot_of(key), minlength=1 << _BITS)
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for key in self.keys(raw):
+            key, n = np.unique(key[many[_slot_of(key)] >= self.bounds[key >> 40]], return_counts=True)
+            # Parts differ in the places of items that they count.
+            keys, which = np.unique(np.concatenate([keys, key]), return_inverse=True)
+            counts = np.bincount(which, np.concatenate([counts, n]), len(keys)).astype(np.int64)
         item = keys >> 40
         enough = counts >= self.bounds[item]
         return item[enough], (keys[enough] & ((1 << 40) - 1)) - (1 << 20)
 
+    def windows(self, raw: bytes) -> Iterator[tuple[int, int, int]]:
+        """(item, first diagonal, diagonals) to align: adjoining bands together, up to `WIDE`."""
+        last = None
+        for item, band in zip(*(x.tolist() for x in self.candidates(raw))):
+            budget = int(self.budgets[item])
+            first = band * (budget + 1) - budget
+            width = 2 * (budget + 1) + 2 * budget
+            if last and last[0] == item and first <= last[1] + last[2] and first + width - last[1] <= WIDE:
+                last = item, last[1], first + width - last[1]
+                continue
+            if last:
+                yield last
+            last = item, first, width
+        if last:
+            yield last
+
     def found(self, texts: list[bytes]) -> list[tuple[int, int, int]]:
         """(text, item, edits) for every text that holds an item, with the least edits seen."""
-        if not self.items:
-            return []
+        best: dict[tuple[int, int], int] = self._short(texts)
         raw = bytes([_GAP]).join([*texts, b""])
         ends = np.cumsum([len(x) + 1 for x in texts])
-        best: dict[tuple[int, int], int] = {}
-        for item, band in zip(*(x.tolist() for x in self.candidates(raw))):
+        for item, first, width in self.windows(raw) if self.long else ():
             size, budget = int(self.sizes[item]), int(self.budgets[item])
-            first = band * (budget + 1) - budget
-            width = 2 * (budget + 1) + 2 * budget
-            # The texts that the band touches; a q-gram has no gap, so an item lies within one.
+            # The texts that the window touches; a q-gram has no gap, so an item lies within one.
             low = int(np.searchsorted(ends, max(first, 0), "right"))
             high = int(np.searchsorted(ends, min(first + width + size, len(raw) - 1), "right"))
             for text in range(low, min(high, len(texts) - 1) + 1):
                 if best.get((text, item)) == 0:
                     continue
                 begin, end = int(ends[text]) - len(texts[text]) - 1, int(ends[text]) - 1
-                region = np.full(size + width, _GAP, dtype=np.uint8)
-                a, b = max(first, begin), min(first + size + width, end)
-                if a < b:
-                    region[a - first:b - first] = np.frombuffer(raw, np.uint8, b - a, a)
-                    if self.items[item] in raw[a:b]:
-                        edits = 0
-                    else:
-                        edits = distance(self.items[item], region, width, budget)
-                    if edits <= budget:
-                        best[text, item] = min(edits, best.get((text, item), edits))
+                # Diagonals on which no byte of the item meets one of the text are of no use.
+                start, stop = max(first, begin - size), min(first + width, end)
+                a, b = max(start, begin), min(stop + size, end)
+                if start >= stop or a >= b:
+                    continue
+                if self.long[item] in raw[a:b]:
+                    edits = 0
+                else:
+                    region = np.full(size + stop - start, _GAP, dtype=np.uint8)
+                    region[a - start:b - start] = np.frombuffer(raw, np.uint8, b - a, a)
+                    edits = distance(self.long[item], region, stop - start, budget)
+                if edits <= budget:
+                    best[text, item] = min(edits, best.get((text, item), edits))
         return [(text, item, edits) for (text, item), edits in sorted(best.items())]
 
+    @cached_property
+    def _automaton(self):
+        """The short items; equal ones are looked for once."""
+        import ahocorasick
+
+        found = ahocorasick.Automaton()
+        which: dict[str, list[int]] = {}
+        for i in range(len(self.long), len(self.items)):
+            which.setdefault(self.items[i].decode("utf-8"), []).append(i)
+        for item, numbers in which.items():
+            found.add_word(item, (item, numbers))
+        found.make_automaton()
+        return found
+
+    def _short(self, texts: list[bytes]) -> dict[tuple[int, int], int]:
+        found: dict[tuple[int, int], int] = {}
+        if len(self.long) == len(self.items):
+            return found
+        for row, raw in enumerate(texts):
+            text = raw.decode("utf-8")
+            for last, (item, numbers) in self._automaton.iter(text):
+                first = last - len(item) + 1
+                runs_on = (
+                    (first and text[first - 1].isalnum() and item[0].isalnum())
+                    or (last + 1 < len(text) and text[last + 1].isalnum() and item[-1].isalnum())
+                )
+                if not runs_on:
+                    found.update({(row, number): 0 for number in numbers})
+        return found
+
 
 def blocks(
     benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text",
@@ -178,7 +312,7 @@ def blocks(
     ids, items, held = [], [], 0
     for row in rows.toLocalIterator():
         item = normalized(row["text"])
-        if len(item) < LEAST_BYTES:
+        if not item:
             continue
         if held and held + len(item) > block_bytes:
             yield Block(ids, items)

@@ -40,21 +40,43 @@ def corpus(seed):
     return items, texts
 
 
+def allowed(item: bytes) -> int:
+    """The rule: a tenth of the bytes, and none below 24 bytes."""
+    return len(item) // 10 if len(item) >= 24 else 0
+
+
+def stands(item: str, text: str) -> bool:
+    """Whether a short item is in the text and goes on neither before nor after."""
+    at = text.find(item)
+    while at >= 0:
+        before, after = text[at - 1:at], text[at + len(item):at + len(item) + 1]
+        if not (before.isalnum() and item[0].isalnum()) and not (after.isalnum() and item[-1].isalnum()):
+            return True
+        at = text.find(item, at + 1)
+    return False
+
+
 def brute(items, texts):
-    block = dc.Block([i for i, _ in items], [dc.normalized(t) for _, t in items])
     out = set()
     for i, text in texts:
-        for n, item in enumerate(block.items):
-            edits = plain_distance(item, dc.normalized(text))
-            if edits <= block.budgets[n]:
-                out.add((i, block.ids[n], edits))
+        raw = dc.normalized(text)
+        for n, item in items:
+            small = dc.normalized(item)
+            if not small:
+                continue
+            if len(small) < 24:
+                if stands(small.decode(), raw.decode()):
+                    out.add((i, n, 0))
+                continue
+            edits = plain_distance(small, raw)
+            if edits <= allowed(small):
+                out.add((i, n, edits))
     return out
 
 
 @pytest.mark.parametrize("block_bytes", [200, dc.BLOCK_BYTES])
 def test_agrees_with_alignment_of_everything(spark, block_bytes):
     items, texts = corpus(1)
-    items = [x for x in items if len(dc.normalized(x[1])) >= dc.LEAST_BYTES]
     got = dc.leaks(docs(spark, texts), benchmark(spark, items), block_bytes=block_bytes)
     found = {(r["doc_id"], r["item_id"], r["edits"]) for r in got.collect()}
     want = brute(items, texts)
@@ -62,6 +84,68 @@ def test_agrees_with_alignment_of_everything(spark, block_bytes):
     assert found == want and len(want) > 10
 
 
+def edited(draw, item, times):
+    item = list(item)
+    for _ in range(times):
+        at = draw.randrange(len(item))
+        item[at:at + draw.randint(0, 1)] = draw.choice(["", "q", "z"])
+    return "".join(item)
+
+
+def test_items_of_every_small_size_are_found_by_the_rule():
+    draw = random.Random(3)
+    items = []
+    for size in range(1, 46):
+        for _ in range(3):
+            items.append((len(items), "".join(draw.choice("abcdefgh ijk?é") for _ in range(size)).strip() or "?"))
+    texts = []
+    for _, item in items:
+        for times in range(6):
+            texts.append((len(texts), words(draw, 3) + draw.choice(["", " ", "."]) + edited(draw, item + " ", times).strip()
+                          + draw.choice(["", " ", "!"]) + words(draw, 2)))
+    block = dc.Block([i for i, _ in items], [dc.normalized(t) for _, t in items])
+    normal = [dc.normalized(t) for _, t in texts]
+    found = {(texts[row][0], block.ids[item], edits) for row, item, edits in block.found(normal)}
+    want = brute(items, texts)
+    assert found == want and len(want) > 300
+    sizes = {len(dc.normalized(dict(items)[n])) for _, n, edits in want if edits == len(dc.normalized(dict(items)[n])) // 10}
+    assert sizes >= set(range(24, 40))
+
+
+@pytest.mark.parametrize("part", [50, dc.PART])
+def test_repetitive_items_and_texts(monkeypatch, part):
+    monkeypatch.setattr(dc, "PART", part)
+    monkeypatch.setattr(dc, "WIDE", 200)
+    draw = random.Random(8)
+    items = ["x" * 60, "-=" * 25, "ab " * 14, "x" * 30 + "y" * 30, "0" * 24, "abc" * 20 + "d", "_" * 10, "== =="]
+    texts = ["x" * 500, "x" * 59, "x" * 53, "=-" * 100, "ab " * 40 + "x" * 40 + "y" * 28, "0" * 21 + "1" + "0" * 30,
+             "abc" * 15 + "q" + "abc" * 4 + "d" + "abc" * 9, "_" * 40, "x" * 25 + "z" + "x" * 60, ""]
+    texts += [" ".join(draw.choice(texts[:9])[draw.randint(0, 20):draw.randint(20, 90)] for _ in range(3)) for _ in range(20)]
+    block = dc.Block(list(range(len(items))), [dc.normalized(x) for x in items])
+    found = {(row, block.ids[item], edits) for row, item, edits in block.found([dc.normalized(x) for x in texts])}
+    assert found == brute(list(enumerate(items)), list(enumerate(texts)))
+
+
+def test_a_hot_gram_costs_no_more_memory_than_the_text_does():
+    import subprocess
+    import sys
+
+    code = """
+import resource, sys
+sys.path[:0] = %r
+from tallyhouse.llm import decontamination as dc
+block = dc.Block([1, 2], [b"x" * 1000, b"-=" * 400])
+small = block.found([b"x" * 10])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = block.found([b"x" * 10_000_000, b"=-" * 100_000])
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024, found)
+""" % (sys.path,)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600)
+    used, _, found = out.stdout.partition(" ")
+    assert found.strip() == "[(0, 0, 0), (1, 1, 0)]", out.stderr
+    assert int(used) < 700
+
+
 def test_the_aligned_band_is_exact():
     draw = random.Random(4)
     for _ in range(50):
