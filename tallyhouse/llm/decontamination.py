@@ -46,7 +46,9 @@ BLOCK_BYTES = 2 * 1024 * 1024
 _GAP = 10
 _BITS = 20
 # Places of shared q-grams that are counted at once, and diagonals that are aligned at once.
-PART = 2_000_000
+PART = 500_000
+# Diagonals that are counted at once, or twice the reach of the longest item.
+SPAN = 1 << 18
 WIDE = 1 << 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -68,6 +70,10 @@ def _key(item: np.ndarray | int, band: np.ndarray) -> np.ndarray:
     return (np.int64(item) << 40) + band + (1 << 20)
 
 
+def _band(key: np.ndarray) -> np.ndarray:
+    return (key & ((1 << 40) - 1)) - (1 << 20)
+
+
 def _slot_of(key: np.ndarray) -> np.ndarray:
     return _slot(key.astype(np.uint64), _BITS).astype(np.int64)
 
@@ -145,9 +151,9 @@ class Block:
         bitmap[_slot(distinct, _BITS)] = True
         return distinct, np.append(first, len(grams)), item[order], place[order], bitmap
 
-    def shared(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The q-grams that `raw` shares with an item; where each one's places in `raw` begin,
-        and these places."""
+    def shared(self, raw: bytes, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The q-grams that `raw` shares with an item; where each one's places begin, and these
+        places, counted from `start`."""
         distinct, _, _, _, bitmap = self.index
         grams = _grams(raw)
         at = np.flatnonzero(bitmap[_slot(grams, _BITS)])
@@ -155,8 +161,9 @@ class Block:
         right = distinct[found] == grams[at]
         at, found = at[right], found[right]
         order = np.argsort(found, kind="stable")
-        shared, begin = np.unique(found[order], return_index=True)
-        return shared, np.append(begin, len(at)), at[order]
+        found = found[order]
+        begin = np.flatnonzero(np.diff(found, prepend=-1))
+        return found[begin], np.append(begin, len(at)), at[order] + start
 
     def _rare(self, shared: np.ndarray, begin: np.ndarray, at: np.ndarray, which: np.ndarray) -> np.ndarray:
         """Keys (item and band) of q-grams with few places, once for each place in an item."""
@@ -195,10 +202,10 @@ class Block:
                 bands = _ranges(from_.ravel(), np.maximum(to - from_ + 1, 0).ravel())
                 yield _key(item, bands)
 
-    def keys(self, raw: bytes) -> Iterator[np.ndarray]:
+    def keys(self, raw: bytes, start: int) -> Iterator[np.ndarray]:
         """(item, band) once for each place of the item whose q-gram the band has, in parts."""
         _, first, *_ = self.index
-        shared, begin, at = self.shared(raw)
+        shared, begin, at = self.shared(raw, start)
         pairs = (first[shared + 1] - first[shared]) * (begin[1:] - begin[:-1])
         often = pairs > PART // 16
         rare = np.flatnonzero(~often)
@@ -210,19 +217,35 @@ class Block:
 
     def candidates(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         """(item, band) where enough q-grams are shared; band j has two widths of diagonals."""
+        widths = self.budgets + 1
+        reach = int((self.sizes + 2 * widths).max())
+        step = max(SPAN, 2 * reach)
+        found = [np.zeros(0, np.int64)]
+        for low in range(-reach, len(raw), step):
+            # The text that the bands which begin on these diagonals can meet.
+            start = max(low, 0)
+            text = raw[start:low + step + reach]
+            found.append(self._counted(lambda: (
+                key[(begins >= low) & (begins < low + step)]
+                for key in self.keys(text, start)
+                for begins in (_band(key) * widths[key >> 40],)
+            )))
+        keys = np.sort(np.concatenate(found))
+        return keys >> 40, _band(keys)
+
+    def _counted(self, parts: Callable[[], Iterator[np.ndarray]]) -> np.ndarray:
+        """The keys that come often enough for their item."""
         # Counted by slot first: a slot holds at least what each of its bands holds.
         many = np.zeros(1 << _BITS, np.int64)
-        for key in self.keys(raw):
+        for key in parts():
             many += np.bincount(_slot_of(key), minlength=1 << _BITS)
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for key in self.keys(raw):
+        for key in parts():
             key, n = np.unique(key[many[_slot_of(key)] >= self.bounds[key >> 40]], return_counts=True)
             # Parts differ in the places of items that they count.
             keys, which = np.unique(np.concatenate([keys, key]), return_inverse=True)
             counts = np.bincount(which, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-        item = keys >> 40
-        enough = counts >= self.bounds[item]
-        return item[enough], (keys[enough] & ((1 << 40) - 1)) - (1 << 20)
+        return keys[counts >= self.bounds[keys >> 40]]
 
     def windows(self, raw: bytes) -> Iterator[tuple[int, int, int]]:
         """(item, first diagonal, diagonals) to align: adjoining bands together, up to `WIDE`."""

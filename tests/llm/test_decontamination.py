@@ -116,6 +116,7 @@ def test_items_of_every_small_size_are_found_by_the_rule():
 def test_repetitive_items_and_texts(monkeypatch, part):
     monkeypatch.setattr(dc, "PART", part)
     monkeypatch.setattr(dc, "WIDE", 200)
+    monkeypatch.setattr(dc, "SPAN", 10 * part)
     draw = random.Random(8)
     items = ["x" * 60, "-=" * 25, "ab " * 14, "x" * 30 + "y" * 30, "0" * 24, "abc" * 20 + "d", "_" * 10, "== =="]
     texts = ["x" * 500, "x" * 59, "x" * 53, "=-" * 100, "ab " * 40 + "x" * 40 + "y" * 28, "0" * 21 + "1" + "0" * 30,
@@ -143,7 +144,7 @@ print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024, fou
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600)
     used, _, found = out.stdout.partition(" ")
     assert found.strip() == "[(0, 0, 0), (1, 1, 0)]", out.stderr
-    assert int(used) < 700
+    assert int(used) < 500
 
 
 def test_the_aligned_band_is_exact():
