@@ -24,7 +24,7 @@ are carried along.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -45,6 +45,7 @@ BLOCK_BYTES = 2 * 1024 * 1024
 # A byte that no normalized text has stands between texts and beyond their ends.
 _GAP = 10
 _BITS = 20
+_SLOTS = 18
 # Places of shared q-grams that are counted at once, and diagonals that are aligned at once.
 PART = 500_000
 # Diagonals that are counted at once, or twice the reach of the longest item.
@@ -75,7 +76,7 @@ def _band(key: np.ndarray) -> np.ndarray:
 
 
 def _slot_of(key: np.ndarray) -> np.ndarray:
-    return _slot(key.astype(np.uint64), _BITS).astype(np.int64)
+    return _slot(key.astype(np.uint64), _SLOTS).astype(np.int64)
 
 
 def distance(item: bytes, text: np.ndarray, width: int, most: int | None = None) -> int:
@@ -165,8 +166,11 @@ class Block:
         begin = np.flatnonzero(np.diff(found, prepend=-1))
         return found[begin], np.append(begin, len(at)), at[order] + start
 
-    def _rare(self, shared: np.ndarray, begin: np.ndarray, at: np.ndarray, which: np.ndarray) -> np.ndarray:
-        """Keys (item and band) of q-grams with few places, once for each place in an item."""
+    def _rare(
+        self, shared: np.ndarray, begin: np.ndarray, at: np.ndarray, which: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(key, place in the item) of q-grams with few places, for each place in the text; a key
+        is an item and a band."""
         _, first, items, places, _ = self.index
         n_item = first[shared[which] + 1] - first[shared[which]]
         n_text = (begin[1:] - begin[:-1])[which]
@@ -176,16 +180,11 @@ class Block:
         text = at[_ranges(np.repeat(begin[:-1][which], n_item), times)]
         item, place = np.repeat(items[place], times), np.repeat(places[place], times)
         band = (text - place) // (self.budgets[item] + 1)
-        key = np.concatenate([_key(item, band), _key(item, band - 1)])
-        place = np.concatenate([place, place])
-        # A place of the item counts once, however often the band has its q-gram.
-        order = np.lexsort((place, key))
-        key, place = key[order], place[order]
-        new = np.append(True, (key[1:] != key[:-1]) | (place[1:] != place[:-1]))[:len(key)]
-        return key[new]
-
-    def _frequent(self, gram: int, text: np.ndarray) -> Iterator[np.ndarray]:
-        """The same for one q-gram with many places, a part at a time."""
+        key = _key(item, band)
+        return np.concatenate([key, key - 1]), np.concatenate([place, place])
+
+    def _frequent(self, gram: int, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for one q-gram with many places, a part at a time, each place once a band."""
         _, first, items, places, _ = self.index
         here = slice(first[gram], first[gram + 1])
         which, start = np.unique(items[here], return_index=True)
@@ -199,21 +198,29 @@ class Block:
                 place = mine[part, None]
                 from_, to = (begins - place) // width - 1, (ends - place) // width
                 from_[:, 1:] = np.maximum(from_[:, 1:], to[:, :-1] + 1)
-                bands = _ranges(from_.ravel(), np.maximum(to - from_ + 1, 0).ravel())
-                yield _key(item, bands)
+                many = np.maximum(to - from_ + 1, 0)
+                bands = _ranges(from_.ravel(), many.ravel())
+                yield _key(item, bands), np.repeat(mine[part], many.sum(1))
 
-    def keys(self, raw: bytes, start: int) -> Iterator[np.ndarray]:
-        """(item, band) once for each place of the item whose q-gram the band has, in parts."""
+    def keys(self, raw: bytes, start: int) -> Callable[[], Iterable[tuple[np.ndarray, np.ndarray]]]:
+        """(key, place in the item) of all shared q-grams, in parts, as often as one asks."""
         _, first, *_ = self.index
         shared, begin, at = self.shared(raw, start)
         pairs = (first[shared + 1] - first[shared]) * (begin[1:] - begin[:-1])
         often = pairs > PART // 16
         rare = np.flatnonzero(~often)
-        if len(rare):
-            for part in _parts(pairs[rare]):
-                yield self._rare(shared, begin, at, rare[part])
-        for gram in np.flatnonzero(often):
-            yield from self._frequent(shared[gram], at[begin[gram]:begin[gram + 1]])
+
+        def parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            if len(rare):
+                for part in _parts(pairs[rare]):
+                    yield self._rare(shared, begin, at, rare[part])
+            for gram in np.flatnonzero(often):
+                yield from self._frequent(shared[gram], at[begin[gram]:begin[gram + 1]])
+
+        if pairs.sum() <= PART:
+            held = list(parts())
+            return lambda: held
+        return parts
 
     def candidates(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         """(item, band) where enough q-grams are shared; band j has two widths of diagonals."""
@@ -224,24 +231,31 @@ class Block:
         for low in range(-reach, len(raw), step):
             # The text that the bands which begin on these diagonals can meet.
             start = max(low, 0)
-            text = raw[start:low + step + reach]
-            found.append(self._counted(lambda: (
-                key[(begins >= low) & (begins < low + step)]
-                for key in self.keys(text, start)
-                for begins in (_band(key) * widths[key >> 40],)
-            )))
+            keys = self._counted(self.keys(raw[start:low + step + reach], start))
+            begins = _band(keys) * widths[keys >> 40]
+            found.append(keys[(begins >= low) & (begins < low + step)])
         keys = np.sort(np.concatenate(found))
         return keys >> 40, _band(keys)
 
-    def _counted(self, parts: Callable[[], Iterator[np.ndarray]]) -> np.ndarray:
-        """The keys that come often enough for their item."""
+    def _counted(
+        self, parts: Callable[[], Iterable[tuple[np.ndarray, np.ndarray]]]
+    ) -> np.ndarray:
+        """The keys that come with enough places of their item."""
         # Counted by slot first: a slot holds at least what each of its bands holds.
-        many = np.zeros(1 << _BITS, np.int64)
-        for key in parts():
-            many += np.bincount(_slot_of(key), minlength=1 << _BITS)
+        many = np.zeros(1 << _SLOTS, np.int64)
+        for key, _ in parts():
+            many += np.bincount(_slot_of(key), minlength=1 << _SLOTS)
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for key in parts():
-            key, n = np.unique(key[many[_slot_of(key)] >= self.bounds[key >> 40]], return_counts=True)
+        for key, place in parts():
+            likely = many[_slot_of(key)] >= self.bounds[key >> 40]
+            key, place = key[likely], place[likely]
+            if not len(key):
+                continue
+            # A place of the item counts once, however often the band has its q-gram.
+            order = np.lexsort((place, key))
+            key, place = key[order], place[order]
+            new = np.append(True, (key[1:] != key[:-1]) | (place[1:] != place[:-1]))
+            key, n = np.unique(key[new], return_counts=True)
             # Parts differ in the places of items that they count.
             keys, which = np.unique(np.concatenate([keys, key]), return_inverse=True)
             counts = np.bincount(which, np.concatenate([counts, n]), len(keys)).astype(np.int64)
