@@ -22,7 +22,7 @@ from tallyhouse.llm import (
     url_filter,
     warc,
 )
-from tallyhouse.llm.common import load
+from tallyhouse.llm.common import fresh, load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,11 +57,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    cleaned = line_dedup.dedup_lines(
-        docs, counts=("n_lines", "n_removed"), passage_words=line_dedup.PASSAGE_WORDS
-    )
+    counts = fresh(docs, "n_lines"), fresh(docs, "n_removed")
+    cleaned = line_dedup.dedup_lines(docs, counts=counts, passage_words=line_dedup.PASSAGE_WORDS)
     return cleaned.select(
-        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+        "doc_id", *[F.col(c).alias(name) for c, name in zip(counts, ("n_lines", "n_removed"))],
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
 
 

@@ -5,8 +5,9 @@ blank line that ends a record, so a file is a plain, uncompressed archive. Of
 records with equal payloads (by SHA-1 and length) the one with the smallest id
 holds the payload and the others revisit it, if the payload is long enough.
 
-The archives are read back whole, and each yields its captures ordered by URL
-key, time and id: a run. Runs are stored; each range of keys then gets its part
+An archive has at most `ARCHIVE_BYTES`, or one record: records are written by classes
+of size, and a class has as many in an archive as that allows. So each is read back in
+one piece, and yields its captures ordered by URL key, time and id: a run. Runs are stored; each range of keys then gets its part
 of every run, and a loser tree merges these k sorted parts into one history.
 Ranges are chosen over key, time and id, so even a single URL's captures are
 spread over tasks.
@@ -32,11 +33,14 @@ from tallyhouse.llm.common import stored
 from tallyhouse.session import scratch_path
 
 LEAST_BYTES = 0
-# Captures in one archive, and in one range of the merged index, at most or so.
+# Captures and bytes in one archive, and captures in one range of the merged index, at most or so.
 RECORDS_EACH = 8192
+ARCHIVE_BYTES = 32 * 1024 * 1024
 RANGE_CAPTURES = 250_000
 
 _CRLF = "\r\n"
+# Records of one class have at most so many bytes, or 16, 256, ... times as many.
+_SMALL = 4096
 # Without a column of times, page n was captured n seconds after this one.
 _EPOCH = 1_704_067_200
 _YEARS = 10 * 365 * 86_400
@@ -63,6 +67,20 @@ def _urn(id_: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(id_.cast("string"), F.lit("none")), F.lit(">"))
 
 
+def _utc(seconds: Column) -> Column:
+    """A moment as text, whatever the session's zone: no timestamp with a zone is made."""
+    since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    moment = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + since
+    return F.concat(F.translate(moment.cast("string"), " ", "T"), F.lit("Z"))
+
+
+def _class() -> Column:
+    """How many times a record's bytes, less than 1024 of them in headers but for the URL, have
+    to be divided by 16 to be small."""
+    size = F.octet_length("payload") + 3 * F.octet_length(F.coalesce("url", F.lit(""))) + 1024
+    return sum((size > _SMALL * 16**n).cast("int") for n in range(6))
+
+
 def _record(least_bytes: int) -> Column:
     """A page as the text of its WARC record, without the blank line after it."""
     http = F.concat(
@@ -78,7 +96,7 @@ def _record(least_bytes: int) -> Column:
         F.lit(f"WARC/1.1{_CRLF}"),
         _header("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         _header("WARC-Record-ID", _urn(F.col("id"))),
-        _header("WARC-Date", F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        _header("WARC-Date", _utc(seconds)),
         _header("WARC-Target-URI", url),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         _header("WARC-Profile", F.when(
@@ -93,9 +111,9 @@ def _record(least_bytes: int) -> Column:
 def write_archives(
     pages: DataFrame, path: str, id_column: str = "page_id", url_column: str = "url",
     payload_column: str = "html", least_bytes: int = LEAST_BYTES,
-    records_each: int = RECORDS_EACH,
+    records_each: int = RECORDS_EACH, archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
-    """Archives of `records_each` records at most below `path`.
+    """Archives of `records_each` records and `archive_bytes` at most, or one record, below `path`.
 
     Payloads move only if the table of revisits is too large for Spark to send around: it is
     stored first, and so Spark knows its size.
@@ -104,10 +122,11 @@ def write_archives(
         F.col(id_column).cast("bigint").alias("id"), F.col(url_column).alias("url"),
         F.coalesce(F.col(payload_column), F.lit("")).alias("payload"),
     ).withColumn("digest", _sha1_base32(F.col("payload").cast("binary")))
-    seen = stored(
-        captures.select("id", "digest", F.octet_length("payload").alias("bytes"))
-        .where(F.col("bytes") >= least_bytes), "payload-digests",
+    every = stored(
+        captures.select("id", "digest", F.octet_length("payload").alias("bytes"), _class().alias("class")),
+        "payload-digests",
     )
+    seen = every.where(F.col("bytes") >= least_bytes)
     firsts = stored(
         seen.groupBy("digest", "bytes").agg(F.min("id").alias("first"), F.count("*").alias("n"))
         .where("n > 1 AND first IS NOT NULL").drop("n"), "first-captures",
@@ -118,11 +137,16 @@ def write_archives(
     )
     same = F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.digest") == F.col("b.digest"))
     records = captures.alias("a").join(revisits.alias("b"), same, "left").select("a.*", "refers_to")
-    (
-        records.select(_record(least_bytes).alias("value")).write
-        .option("lineSep", _CRLF * 2).option("maxRecordsPerFile", records_each)
-        .option("compression", "none").text(path)
-    )
+    # There are a few classes at most, and one or two in most tables.
+    classes = sorted(row[0] for row in every.select("class").distinct().collect())
+    for n in classes or [0]:
+        of_class = records if len(classes) < 2 else records.where(_class() == n)
+        each = max(1, min(records_each, archive_bytes // (_SMALL * 16**n)))
+        (
+            of_class.select(_record(least_bytes).alias("value")).write.mode("append")
+            .option("lineSep", _CRLF * 2).option("maxRecordsPerFile", each)
+            .option("compression", "none").text(path)
+        )
 
 
 def read_records(raw: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -287,10 +311,13 @@ def archive(
     pages: DataFrame, id_column: str = "page_id", url_column: str = "url",
     payload_column: str = "html", least_bytes: int = LEAST_BYTES,
     records_each: int = RECORDS_EACH, range_captures: int = RANGE_CAPTURES,
+    archive_bytes: int = ARCHIVE_BYTES,
 ) -> DataFrame:
     """Pages written to archives and read back: a row for each capture, with its place in them
     and in the merged history."""
     path = scratch_path(pages.sparkSession, "warc")
-    write_archives(pages, path, id_column, url_column, payload_column, least_bytes, records_each)
+    write_archives(
+        pages, path, id_column, url_column, payload_column, least_bytes, records_each, archive_bytes
+    )
     history = merged_history(read_runs(pages.sparkSession, path), range_captures)
     return history.withColumnRenamed("page_id", id_column)

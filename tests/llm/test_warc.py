@@ -90,6 +90,36 @@ def test_archives_are_plain_warc_files(spark):
     assert seen == 30
 
 
+def test_archives_are_bounded_by_bytes(spark):
+    draw = random.Random(5)
+    rows = [(i, f"http://a.org/{i}", "é" * draw.choice([10, 300, 9_000, 50_000, 400_000])) for i in range(60)]
+    path, bound = scratch_path(spark, "bounded"), 300_000
+    warc.write_archives(pages(spark, rows).coalesce(1), path, archive_bytes=bound)
+    files = spark.read.format("binaryFile").load(path).select("length", "content").collect()
+    counts = [sum(1 for _ in warc.read_records(bytes(f["content"]))) for f in files]
+    assert sum(counts) == 60
+    assert all(f["length"] <= bound or n == 1 for f, n in zip(files, counts))
+    assert len(files) < 60 and max(counts) > 3
+    assert found(warc.archive(pages(spark, rows), archive_bytes=bound)) == brute(rows)
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    # The clocks of New York go back in November and forward in March.
+    year = 86_400 * 365
+    rows = [(i, "http://a.org", f"p{i}") for at in (0, 5_961_600, 26_524_800, year) for i in range(at, at + 18_000, 1_700)]
+    seen = []
+    for zone in ("UTC", "America/New_York", "Asia/Kathmandu"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            seen.append(sorted((r["page_id"], r["captured"], r["history_place"])
+                               for r in warc.archive(pages(spark, rows)).collect()))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert seen[0] == seen[1] == seen[2]
+    assert seen[0][0] == (0, "2024-01-01T00:00:00Z", 0)
+    assert [place for _, _, place in seen[0]] == list(range(len(rows)))
+
+
 def test_no_rows(spark):
     assert warc.archive(pages(spark, [])).collect() == []
 
