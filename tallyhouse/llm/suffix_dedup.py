@@ -12,11 +12,11 @@ Every string of `LENGTH` bytes has a minimizer, the least hash among its
 2. the minimizers of all texts are counted, by slices of the corpus: those found
    in two texts are the only ones whose strings can have a copy;
 3. stretches of text with such a minimizer go to the task of that minimizer.
-   Equal stretches are settled at once. The strings of the others are sorted by
-   their `LENGTH` bytes, with equal strings in order of their document; a string
-   has an earlier copy if the first of its equals is of a smaller id, which is
-   whether its longest previous factor reaches `LENGTH`. That factor itself, and
-   the nearest smaller positions it would follow from, are not computed;
+   Equal stretches are settled at once. Of the others the suffixes are put in order
+   with what neighbours have in common. The previous and the next position of a
+   smaller id in that order give each suffix its longest previous factor, and the
+   strings whose factor reaches `LENGTH` have an earlier copy. Order and factors
+   are exact up to `DEPTH` bytes, and what is longer counts as that;
 4. the spans found go back to their documents and are cut out.
 
 Texts travel compressed, and whole groups are bounded: what repeats within a slice
@@ -43,6 +43,8 @@ from tallyhouse.llm.common import stored
 
 LENGTH = 50
 GRAM = 24
+# Bytes to which suffixes are ordered and factors measured: a power of two above `LENGTH`.
+DEPTH = 64
 # Text that one task holds: of a slice, of a bucket of documents, of a share of the minimizers.
 SLICE_BYTES = 4 * 1024 * 1024
 BUCKET_BYTES = 8 * 1024 * 1024
@@ -426,36 +428,73 @@ def _stretches(shares: int, buckets: int):
 
 
 def suffix_order(body: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """`places` in order of the `LENGTH` bytes that begin there, and for each `LENGTH` if it has
-    the same bytes as the one before it, else 0; equal strings stay in the order given.
+    """`places` in order of the text that begins there, and for each how many bytes it has in
+    common with the one before it, both up to `DEPTH` bytes; equal ones stay in the order given.
 
-    Ranks of prefixes are doubled: 8 bytes are one number, then 16 and 32, and at last two
-    prefixes of 32 that overlap make `LENGTH`.
+    Ranks of prefixes are doubled: 8 bytes are one number, then 16, 32 and `DEPTH`. The ranks of
+    each size then say how far two neighbours agree, and the last 8 bytes where they part.
     """
-    padded = np.concatenate([body, np.zeros(LENGTH + 8, np.uint8)])
-    n = len(body)
-    rank = np.unique(_words(padded, n + LENGTH, 0).byteswap(), return_inverse=True)[1].astype(np.int64)
-    for step in (8, 16):
-        pair = rank[:-step] * (len(padded) + 1) + rank[step:]
-        rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-        rank = np.concatenate([rank, np.zeros(step, np.int64)])
-    last = rank[places] * (len(padded) + 1) + rank[places + LENGTH - 32]
+    padded = np.concatenate([body, np.zeros(2 * DEPTH, np.uint8)])
+    first = _words(padded, len(body) + DEPTH, 0).byteswap()
+    ranks = {8: np.unique(first, return_inverse=True)[1].astype(np.int64)}
+    step = 8
+    while 2 * step < DEPTH:
+        rank = ranks[step]
+        pair = rank[:-step] * len(padded) + rank[step:]
+        ranks[2 * step] = np.unique(pair, return_inverse=True)[1].astype(np.int64)
+        step *= 2
+    last = ranks[step][places] * len(padded) + ranks[step][places + step]
     order = np.argsort(last, kind="stable")
-    ordered = last[order]
+    a, b = places[order[:-1]], places[order[1:]]
+    same = np.zeros(len(a), np.int64)
+    # Those that agree in `step` bytes are compared after them; each size is tried twice at the
+    # top, as `DEPTH` is two of the largest.
+    for size in (step, *sorted(ranks, reverse=True)):
+        same += np.where(ranks[size][a + same] == ranks[size][b + same], size, 0)
+    parted = np.minimum(same, DEPTH - 8)
+    differ = first[a + parted] ^ first[b + parted]
+    # Of 8 bytes as one number the first that differs is the highest.
+    inner = np.zeros(len(a), np.int64)
+    for byte in range(8):
+        inner += (inner == byte) & (differ >> np.uint64(56 - 8 * byte) & np.uint64(255) == 0)
     common = np.zeros(len(order), np.int64)
-    common[1:] = np.where(ordered[1:] == ordered[:-1], LENGTH, 0)
+    common[1:] = np.minimum(parted + inner, DEPTH)
     return order, common
 
 
-def has_earlier(order: np.ndarray, common: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each place, whether the first place of the same string is of a smaller id.
+def nearest_smaller(ids: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place in suffix order the nearest one before it with a smaller id, or -1, and how
+    many bytes the two have in common.
 
-    Places are numbered by document, so those of one string lie in that order.
+    Each place points to the one before it, and on from there as long as the id is no smaller;
+    all do so at once, and where a place points is as far as it has looked.
     """
-    group = np.cumsum(common < LENGTH) - 1
-    first = np.flatnonzero(common < LENGTH)
-    out = np.zeros(len(order), dtype=bool)
-    out[order] = ids[order] > ids[order[first[group]]]
+    before = np.arange(len(ids)) - 1
+    shared = common.copy()
+    look = np.flatnonzero(before >= 0)
+    while len(look):
+        look = look[ids[before[look]] >= ids[look]]
+        there = before[look]
+        shared[look] = np.minimum(shared[look], shared[there])
+        before[look] = before[there]
+        look = look[before[look] >= 0]
+    shared[before < 0] = 0
+    return before, shared
+
+
+def longest_previous_factor(order: np.ndarray, common: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each place the most bytes, up to `DEPTH`, that it has in common with a place of a
+    smaller id.
+
+    In suffix order, the nearest smaller position on either side has most in common with it.
+    """
+    own = ids[order]
+    _, left = nearest_smaller(own, common)
+    # From behind, what a place has in common with the next one stands at the next one.
+    behind = np.append(common[1:], 0)[::-1]
+    _, right = nearest_smaller(own[::-1], behind)
+    out = np.zeros(len(order), np.int64)
+    out[order] = np.maximum(left, right[::-1])
     return out
 
 
@@ -496,7 +535,7 @@ def _match(buckets: int):
             places = np.repeat(np.cumsum(n) - n, strings) + inner
             owner = np.repeat(some, strings)
             order, common = suffix_order(_gather(body, begins[some], n), places)
-            again = has_earlier(order, common, ids[owner])
+            again = longest_previous_factor(order, common, ids[owner]) >= LENGTH
             owner, begin = owner[again], (starts[owner] + inner)[again]
             if len(owner):
                 new = np.append(True, (owner[1:] != owner[:-1]) | (begin[1:] != begin[:-1] + 1))

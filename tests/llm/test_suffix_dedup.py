@@ -69,14 +69,75 @@ def test_no_rows(spark):
     assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
-def test_suffix_order_is_that_of_the_strings():
+def common_bytes(a, b):
+    n = 0
+    while n < min(len(a), len(b), suffix_dedup.DEPTH) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+def test_suffix_order_is_that_of_the_suffixes():
     draw = random.Random(3)
-    body = np.frombuffer(bytes(draw.choices(b"ab", k=3000)) * 2, np.uint8)
-    places = np.arange(len(body) - LENGTH + 1)
+    for letters, size in ((b"ab", 3000), (b"a", 300), (b"abcdefgh", 2000), (bytes(range(256)), 3000)):
+        part = bytes(draw.choices(letters, k=size))
+        body = np.frombuffer(part + part[:900] + b"\0" * 70 + part[-700:], np.uint8)
+        places = np.sort(np.array(draw.sample(range(len(body) - LENGTH + 1), len(body) // 2)))
+        order, common = suffix_dedup.suffix_order(body, places)
+        # Beyond its end a text goes on with zeros.
+        padded = body.tobytes() + bytes(suffix_dedup.DEPTH)
+        strings = [padded[p:p + suffix_dedup.DEPTH] for p in places[order]]
+        assert strings == sorted(strings)
+        assert common.tolist() == [0, *map(common_bytes, strings, strings[1:])]
+
+
+def plain_factors(body, places, ids):
+    padded = body.tobytes() + bytes(suffix_dedup.DEPTH)
+    strings = [padded[p:p + suffix_dedup.DEPTH] for p in places]
+    return [
+        max((common_bytes(mine, other) for other, j in zip(strings, ids) if j < i), default=0)
+        for mine, i in zip(strings, ids)
+    ]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_longest_previous_factors_are_the_plain_ones(seed):
+    draw = random.Random(seed)
+    letters = [b"a", b"ab", b"abcd"][seed % 3]
+    part = bytes(draw.choices(letters, k=draw.randint(60, 300)))
+    body = np.frombuffer(b"".join(part[draw.randint(0, 50):][:draw.randint(9, 90)] for _ in range(6)), np.uint8)
+    places = np.arange(len(body))
+    ids = np.array(draw.choices(range(1 + seed * 3), k=len(places)))
     order, common = suffix_dedup.suffix_order(body, places)
-    strings = [body[p:p + LENGTH].tobytes() for p in places[order]]
-    assert strings == sorted(strings)
-    assert [a == b for a, b in zip(strings, strings[1:])] == (common[1:] == LENGTH).tolist()
+    found = suffix_dedup.longest_previous_factor(order, common, ids)
+    assert found.tolist() == plain_factors(body, places, ids)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_nearest_smaller_positions_are_the_plain_ones(seed):
+    draw = random.Random(seed)
+    ids = np.array([draw.choices(range(5), k=200), list(range(200)), list(range(200, 0, -1)),
+                    [7] * 200, [1, 2] * 100][seed])
+    common = np.array([0, *draw.choices(range(65), k=199)])
+    before, shared = suffix_dedup.nearest_smaller(ids, common)
+    for i in range(200):
+        want = max((j for j in range(i) if ids[j] < ids[i]), default=-1)
+        assert before[i] == want
+        assert shared[i] == (min(common[want + 1:i + 1]) if want >= 0 else 0)
+
+
+def test_no_places():
+    none = np.zeros(0, np.int64)
+    order, common = suffix_dedup.suffix_order(np.zeros(0, np.uint8), none)
+    assert suffix_dedup.longest_previous_factor(order, common, none).tolist() == []
+
+
+def test_a_text_beyond_one_stride(spark):
+    draw = random.Random(9)
+    passage = words(draw, 60)
+    filler = "".join(map(chr, (draw.randrange(0x4E00, 0x9000) for _ in range(400_000))))
+    assert len(filler.encode()) > suffix_dedup._STRIDE
+    texts = [(1, passage + " tail"), (2, filler[:360_000] + passage + filler[360_000:]), (3, filler[100_000:100_400])]
+    assert found(suffix_dedup.dedup(docs(spark, texts))) == brute(texts)
 
 
 def test_minimizers_follow_from_the_string_alone():
