@@ -43,80 +43,197 @@ RULES = [
     Rule("net", "/fr/", BLOCK),
 ]
 BLOCKED_URLS = """
-http://spam-farm.example.org/en/12
-https://spam-farm.example.net/de/77.html
-https://spam-links.example.org/fr/4
-http://www.spam-site.example.com/buy
-http://cheap-pills.example.net/order
-https://cheap-viagra.example.org/en/pills
-https://pharmacy-pills-online.example.com/order
-http://casino-bonus.example.org/win
-https://online-casino.example.net/en/bonus
-https://poker-casino.example.com/slots
-http://slots-jackpot.example.org/play
-https://xxx-videos.example.com/watch
-http://porn-tube.example.net/xxx
-https://adult-xxx.example.org/cams
-http://free-money.example.com/win
-https://win-free-prize.example.net/claim
-http://click-here-free.example.org/offer
-https://best-loans-cheap.example.com/apply
-http://replica-watches.example.net/cheap
-https://link-farm.example.org/links
-https://seo-link-farm.example.com/en/1
-http://malware-download.example.net/free.exe
-https://crack-keygen.example.org/download
-http://torrent-warez.example.com/crack
-https://phishing-login.example.net/verify
-http://ad-clicks.example.org/track
-https://ads-tracker.example.com/pixel
-http://track.adserver.example.net/ads
-https://free-bets-today.example.com/odds
-http://sports-bets.example.org/free
-https://casino-wins.example.org/de/3
-http://win-casino.example.net/en/8
-https://adult-video.example.org/en/5
-http://adult-cams.example.net/fr/7
-https://xxx-adult.example.org/
-http://cheap-meds-pills.example.org/es/4
+https://www.royal-casino-bonus.com/free-spins
+http://online-poker-room.org/signup
+https://www.bet-now-live.info/odds/football
+http://sportsbets24.biz/free-bet
+https://www.mega-slots-jackpot.com/play
+http://lucky-roulette.net/win-real-money
+https://www.best-xxx-tube.org/videos/1
+http://free-porn-clips.net/watch
+https://www.hot-adult-cams.tv/live
+http://sexy-singles-tonight.com/hookup
+https://www.local-escorts-guide.info/city
+http://nude-webcam-chat.org/join
+https://www.cheap-viagra-online.com/order
+http://buy-cialis-pills.net/no-prescription
+https://www.canadian-pharmacy-discount.info/meds
+http://diet-pills-miracle.com/lose-weight-fast
+https://www.order-generic-meds.org/cheap
+http://payday-loans-instant.com/apply-now
+https://www.fast-cash-advance.net/bad-credit
+http://repair-your-credit-score.info/offer
+https://www.double-your-bitcoin.io/deposit
+http://crypto-airdrop-claim.org/wallet
+https://www.forex-signals-profit.com/guaranteed
+http://make-money-from-home.biz/earn-daily
+https://www.get-rich-quick-system.com/secret
+http://free-iphone-winner.com/claim-prize
+https://www.you-won-a-gift-card.org/survey
+http://click-here-to-win.info/lottery
+https://www.claim-your-reward.xyz/bonus
+http://replica-watches-outlet.com/rolex
+https://www.fake-designer-bags.net/sale
+http://cheap-followers-likes.org/buy-instagram
+https://www.buy-backlinks-seo.net/package
+http://link-farm-directory.info/submit-link
+https://www.spam-blaster-mailer.com/bulk-email
+http://comment-spam-bot.net/download
+https://www.cracked-software-free.org/keygen
+http://warez-download-full.net/serial-key
+https://www.nulled-scripts-themes.info/free
+http://torrent-movies-hd.to/download
+https://www.pirate-streams-free.tv/watch-live
+http://mod-apk-unlimited.org/hack
+https://www.game-cheats-aimbot.net/hacks
+http://driver-update-now.info/setup.exe
+https://www.pc-cleaner-registry-fix.com/install.exe
+http://your-computer-is-infected.net/scan
+https://www.secure-login-verify-account.org/signin
+http://bank-account-update.info/confirm-password
+https://www.account-suspended-alert.xyz/verify
+http://parcel-tracking-fee.top/pay
+https://ads.clicktracker.net/pixel
+http://adserver.popunder.org/banner
+https://track.affiliate-clicks.com/redirect
+http://pop-ads-network.net/impression
+https://www.cheap-essay-writing.com/buy-essay
+http://fake-diploma-degree.net/order-now
+https://www.psychic-love-spells.org/call-now
+http://miracle-cure-secret.com/doctors-hate
+https://www.vpn-free-unlimited-pro.xyz/apk
+http://hot-deals-discount-coupons.biz/sale
+https://www.domain-for-sale-parked.com/buy
+http://toolbar-search-hijack.org/install
+https://www.win-casino-vip.ru/bonus
+http://cheap-pills-shop.cc/cart
+https://www.sex-toys-discount.xxx/buy
+http://live-betting-tips.club/fixed-matches
+https://adult-dating-club.org/members
+http://www.adult-movies-free.net/hd
+https://teen-adult-pics.info/gallery
+http://spam-links-directory.org/add-url
+https://www.content-spam-articles.net/en/3
+http://article-farm-spinner.com/de/17
+https://personal-loans-online.org/approval
+http://www.no-credit-check-loan.net/approved
+https://rolex-replica-shop.org/buy
+http://fake-passport-documents.store/order
+https://www.casino-winners-club.org/en/44
+http://win-big-slots.net/de/8
+https://bets-tips-free.org/today
+http://www.cheap-meds-store.org/fr/2
+https://free-gift-cards-generator.org/claim
+http://xxx-cams-live.org/en/5
+https://adult-club.org/en/2
+http://adult-stories.net/fr/9
+https://www.adult-shop.org/de/31
+http://spam-mailer.net/en/6
+https://adult-xxl.org/es/1
 """.split()
 ALLOWED_URLS = """
-https://news.example.org/en/12
-http://www.example.net/de/77.html
-https://blog.example.org/fr/4
-http://www.shop.example.com/books
-http://library.example.net/catalogue
-https://university.example.org/en/courses
-https://museum.example.com/visit
-http://weather.example.org/today
-https://wiki.example.net/en/Physics
-https://docs.example.com/reference
-http://recipes.example.org/bread
-https://radio.example.com/listen
-http://science.example.net/articles
-https://m.journal.example.org/archive
-http://history.example.com/rome
-https://travel.example.net/guides
-http://garden.example.org/plants
-https://m.sports.example.com/results
-http://music.example.net/concerts
-https://city.example.org/en/council
-https://blog.theather.example.org/de/5099
-https://ththhe.example.com/en/11629
-http://m.tionon.example.org/en/36675
-https://www.thering.example.org/de/39547.html
-https://thernd.example.net/es/26123
-http://blog.edon.example.org/en/7198
-https://therhe.example.org/en/728?utm_source=feed
-http://blog.ererti.example.net/de/14
-https://www.ndthre.example.org/fr/612
-https://m.stores.example.com/track-order
-http://tickets.example.net/en/4
-https://clinic.example.org/health
-http://bank.example.com/en/7
-https://games.example.net/chess
-http://books.example.org/free-library
-https://winter.example.org/en/9
+https://docs.python.org/3/library/json.html
+https://en.wikipedia.org/wiki/Photosynthesis
+https://gnu.org/licenses/gpl-3.0.html
+https://postgresql.org/docs/current/tutorial.html
+https://github.com/torvalds/linux/issues
+https://stackoverflow.com/questions/11227809
+https://www.nature.com/articles/d41586-020-00502
+https://arxiv.org/abs/1706.03762
+https://www.bbc.co.uk/news/science-environment
+https://theguardian.com/books/2019/review
+https://nasa.gov/missions/apollo
+https://nps.gov/yell/planyourvisit
+https://www.cdc.gov/flu/prevent
+https://www.loc.gov/collections/maps
+https://who.int/health-topics/malaria
+https://un.org/en/about-us/history
+https://europarl.europa.eu/portal/de
+https://www.bundestag.de/parlament/geschichte
+https://www.legifrance.gouv.fr/codes
+https://stanford.edu/academics/departments
+https://web.mit.edu/physics/research
+https://cam.ac.uk/study-at-cambridge
+https://uni-heidelberg.de/fakultaeten
+https://www.louvre.fr/en/explore/collections
+https://www.britishmuseum.org/visit/family
+https://metmuseum.org/art/collection/search
+https://mayoclinic.org/diseases-conditions/asthma
+https://weather.gov/forecast/boston
+https://www.allrecipes.com/recipe/sourdough-bread
+https://www.seriouseats.com/how-to-cook-rice
+https://goodreads.com/author/show/austen
+https://gutenberg.org/ebooks/1342
+https://imdb.com/title/tt0068646
+https://www.allmusic.com/artist/miles-davis
+https://www.chess.com/openings/sicilian
+https://espn.com/soccer/standings
+https://lonelyplanet.com/portugal/lisbon
+https://openstreetmap.org/node/240109189
+https://www.rfc-editor.org/rfc/rfc2616
+https://developer.mozilla.org/en-US/docs/Web/CSS
+https://www.w3.org/TR/html52/semantics
+https://kubernetes.io/docs/concepts/overview
+https://pkg.go.dev/net/http
+https://news.ycombinator.com/item
+https://forum.gardening-club.org/threads/pruning-roses
+https://blog.alice-baker.net/2018/hiking-notes
+http://smith-family.org/photos/summer
+http://cityhall.springfield.example/council/minutes
+https://stmarys-primary-school.org/calendar
+https://riverside-bakery.com/menu
+https://www.oakwood-dental.com/opening-hours
+https://shop.fieldandforest.com/boots/walking
+https://www.ikea.com/de/produkte/tische
+https://lemonde.fr/culture/article
+https://elpais.com/ciencia/2021
+https://corriere.it/cronache
+https://asahi.com/articles
+https://archive.org/details/texts
+https://www.jstor.org/stable/2346178
+https://plato.stanford.edu/entries/kant
+https://www.biology-letters.org/content/cells
+https://historyextra.com/period/roman
+https://bikeforums.net/touring/wheels
+https://knitting-patterns.org/free-scarf
+https://localbandmusic.com/concerts/tickets
+https://status.cloudprovider.io/incidents
+https://www.dw.com/en/57201
+https://www.swissinfo.ch/de/4412
+https://rfi.fr/fr/88102.html
+https://blog.kulturhaus-wien.at/de/315
+https://m.diario-local.es/es/22104
+https://euronews.com/fr/2020/11/3
+https://orf.at/de/9
+http://blog.tommaso.it/en/4107.html
+https://m.volkskrant.nl/en/13
+http://www.iskolar.hu/de/2650
+https://enontekio.fi/en/61
+https://blog.nderitu.ke/fr/71990
+http://www.shonan.jp/es/8
+https://openlibrary.net/books/9
+http://mathforum.net/geometry
+https://railway-museum.net/visit
+http://choir-of-leeds.net/concerts
+https://sailing-club.net/regatta/results
+https://lwn.net/articles/788
+https://seattle-cyclists.net/en/routes
+http://oldmaps.info/county/kent
+https://www.debian.org/distrib/packages
+https://www.libreoffice.org/download
+https://www.openbsd.org/releases
+https://www.oak-hill-school.org/staff
+https://www.redcross.org/about-us
+https://www.rotary-meetings.org/en/204
+https://sternwarte.org/de/17
+http://www.tennis-lyon.org/fr/6
+https://juristen.org/es/3351
+http://chemie-verein.net/de/480
+https://teachers-union.org/news
+https://ornithology.org/en/9921?utm_source=feed
+https://blog.lutherie.org/en/118
+http://m.astronomy.net/fr/77
+https://hospital-info.info/wards
 """.split()
 
 

@@ -65,17 +65,84 @@ def test_host_path_and_rule(judged):
         assert got[n]["verdict"] == (rule.verdict if rule else method)
 
 
-def test_the_regression_learns_its_table_and_what_is_like_it(spark):
-    blocked = ["https://spam-farm.example.org/en/728?utm_source=feed", "http://cheap-pills.example.org/de/6",
-               "http://online-casino.example.org/de/9", "https://xxx-cams.example.org/"]
-    allowed = ["https://ththon.example.org/de/12", "http://blog.ththre.example.org/en/9",
-               "https://www.library.example.org/en/books", "https://m.thther.example.org/fr/3.html"]
-    urls = [*url_filter.BLOCKED_URLS, *url_filter.ALLOWED_URLS, *blocked, *allowed]
-    want = [True] * len(url_filter.BLOCKED_URLS) + [False] * len(url_filter.ALLOWED_URLS) \
-        + [True] * len(blocked) + [False] * len(allowed)
+# URLs of general kinds that are not in the table, nor are their hosts.
+UNSEEN_BLOCKED = """
+https://grand-casino-online.co/register
+http://poker-bonus-code.biz/deposit
+https://adult-x.videos.example.org/clip/9
+http://free-bets.example.net/today
+https://spam-farm.example.org/en/728
+http://cheap-pills.example.org/de/6
+https://viagra-without-prescription.su/buy
+http://instant-loan-approval.co/apply
+https://bitcoin-doubler-profit.net/invest
+http://win-free-iphone.club/claim
+https://keygen-crack-download.org/photoshop
+http://seo-backlinks-cheap.info/buy
+https://verify-your-bank-login.top/secure
+http://porn-videos-hd.mobi/watch
+https://track.ad-clicks.info/banner
+http://fake-rolex-replica.store/sale
+""".split()
+UNSEEN_ALLOWED = """
+https://www.python.org/downloads
+https://www.freebsd.org/releases
+https://de.wikipedia.org/wiki/Heidelberg
+https://www.nytimes.com/section/science
+https://www.ox.ac.uk/admissions/undergraduate
+https://spark.apache.org/docs/latest/sql-ref.html
+https://www.nhs.uk/conditions/migraine
+https://www.smithsonianmag.com/history
+https://www.bibliotheque-nationale.fr/catalogue
+https://www.green-valley-school.org/teachers
+https://www.harbour-cafe.com/contact
+https://blog.martin-fischer.de/2020/reise-notizen
+https://www.rspb.org.uk/birds-and-wildlife
+https://cran.r-project.org/web/packages
+https://www.ecb.europa.eu/press/speeches
+https://forum.woodworking.org/threads/chisels
+""".split()
+
+
+# Written after the table was done, and looked at once.
+LATER_BLOCKED = """
+https://vegas-jackpot-slots.co/spin
+http://discount-cialis-pharmacy.su/cart
+https://nude-cams-adult.me/room/3
+http://easy-loans-today.co/apply
+https://free-crypto-giveaway.live/claim
+http://warez-keygen-hub.to/serial
+https://secure-paypal-verify.info/login
+http://replica-bags-cheap.store/louis
+https://hookup-singles-local.com/join
+http://popunder-adserver.click/track
+""".split()
+LATER_ALLOWED = """
+https://numpy.org/doc/stable/user
+https://fr.wikipedia.org/wiki/Lyon
+https://www.princeton.edu/academics
+https://www.amnesty.org/en/documents
+https://birdwatchers-forum.net/threads/owls
+https://www.cityofportland.gov/parks
+https://villa-borghese-museo.it/en/visit
+https://blog.emma-larsen.dk/2021/baking
+https://physics-journal.org/articles/118
+https://www.tate.org.uk/art/artists/turner
+""".split()
+
+
+def test_the_regression_learns_its_table_and_judges_other_kinds(spark):
+    bad, good = [*UNSEEN_BLOCKED, *LATER_BLOCKED], [*UNSEEN_ALLOWED, *LATER_ALLOWED]
+    urls = [*url_filter.BLOCKED_URLS, *url_filter.ALLOWED_URLS, *bad, *good]
     found = url_filter.judge(pages(spark, urls), url_filter.labelled(spark), rules=[])
-    got = {r["page_id"]: r["verdict"] == "block" for r in found.collect()}
-    assert [got[n] for n in range(len(urls))] == want
+    blocked = {urls[r["page_id"]] for r in found.collect() if r["verdict"] == "block"}
+    assert blocked >= set(url_filter.BLOCKED_URLS)
+    assert not blocked & set(url_filter.ALLOWED_URLS)
+    caught, wronged = blocked & set(bad), blocked & set(good)
+    assert len(caught) >= 0.8 * len(bad) and len(wronged) <= 0.1 * len(good)
+    assert len(caught & set(LATER_BLOCKED)) >= 8 and len(wronged & set(LATER_ALLOWED)) <= 1
+    known = {plain(u)[0] for u in (*url_filter.BLOCKED_URLS, *url_filter.ALLOWED_URLS)}
+    assert not known & {plain(u)[0] for u in (*bad, *good)}
 
 
 def test_no_python_on_the_way(judged):
