@@ -10,7 +10,9 @@ blocks gives the same links, and files stay small.
 Equal fingerprints are one before anything is compared, so a group of copies
 costs as much as one document. Within a file, a search from fingerprint to
 fingerprint gives the links that hold it together, never all pairs: what one
-link has joined is not compared again. Linked files make components.
+link has joined is not compared again. A file whose fingerprints are mostly far from
+each other is filed again by blocks of its other bits, so that its cost stays far below
+the square of its size. Linked files make components.
 
 Null and empty texts have fingerprint zero and link like any other. Repeated
 rows get a row each. A null id is never smallest; a component of null ids alone
@@ -36,7 +38,10 @@ MOST_BITS = 4
 SEED = 42
 # Fingerprints that a file should hold on average; more blocks make more and smaller files.
 FILED_TOGETHER = 16
+# Looks at all fingerprints of a file after which it is cut into files of its own.
+SEARCHES = 256
 
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -103,14 +108,29 @@ def _files(most_bits: int, blocks: int) -> list[tuple[int, int]]:
     return [(number, sum(choice)) for number, choice in enumerate(chosen)]
 
 
-def _links_of(prints: np.ndarray, most_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links that join what can be joined among `prints`, each by a search over those left."""
-    left = prints
+def _links_of(
+    prints: np.ndarray, most_bits: int, mask: int = 0
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links that join what can be joined among `prints`, which agree in the bits of `mask`.
+
+    A search from one fingerprint to those near it is compared with all that are left, and
+    what it finds is left no more; so what is linked costs little. Where `SEARCHES` such looks
+    at all of them have not been enough, most are far from each other. Then those that nobody
+    has looked from yet are filed again, by blocks of the bits that `mask` leaves.
+    """
+    # In no order, so that a large group of linked ones is soon come upon.
+    left = prints[np.argsort(prints * _SPREAD, kind="stable")]
+    looks = SEARCHES * len(prints) if len(prints) > SEARCHES else len(prints) ** 2
     while len(left) > 1:
         frontier, left = [left[:1]], left[1:]
         while frontier and len(left):
             at = frontier.pop()
-            for one in at:
+            for n, one in enumerate(at):
+                if looks < 0:
+                    waiting = np.concatenate([at[n:], *frontier, left])
+                    yield from _filed_again(waiting, most_bits, mask)
+                    return
+                looks -= len(left)
                 near = np.bitwise_count(left ^ one) <= most_bits
                 if near.any():
                     found = left[near]
@@ -121,7 +141,28 @@ def _links_of(prints: np.ndarray, most_bits: int) -> Iterator[tuple[np.ndarray,
                     break
 
 
-def _link(most_bits: int):
+def _filed_again(
+    prints: np.ndarray, most_bits: int, mask: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """`_links_of` those that also agree in enough blocks of the bits outside `mask`."""
+    bits = [1 << bit for bit in range(64) if not mask >> bit & 1]
+    if len(bits) <= most_bits:
+        yield np.full(len(prints) - 1, prints[0]), prints[1:]
+        return
+    blocks = min(len(bits), most_bits + 2)
+    edges = [len(bits) * i // blocks for i in range(blocks + 1)]
+    parts = [sum(bits[a:b]) for a, b in zip(edges, edges[1:])]
+    for choice in combinations(parts, blocks - most_bits):
+        more = sum(choice)
+        key = prints & np.uint64(more)
+        order = np.argsort(key, kind="stable")
+        new = np.flatnonzero(np.diff(key[order])) + 1
+        bounds = np.concatenate(([0], new, [len(prints)]))
+        for at in np.flatnonzero(np.diff(bounds) > 1):
+            yield from _links_of(prints[order[bounds[at]:bounds[at + 1]]], most_bits, mask | more)
+
+
+def _link(most_bits: int, masks: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come ordered by file; a file may go on in the next batch."""
         held: list[pa.RecordBatch] = []
@@ -134,7 +175,7 @@ def _link(most_bits: int):
             found = []
             for at in np.flatnonzero(np.diff(bounds) > 1):
                 group = np.unique(prints[bounds[at]:bounds[at + 1]]).view(np.uint64)
-                found.extend(_links_of(group, most_bits))
+                found.extend(_links_of(group, most_bits, masks[file[bounds[at]]]))
             a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.uint64)
             b = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.uint64)
             return pa.RecordBatch.from_arrays(
@@ -162,16 +203,17 @@ def linked_prints(prints: DataFrame, most_bits: int, blocks: int) -> DataFrame:
     """Links (a, b) that join all distinct fingerprints in `prints` joined by some chain."""
     if not 0 <= most_bits < blocks:
         raise ValueError("there must be more blocks than bits that may differ")
+    files = _files(most_bits, blocks)
     masks = F.array(*[
         F.struct(F.lit(n).alias("file"), F.lit(_signed(mask)).cast("bigint").alias("mask"))
-        for n, mask in _files(most_bits, blocks)
+        for n, mask in files
     ])
     filed = prints.select("print", F.explode(masks).alias("m")).select(
         "m.file", F.col("print").bitwiseAND(F.col("m.mask")).alias("key"), "print"
     )
     return (
         filed.repartition("file", "key").sortWithinPartitions("file", "key")
-        .mapInArrow(_link(most_bits), "a bigint, b bigint").distinct()
+        .mapInArrow(_link(most_bits, [mask for _, mask in files]), "a bigint, b bigint").distinct()
     )
 
 

@@ -150,3 +150,79 @@ def test_components_of_a_long_chain_and_a_star(spark):
     rows = spark.createDataFrame(chain + star + [(7, 7), (None, 3)], "a bigint, b bigint")
     got = {r["node"]: r["root"] for r in components(rows).collect()}
     assert got == {**{n: 100 for n in range(100, 161)}, **{n: 7 for n in (7, *range(1000, 1100))}}
+
+
+def far_apart(seed, n, shared=21):
+    """Fingerprints that agree in some bits and are random in the others."""
+    draw = random.Random(seed)
+    return [draw.getrandbits(64 - shared) << shared | (0x155555 & (1 << shared) - 1) for _ in range(n)]
+
+
+def joined(prints, links):
+    parent = {p: p for p in prints}
+
+    def root(p):
+        while parent[p] != p:
+            parent[p] = parent[parent[p]]
+            p = parent[p]
+        return p
+
+    for a, b in links:
+        parent[root(a)] = root(b)
+    groups = {}
+    for p in prints:
+        groups.setdefault(root(p), set()).add(p)
+    return {frozenset(g) for g in groups.values()}
+
+
+def found_links(prints, most_bits=4, mask=0):
+    array = np.unique(np.array(prints, np.uint64))
+    return [(int(a), int(b)) for x, y in simhash_dedup._links_of(array, most_bits, mask) for a, b in zip(x, y)]
+
+
+@pytest.mark.parametrize("searches", [1, 4, 256])
+def test_a_file_that_is_filed_again_loses_no_link(monkeypatch, searches):
+    monkeypatch.setattr(simhash_dedup, "SEARCHES", searches)
+    draw = random.Random(searches)
+    mask = (1 << 21) - 1
+    prints = far_apart(1, 600)
+    for p in prints[:40]:
+        # A chain of neighbours, and a crowd around one.
+        for _ in range(draw.randint(1, 4)):
+            for _ in range(draw.randint(1, 4)):
+                p ^= 1 << draw.randint(21, 63)
+            prints.append(p)
+    prints += [prints[50] ^ 1 << a ^ 1 << b for a in range(21, 64) for b in range(21, a)]
+    array = np.unique(np.array(prints, np.uint64))
+    every = [(int(a), int(b)) for n, a in enumerate(array)
+             for b in array[n + 1:][np.bitwise_count(array[n + 1:] ^ a) <= 4]]
+    links = found_links(prints, mask=mask)
+    assert all((a ^ b).bit_count() <= 4 for a, b in links)
+    assert joined(array.tolist(), links) == joined(array.tolist(), every)
+
+
+def test_no_bits_left_to_file_by():
+    few = [a << 60 | 5 for a in range(16)]
+    found = list(simhash_dedup._filed_again(np.array(few, np.uint64), 4, (1 << 60) - 1))
+    assert joined(few, [(int(a), int(b)) for x, y in found for a, b in zip(x, y)]) == {frozenset(few)}
+
+
+def test_unlinked_fingerprints_of_one_file_cost_far_less_than_their_square(monkeypatch):
+    compared = []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def bitwise_count(self, x):
+            compared.append(len(x))
+            return np.bitwise_count(x)
+
+    monkeypatch.setattr(simhash_dedup, "np", Counting())
+    costs = []
+    for n in (10_000, 40_000):
+        compared.clear()
+        assert len(found_links(far_apart(7, n), mask=(1 << 21) - 1)) < n // 100
+        costs.append(sum(compared))
+    # Four times as many: sixteen times the comparisons if all were compared.
+    assert costs[1] < 6 * costs[0] and costs[1] < 0.05 * 40_000**2
