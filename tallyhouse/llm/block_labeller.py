@@ -18,7 +18,7 @@ from tallyhouse.llm.html_blocks import Block, blocks
 PATH_SLOTS, WORD_SLOTS, MEASURES = 192, 32, 5
 INPUTS = PATH_SLOTS + WORD_SLOTS + MEASURES
 HIDDEN = 20
-EXAMPLES, ROUNDS, AT_ONCE, RATE = 1600, 6, 32, 0.01
+EXAMPLES, ROUNDS, AT_ONCE, RATE = 2800, 6, 32, 0.01
 
 
 @lru_cache(maxsize=1 << 16)

@@ -23,7 +23,12 @@ _NOTICES = (
 )
 _FOOTERS = ("&copy; 2024 All rights reserved.", "Terms of use &middot; Privacy", "&copy; {host} &middot; {line}")
 
-_SOUNDS = "th er on an in re the at es en or it ed is ou le ai eu ch un ge ver lich cion os as ar do ti ment".split()
+# The share of pages whose parts have no telling names.
+NAMELESS = 0.4
+# Names that say nothing, as many pages give to all of their parts.
+_PLAIN = "d c1 c2 col box w x inner outer wrap left right center cell row1 row2 css-1a2b3c sc-xyz block grid item t1 td1 z".split()
+
+_SOUNDS = "ba ke lo mi su tra vel qui zor nam pel dro gha fi sko lum ven cra bri ojo wex yam jud hif pon gle rik uva mex sol".split()
 
 
 class _Page:
@@ -98,7 +103,9 @@ class _Page:
             if kind < 0.7:
                 rows.append(f"<p>{text}</p>")
             elif kind < 0.78:
-                rows.append(f"<p><b>{text}<br>")
+                # Left open, as many a page leaves its paragraphs and what stands out in them.
+                inline = self.draw.choice(["", "<b>", "<i>", "<strong>", "<em>", "<font>", "<span>"])
+                rows.append(f"<p>{inline}{text}" + self.draw.choice(["", "<br>"]))
             elif kind < 0.83:
                 rows.append(f"<h2>{text}</h2>")
             elif kind < 0.88:
@@ -123,9 +130,69 @@ class _Page:
             out = f'<div class="{self.draw.choice(["container", "wrapper", "row", "layout", "page"])}">{out}</div>'
         return out
 
+    def nameless(self) -> str:
+        """A page whose parts are tables or divisions without telling names: only what stands in
+        them, and where, says what they are."""
+        draw, chance = self.draw, self.draw.random
+        in_table = chance() < 0.4
+        menu_first = chance() < 0.7
+
+        # A page made by a program names its parts after nothing at all.
+        made_up = [
+            draw.choice(["css-{}", "sc-{}", "{}", "jsx-{}", "_{}"]).format(
+                "".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=draw.randint(1, 5))))
+            for _ in range(4)
+        ]
+        names = made_up if chance() < 0.5 else _PLAIN
+
+        def box(inner: str) -> str:
+            if chance() < 0.5:
+                return f"<div>{inner}</div>"
+            return f"<div{self.name(names)}>{inner}</div>"
+
+        def links(least: int, most: int) -> str:
+            texts = [draw.choice([self.word().capitalize(), draw.choice(_MENU_WORDS), self.line(1, 5)])
+                     for _ in range(draw.randint(least, most))]
+            items = [f'<a href="/{self.word()}">{self.mark(False, text)}</a>' for text in texts]
+            return draw.choice([
+                "".join(f"<div>{x}</div>" for x in items), "".join(f"{x}<br>" for x in items),
+                "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>",
+                "".join(f"<p>{x}</p>" for x in items),
+            ])
+
+        def paragraph() -> str:
+            text = self.mark(True, self.line(4, draw.choice([15, 40, 120])).rstrip(".") + ".")
+            named = self.name(names) if chance() < 0.4 else ""
+            return box(text) if chance() < 0.5 else draw.choice(
+                [f"<p{named}>{text}</p>", f"{text}<br><br>", f"<p{named}>{text}"])
+
+        title = self.mark(True, self.line(2, 9))
+        named = self.name(names) if chance() < 0.4 else ""
+        article = draw.choice(
+            [f"<h1{named}>{title}</h1>", f"<h2>{title}</h2>", f"<div><b>{title}</b></div>", box(title)])
+        article += "".join(paragraph() for _ in range(draw.randint(2, 12)))
+        menu = links(3, 10)
+        aside = "" if chance() < 0.5 else links(2, 6)
+        line = draw.choice(_FOOTERS).format(host=f"{self.word()}.example.org", line=self.line(1, 8))
+        foot = self.mark(False, draw.choice([line, f"Copyright 2019 {self.word().capitalize()}", "Powered by " + self.word()]))
+        top = "" if chance() < 0.4 else self.mark(False, self.line(1, 4).rstrip("."))
+        if in_table:
+            cells = [f"<td>{menu}</td>", f'<td{draw.choice(["", " width=600", self.name(names)])}>{article}</td>']
+            if not menu_first:
+                cells.reverse()
+            cells += [f"<td>{aside}</td>"] if aside else []
+            top = f"<tr><td colspan=3>{top}</td></tr>" if top else ""
+            return f"<table>{top}<tr>{''.join(cells)}</tr><tr><td>{foot}</td></tr></table>"
+        parts = [box(menu), box(article)] if menu_first else [box(article), box(menu)]
+        out = (box(top) if top else "") + "".join(parts) + (box(aside) if aside else "") + box(foot)
+        wrapped = draw.choice(["", "", "root", "app", "page", "__next"])
+        return f'<div id="{wrapped}">{out}</div>' if wrapped else out
+
     def html(self) -> str:
         chance = self.draw.random
         head = f"<head><title>{self.mark(False, self.line(2, 10))}</title></head>"
+        if chance() < NAMELESS:
+            return f"<html>{head}<body>{self.nameless()}</body></html>"
         body = []
         if chance() < 0.3:
             tag = self.draw.choice(["header", "div"])

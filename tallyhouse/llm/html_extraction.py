@@ -18,12 +18,24 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.block_labeller import Labeller, trained, vector
 from tallyhouse.llm.common import slices
-from tallyhouse.llm.html_blocks import blocks
+from tallyhouse.llm.html_blocks import Block, blocks
 
 CUT = 0.5
 # Pages read together, and blocks in them with the padding to the longest.
 PAGES_AT_ONCE = 256
 BLOCKS_AT_ONCE = 16_384
+# A page of more blocks is read in pieces that have so many of their neighbours' on either side.
+AROUND = 1024
+
+
+def _long_scores(found: list[Block], labeller: Labeller) -> np.ndarray:
+    """Scores of a page of very many blocks, a piece at a time with what stands around it."""
+    out = []
+    for start in range(0, len(found), BLOCKS_AT_ONCE):
+        low, stop = max(start - AROUND, 0), min(start + BLOCKS_AT_ONCE, len(found))
+        piece = np.stack([vector(block) for block in found[low:stop + AROUND]])
+        out.append(labeller.scores([piece])[0][start - low:stop - low])
+    return np.concatenate(out)
 
 
 def main_texts(pages: list[str | None], labeller: Labeller) -> list[str]:
@@ -34,14 +46,22 @@ def main_texts(pages: list[str | None], labeller: Labeller) -> list[str]:
     while order:
         # Pages of like length go together; the last, the longest, sets the padding.
         longest = len(cut[order[-1]])
+        if longest > BLOCKS_AT_ONCE:
+            n = order.pop()
+            out[n] = _kept(cut[n], _long_scores(cut[n], labeller))
+            continue
         some = order[-min(PAGES_AT_ONCE, max(1, BLOCKS_AT_ONCE // longest)):]
         del order[-len(some):]
         found = labeller.scores([np.stack([vector(block) for block in cut[n]]) for n in some])
         for n, scores in zip(some, found):
-            out[n] = " ".join(block.text for block, score in zip(cut[n], scores) if score >= CUT)
+            out[n] = _kept(cut[n], scores)
     return out
 
 
+def _kept(found: list[Block], scores: np.ndarray) -> str:
+    return " ".join(block.text for block, score in zip(found, scores) if score >= CUT)
+
+
 def extract(
     pages: DataFrame, id_column: str = "page_id", url_column: str = "url",
     html_column: str = "html", labeller: Labeller | None = None,

@@ -133,6 +133,57 @@ def test_the_article_and_nothing_else(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+# Pages of other makes than the ones learned from, and what of them is article.
+PROSE = [
+    "The harbour froze in the winter of 1709 and stayed shut for eleven weeks.",
+    "Ships that had arrived in November could neither unload nor leave, and their crews lived on the ice.",
+    "When the thaw came, the town council counted forty lost boats and resolved to build a second pier.",
+]
+HAND_MADE = {
+    "table layout": (
+        "<html><body><table width=800><tr><td colspan=2>Old Harbour Society</td></tr><tr><td><a href=/>Home</a><br>"
+        "<a href=/m>Members</a><br><a href=/l>Links</a><br><a href=/c>Contact us</a></td><td><h1>The long winter</h1>"
+        + "".join(f"<p>{p}</p>" for p in PROSE) + "</td></tr><tr><td colspan=2>Copyright 2004 Old Harbour Society</td></tr></table>"),
+    "plain divisions": (
+        "<html><body><div class=\"d\"><div class=\"d\"><a href=/>Start</a></div><div class=\"d\"><a href=/a>About</a></div>"
+        "<div class=\"d\"><a href=/k>Contact</a></div></div><div class=\"d\"><div class=\"d\">The long winter</div>"
+        + "".join(f"<div class=\"d\">{p}</div>" for p in PROSE) + "</div><div class=\"d\">&copy; 2011 Old Harbour</div></body></html>"),
+    "made by a script": (
+        "<body><div id=\"root\"><div class=\"css-9x1\"><ul><li><a href=/n>News</a></li><li><a href=/s>Sport</a></li></ul></div>"
+        "<div class=\"css-7k2\"><h1 class=\"css-1\">The long winter</h1>" + "".join(f"<p class=\"css-2\">{p}</p>" for p in PROSE)
+        + "</div><div class=\"css-0\"><a href=/t>Terms</a> <a href=/p>Privacy</a></div></div>"),
+    "blog": (
+        "<body><header><a href=/>My notes</a></header><nav><a href=/a>Archive</a></nav><main><article class=post><h2>The long winter</h2>"
+        + "".join(f"<p>{p}</p>" for p in PROSE) + "</article></main><aside class=sidebar><h3>Tags</h3><a href=/t>ice</a></aside>"
+        "<section id=comments><p>Great post, thanks for sharing!</p></section><footer>Powered by notes</footer></body>"),
+    "line breaks": (
+        "<html><body bgcolor=white><a href=/>Back</a><br><b>The long winter</b><br><br>" + "<br><br>".join(PROSE)
+        + "<br><br><a href=/next>Next page</a><hr>Copyright 1999</body></html>"),
+}
+
+
+@pytest.mark.parametrize("kind", list(HAND_MADE))
+def test_no_article_of_another_layout_is_lost(labeller, kind):
+    (text,) = html_extraction.main_texts([HAND_MADE[kind]], labeller)
+    assert all(p in text for p in PROSE)
+    wrong = [w for w in ("Members", "Contact", "About", "Sport", "Privacy", "Archive", "Great post", "Tags") if w in text]
+    assert len(wrong) <= 1
+
+
+def test_a_page_of_very_many_blocks_is_read_in_pieces(labeller, monkeypatch):
+    draw = random.Random(5)
+    html, want = template(draw, 400)
+    (whole,) = html_extraction.main_texts([html], labeller)
+    monkeypatch.setattr(html_extraction, "BLOCKS_AT_ONCE", 50)
+    monkeypatch.setattr(html_extraction, "AROUND", 40)
+    sizes = []
+    scores = labeller.scores
+    monkeypatch.setattr(labeller, "scores", lambda pages: sizes.append(max(map(len, pages))) or scores(pages))
+    texts = html_extraction.main_texts([html, "<p>short page</p>", None], labeller)
+    assert texts[0] == whole and len(whole) > 0.99 * len(want) and texts[2] == ""
+    assert max(sizes) <= 50 + 2 * 40 and len(sizes) > 8
+
+
 def test_odd_rows(spark, labeller):
     draw = random.Random(7)
     long, want = template(draw, 3000)
