@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.session import scratch_path
+from tallyhouse.session import TASK_BYTES, scratch_path
 
 # A task takes texts into Python a few at a time, so a batch of very long ones stays small.
 BATCH_BYTES = 8 * 1024 * 1024
@@ -36,6 +36,19 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def dealt(df: DataFrame, total: int, *keys: str) -> DataFrame:
+    """`df`, of some `total` bytes, by `keys` over as many tasks as bound what each of them reads.
+
+    Groups that enter Python cannot be split after a shuffle. So where the session has too few
+    partitions for these bytes they are dealt out beforehand, and grouping moves nothing again;
+    otherwise the session's number stands, and Spark joins small ones.
+    """
+    tasks = total // TASK_BYTES + 1
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(tasks, *keys)
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -30,12 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyhouse.llm.common import stored
+from tallyhouse.llm.common import dealt, stored
 
 ARITY = 3
 BLOCK_LEVELS = 6
 # Leaves that share one multiproof, or so.
 PARTITION_LEAVES = 8192
+# Bytes of a node's row, or a leaf's, in a task, or so.
+NODE_ROW = 256
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -136,19 +138,24 @@ def _builder(start: int, block_levels: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def grow(leaves: DataFrame, block_levels: int = BLOCK_LEVELS) -> DataFrame:
-    """All nodes of the trees whose bottoms are `leaves` (kind, source, at, n, node)."""
+    """All nodes of the trees whose bottoms are `leaves` (kind, source, at, n, node), stored."""
+    rows = leaves.count()
     width = ARITY ** block_levels
     bottom = leaves.select("kind", "source", F.lit(0).alias("level"), "at", "n", "node")
     nodes = bottom
     start = 0
     while True:
-        block = F.floor(F.col("at") / F.lit(width)).alias("block")
-        grouped = bottom.where("n > 1").groupBy("kind", "source", block)
+        block = F.floor(F.col("at") / F.lit(width))
+        blocks = bottom.where("n > 1").withColumn("block", block)
+        grouped = dealt(blocks, rows * NODE_ROW, "kind", "source", "block").groupBy(
+            "kind", "source", "block"
+        )
         built = stored(grouped.applyInArrow(_builder(start, block_levels), _NODE), f"nodes-above-{start}")
         nodes = nodes.unionByName(built)
         start += block_levels
         bottom = built.where((F.col("level") == start) & (F.col("n") > 1))
-        if bottom.isEmpty():
+        rows = bottom.count()
+        if not rows:
             return nodes
 
 
@@ -327,5 +334,9 @@ def manifest(
     same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ("kind", "source", "level", "at")]
     found = every.join(spots, same).select("part", "kind", "source", "level", "at", "node")
     given = stored(found.unionByName(stretches, allowMissingColumns=True), "multiproofs")
-    proved = leaves.groupBy("part").cogroup(given.groupBy("part")).applyInArrow(_expand, _PROOF)
+    total = leaves.count() * NODE_ROW
+    proved = (
+        dealt(leaves, total, "part").groupBy("part")
+        .cogroup(dealt(given, total, "part").groupBy("part")).applyInArrow(_expand, _PROOF)
+    )
     return proved.withColumnRenamed("doc_id", id_column)

@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.byte_bpe import VOCABULARY, encoder
-from tallyhouse.llm.common import slices, stored
+from tallyhouse.llm.common import dealt, slices, stored
 
 WINDOW = 1024
 END = 0
 BIN_PIECES = 65_536
+# Bytes of a piece's row on its way to its bin, or so.
+PIECE_ROW = 64
 
 
 def token_ids(text: str | None, vocabulary: str = VOCABULARY) -> np.ndarray:
@@ -120,7 +122,8 @@ def pack(
     two, else the whole window.
     """
     cut = stored(pieces(docs, id_column, text_column, window, vocabulary), "pieces")
-    bins = cut.count() // bin_pieces + 1
+    count = cut.count()
+    bins = count // bin_pieces + 1
 
     def fill(table: pa.Table) -> pa.Table:
         order = [("length", "descending"), *((c, "ascending") for c in ("doc_id", "start", "ids_crc32"))]
@@ -133,8 +136,8 @@ def pack(
         table = table.append_column("offset", pa.array(offsets, pa.int64()))
         return table.append_column("padded_length", pa.array(padded)).drop_columns("bin")
 
-    dealt = cut.withColumn("bin", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(bins)))
-    packed = dealt.groupBy("bin").applyInArrow(
+    binned = cut.withColumn("bin", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(bins)))
+    packed = dealt(binned, count * PIECE_ROW, "bin").groupBy("bin").applyInArrow(
         fill, f"{_PIECE}, sequence_id bigint, offset bigint, padded_length bigint"
     )
     return packed.withColumnRenamed("doc_id", id_column)

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import stored
+from tallyhouse.llm.common import dealt, stored
 
 LENGTH = 50
 GRAM = 24
@@ -648,24 +648,29 @@ def dedup(
 
     copies = stored(_copies(whole, buckets), "copies")
     counted = texts.mapInArrow(_count_minimizers(shares, slice_bytes), _ROW)
-    found = stored(counted.groupBy("key").applyInArrow(_find_shared(buckets, many), _ROW), "minimizers")
-    of_slices = found.where(F.col("kind").isin(KNOWN, HOT)).groupBy("key")
+    found = stored(
+        dealt(counted, total, "key").groupBy("key").applyInArrow(_find_shared(buckets, many), _ROW),
+        "minimizers",
+    )
+    of_slices = dealt(found.where(F.col("kind").isin(KNOWN, HOT)), total, "key").groupBy("key")
     wanted = found.where(F.col("kind") == WANTED).unionByName(
         of_slices.applyInArrow(_put_down(buckets), _ROW)
     )
-    packed = texts.mapInArrow(_pack_texts(buckets, slice_bytes), _ROW)
+    packed = dealt(texts.mapInArrow(_pack_texts(buckets, slice_bytes), _ROW), total, "key")
+    asked = dealt(wanted.unionByName(copies), total, "key")
     sent = (
-        packed.groupBy("key").cogroup(wanted.unionByName(copies).groupBy("key"))
+        packed.groupBy("key").cogroup(asked.groupBy("key"))
         .applyInArrow(_stretches(shares, buckets), _ROW)
     )
     # A share of stretches and a bucket of spans may have the same number.
     share = F.when(F.col("kind") == STRETCHES, F.col("key")).otherwise(-1 - F.col("key"))
     spans = stored(
-        sent.withColumn("share", share).groupBy("share")
+        dealt(sent.withColumn("share", share), total, "share").groupBy("share")
         .applyInArrow(_match_share(buckets), _ROW), "spans",
     )
+    to_cut = dealt(spans.unionByName(copies), total, "key")
     return (
-        packed.groupBy("key").cogroup(spans.unionByName(copies).groupBy("key"))
+        packed.groupBy("key").cogroup(to_cut.groupBy("key"))
         .applyInArrow(_cut_out(), _RESULT).withColumnRenamed("doc_id", id_column)
     )
 

@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyhouse.llm.byte_bpe import VOCABULARY, plain_encoder, token_bytes
-from tallyhouse.llm.common import slices
+from tallyhouse.llm.common import dealt, slices
+from tallyhouse.folders import Folder
 from tallyhouse.session import scratch_path
 
 PIECES = "piece_bpe_32k"
@@ -360,6 +361,9 @@ def align_documents(
     ).select("lot", "place", F.col("of.pairs").alias("pair"), F.col("of.held").alias("held"))
     counts = pair_counts(lists, len(piece_bytes(b)))
     scores = lists.join(counts, "pair").select("lot", "place", "n", "best")
-    rows = kept().where("pairs IS NULL").drop("pairs", "held")
+    # Links arrive compressed, and take some three times their room in a task.
+    total = 3 * Folder(spark, path).size()
+    rows = dealt(kept().where("pairs IS NULL").drop("pairs", "held"), total, "lot")
+    scores = dealt(scores, total, "lot")
     scored = rows.groupBy("lot").cogroup(scores.groupBy("lot")).applyInArrow(_score, _SCORED)
     return scored.withColumnRenamed("doc_id", id_column)
