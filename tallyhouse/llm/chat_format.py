@@ -53,12 +53,18 @@ PIECE_CHARS = 1024 * 1024
 
 # ---- template ---------------------------------------------------------------------
 
-_RESTS = "|".join(
-    f"(?<={re.escape(name[0])}){{}}(?={re.escape(name[1:])})" for name in CONTROLS
-)
-# The backslashes between the first sign of a control string and the rest of it.
-_TO_ESCAPE = re.compile(_RESTS.replace("{}", r"\\*"))
-_ESCAPED = re.compile(_RESTS.replace("{}", r"\\+"))
+
+def _within(times: str) -> re.Pattern:
+    """The first sign of a control string and backslashes, where the rest of it comes after."""
+    rests: dict[str, list[str]] = {}
+    for name in CONTROLS:
+        rests.setdefault(name[0], []).append(re.escape(name[1:]))
+    return re.compile("|".join(
+        rf"{re.escape(sign)}\\{times}(?={'|'.join(some)})" for sign, some in rests.items()
+    ))
+
+
+_TO_ESCAPE, _ESCAPED = _within("*"), _within("+")
 
 
 def escape(text: str) -> str:
@@ -67,7 +73,7 @@ def escape(text: str) -> str:
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(lambda found: found[0][1:], text)
+    return _ESCAPED.sub(lambda found: found[0][:-1], text)
 
 
 def render(turns: Iterable[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
