@@ -498,27 +498,23 @@ def versioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-    SELECT o_orderkey AS rank, o_custkey AS account, o_orderpriority AS from_batch, o_orderdate AS moment
-    FROM orders
-    QUALIFY row_number() OVER (
-        PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderstatus <> 'F' DESC,
-                                        o_orderkey DESC, o_orderpriority DESC) = 1
+    SELECT event_id AS rank, user_id, event_type AS from_batch, ts FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """)
 def published_upsert_of_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The table has columns of its own that are called what an upsert would call its own.
-    path = session.scratch_path(spark, "orders")
-    orders = _load(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("rank"), F.col("o_custkey").alias("account"),
-        F.col("o_orderpriority").alias("from_batch"), F.col("o_orderdate").alias("moment"),
-        F.col("o_orderstatus"),
+    path = session.scratch_path(spark, "latest")
+    events = _events_by_day(spark, sf_dir).select(
+        F.col("event_id").alias("rank"), "user_id", F.col("event_type").alias("from_batch"), "ts",
+        "year", "month", "day",
     )
-    dated = functions.add_date_parts(orders, "moment")
-    closed, opened = (dated.where(where).drop("o_orderstatus") for where in (
-        "o_orderstatus = 'F'", "o_orderstatus <> 'F'"))
-    sinks.publish_partitioned(operators.latest_per_key(closed, ["account"], "moment"), path)
-    table = sources.read_table(spark, path, closed.schema)
-    plans.upsert_days(table, opened, path, ["account"], "moment")
-    return sources.read_table(spark, path, closed.schema).drop("year", "month", "day")
+    stored, batch = (
+        events.where(F.col("from_batch").isin(list(types))) for types in (_STORED_TYPES, _BATCH_TYPES)
+    )
+    sinks.publish_partitioned(operators.latest_per_key(stored, ["user_id"], "ts"), path, events.schema)
+    table = sources.read_table(spark, path, events.schema)
+    plans.upsert_days(table, batch, path, ["user_id"], "ts")
+    return sources.read_table(spark, path, events.schema).drop("year", "month", "day")
 
 
 @_query("""
